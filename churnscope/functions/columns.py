@@ -100,3 +100,8 @@ def key_uniform(key: str | Column, seed: int = 0) -> Column:
 
 def round6(c: str | Column) -> Column:
     return F.round(col(c), C.SCORE_DECIMALS)
+
+
+def fixed(c: str | Column, decimals: int) -> Column:
+    """Fixed-point text like printf("%.<d>f"): half-even on the exact binary value."""
+    return F.regexp_replace(F.format_number(col(c), decimals), ",", "")

@@ -114,7 +114,8 @@ def exact_percentiles(df: DataFrame, value: str, probs: Sequence[float],
         rows = F.arrays_zip(F.array(*[F.lit(float(p)) for p in probs]).alias("p"),
                             F.col("_q").alias("value"))
         return arr.select(*by, F.inline(rows))
-    counts = df.where(F.col(value).isNotNull()).groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    # count(value) keeps all-NULL groups (their percentiles are NULL, as in SQL).
+    counts = df.groupBy(*by).agg(F.count(value).alias("_n"))
     pos = [(i, float(p)) for i, p in enumerate(probs)]
     spec = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(p).alias("p")) for i, p in pos])
     t = counts.select(*by, "_n", F.inline(spec))
@@ -178,3 +179,10 @@ def rank_cutoff(df: DataFrame, value: str, tie: str, quota: DataFrame,
     sel = F.when(F.col("_cut").isNull(), (F.col("_take") > 0) & F.col("_ord").isNotNull()).otherwise(sel)
     return marked.withColumn("_selected", F.coalesce(sel, F.lit(False))).drop(
         "_ord", "_cut", "_tie_cut", "_take")
+
+
+def wide_percentiles(q: DataFrame, by: Sequence[str], names: dict[float, str]) -> DataFrame:
+    """(by..., p, value) -> one row per group with a column per probability."""
+    return q.groupBy(*by).agg(*[
+        F.first(F.when(F.col("p") == float(p), F.col("value")), ignorenulls=True).alias(name)
+        for p, name in names.items()])

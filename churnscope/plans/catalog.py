@@ -112,3 +112,65 @@ def _churn_label(t: Tables) -> DataFrame:
 @query("churn_features")
 def _churn_features(t: Tables) -> DataFrame:
     return feat.churn_features(t)
+
+
+# ------------------------------------------------------------ explore ------
+
+from churnscope.operators import explore as ex  # noqa: E402
+
+
+def _features(t: Tables) -> DataFrame:
+    return feat.churn_features(t)
+
+
+@query("labelled_customers")
+def _labelled_customers(t: Tables) -> DataFrame:
+    return _features(t).where(F.col("churn_label").isin(0, 1))
+
+
+@query("lifecycle_stage")
+def _lifecycle_stage(t: Tables) -> DataFrame:
+    return ex.with_stage(_features(t)).select("customer_id", "recency_days", "lifecycle_stage")
+
+
+@query("churn_status")
+def _churn_status(t: Tables) -> DataFrame:
+    return ex.labelled(_features(t)).select("customer_id", "churn_label", "churn_status")
+
+
+for _name, _fn in {
+    "lifecycle_distribution": ex.lifecycle_distribution,
+    "lifecycle_by_plan": ex.lifecycle_by_plan,
+    "lifecycle_by_plan_pivot": ex.lifecycle_by_plan_pivot,
+    "retention_funnel": ex.retention_funnel,
+    "churn_rate_overall": ex.churn_rate_overall,
+    "churn_extremes": ex.churn_extremes,
+    "at_risk_by_plan": ex.at_risk_by_plan,
+    "key_medians": ex.key_medians,
+    "medians_by_status": ex.medians_by_status,
+    "numeric_describe": ex.numeric_describe,
+    "recency_kde": ex.recency_kde,
+    "usage_trend_histogram": ex.usage_trend_histogram,
+    "key_insights": ex.key_insights,
+}.items():
+    query(_name)((lambda fn: lambda t: fn(_features(t)))(_fn))
+
+
+@query("churn_by_plan")
+def _churn_by_plan(t: Tables) -> DataFrame:
+    return ex.churn_by(_features(t), "plan")
+
+
+@query("churn_by_region")
+def _churn_by_region(t: Tables) -> DataFrame:
+    return ex.churn_by(_features(t), "region")
+
+
+@query("recency_box")
+def _recency_box(t: Tables) -> DataFrame:
+    return ex.box_summary(_features(t), "recency_days")
+
+
+@query("tickets_box")
+def _tickets_box(t: Tables) -> DataFrame:
+    return ex.box_summary(_features(t), "total_tickets")
