@@ -139,14 +139,14 @@ TICKET_PRIORITY_BUCKETS = [("low", 0.55), ("medium", 0.95), ("high", 1.0)]
 # Fixed-coefficient scorecard: score = 1 / (1 + exp(-z)), rounded to 6
 # decimals so every engine agrees on ties and threshold edges.
 # z = intercept + plan offset + sum(coef * coalesce(feature, 0))
-SCORECARD_INTERCEPT = -1.0
+SCORECARD_INTERCEPT = 1.0
 SCORECARD_PLAN_OFFSET = {"Free": 0.6, "Basic": 0.2, "Pro": -0.2, "Enterprise": -0.6}
 SCORECARD_COEFFICIENTS = [
     ("usage_decline_flag", 0.8),
     ("high_support_flag", 0.6),
     ("payment_issue_flag", 0.5),
     ("failed_payments_30d", 0.3),
-    ("active_days", -0.02),
+    ("active_days", -0.04),
 ]
 SCORE_DECIMALS = 6
 

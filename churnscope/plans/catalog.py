@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from churnscope.operators import features as feat
 from churnscope.operators import quality as dq
 from churnscope.plans.registry import query
+from churnscope.session import materialize
 
 Tables = dict[str, DataFrame]
 
@@ -120,7 +121,8 @@ from churnscope.operators import explore as ex  # noqa: E402
 
 
 def _features(t: Tables) -> DataFrame:
-    return feat.churn_features(t)
+    """The feature table, materialised once for operators that read it repeatedly."""
+    return materialize(feat.churn_features(t))
 
 
 @query("labelled_customers")
@@ -174,3 +176,291 @@ def _recency_box(t: Tables) -> DataFrame:
 @query("tickets_box")
 def _tickets_box(t: Tables) -> DataFrame:
     return ex.box_summary(_features(t), "total_tickets")
+
+
+# --------------------------------------------------------------- prep ------
+
+import datetime as _dt  # noqa: E402
+
+from churnscope import config as C  # noqa: E402
+from churnscope.functions.columns import round6  # noqa: E402
+from churnscope.operators import cohort as co  # noqa: E402
+from churnscope.operators import prep  # noqa: E402
+from churnscope.operators import scenario as sc  # noqa: E402
+from churnscope.operators import scoring  # noqa: E402
+
+
+@query("risk_flags")
+def _risk_flags(t: Tables) -> DataFrame:
+    return feat.risk_flags(_features(t)).select(
+        "customer_id", "usage_decline_flag", "high_support_flag", "payment_issue_flag")
+
+
+@query("model_base")
+def _model_base(t: Tables) -> DataFrame:
+    return prep.model_base(_features(t))
+
+
+@query("winsor_bounds")
+def _winsor_bounds(t: Tables) -> DataFrame:
+    return prep.winsor_bounds(prep.model_base(_features(t)))
+
+
+@query("winsorized")
+def _winsorized(t: Tables) -> DataFrame:
+    return prep.winsorized(prep.model_base(_features(t)))
+
+
+def _split(t: Tables) -> DataFrame:
+    base = materialize(prep.winsorized(prep.model_base(_features(t))))
+    return materialize(prep.stratified_split(base))
+
+
+@query("stratified_split")
+def _stratified_split(t: Tables) -> DataFrame:
+    return _split(t).select("customer_id", "churn_label", "split")
+
+
+def _imputed(t: Tables) -> DataFrame:
+    split = _split(t)
+    cols = C.NUMERIC_FEATURES
+    med = prep.fit_medians(split.where(F.col("split") == "train"), cols)
+    return prep.impute(split, med, cols).select("customer_id", "split", *cols)
+
+
+@query("imputed_features")
+def _imputed_features(t: Tables) -> DataFrame:
+    imp = _imputed(t)
+    return imp.select("customer_id", "split", *[round6(c).alias(c) for c in C.NUMERIC_FEATURES])
+
+
+@query("scaled_features")
+def _scaled_features(t: Tables) -> DataFrame:
+    imp = _imputed(t)
+    cols = C.NUMERIC_FEATURES
+    scaler = prep.fit_scaler(imp.where(F.col("split") == "train"), cols)
+    out = prep.scale(imp, scaler, cols)
+    return out.select("customer_id", "split", *[round6(c).alias(c) for c in cols])
+
+
+# Enumerated domains of the conformed data (plan from the market segment,
+# region from the region table); levels present in training are used.
+_LEVELS = {"plan": ["Basic", "Enterprise", "Free", "Pro"],
+           "region": ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]}
+
+
+@query("onehot_features")
+def _onehot_features(t: Tables) -> DataFrame:
+    split = _split(t)
+    out, names = prep.onehot(split, _LEVELS)
+    return out.select("customer_id", "plan", "region", *names)
+
+
+@query("class_weights")
+def _class_weights(t: Tables) -> DataFrame:
+    return prep.class_weights(_split(t).where(F.col("split") == "train"))
+
+
+# ------------------------------------------------------------ scoring ------
+
+def _scored(t: Tables) -> DataFrame:
+    return materialize(scoring.scored_customers(_features(t)))
+
+
+def _test_scored(t: Tables) -> DataFrame:
+    return materialize(prep.stratified_split(_scored(t))).where(F.col("split") == "test")
+
+
+@query("risk_scores_scorecard")
+def _risk_scores_scorecard(t: Tables) -> DataFrame:
+    return _scored(t).select("customer_id", "plan", "churn_label", "churn_risk_score")
+
+
+@query("roc_auc")
+def _roc_auc(t: Tables) -> DataFrame:
+    return scoring.roc_auc(_test_scored(t))
+
+
+@query("precision_at_k")
+def _precision_at_k(t: Tables) -> DataFrame:
+    return scoring.precision_at_top(_test_scored(t))
+
+
+# ------------------------------------------------------------- cohort ------
+
+DEFAULT_SPEC = co.CohortSpec()
+SIGNUP_SPEC = co.CohortSpec(signup_range=(_dt.date(1995, 3, 1), _dt.date(1995, 8, 31)))
+ACTIVE_SPEC = co.CohortSpec(active_range=(_dt.date(2001, 6, 1), _dt.date(2001, 10, 15)))
+SEGMENT_SPEC = co.CohortSpec(plans=("Pro", "Enterprise"), regions=("EUROPE", "ASIA"))
+THRESHOLD = 0.5
+DEFAULT_LEVERS = sc.Levers(discount_pct=C.DEFAULT_DISCOUNT_PCT, priority_support=True,
+                           feature_unlock=True)
+
+
+def _cohort(t: Tables) -> DataFrame:
+    return materialize(co.target_cohort(_scored(t), DEFAULT_SPEC))
+
+
+_COHORT_COLS = ["customer_id", "plan", "region", "churn_risk_score"]
+
+
+@query("overview_metrics")
+def _overview(t: Tables) -> DataFrame:
+    return co.overview_metrics(_scored(t))
+
+
+@query("risk_tier_share")
+def _risk_tier_share(t: Tables) -> DataFrame:
+    return co.risk_tier_share(_scored(t))
+
+
+@query("risk_histogram")
+def _risk_histogram(t: Tables) -> DataFrame:
+    s = _scored(t)
+    h = ex.histogram(s, "churn_risk_score", 50, value_range=(0.0, 1.0))
+    mean = s.agg(round6(F.avg("churn_risk_score")).alias("mean_risk"))
+    return h.crossJoin(mean)
+
+
+@query("top_risk_10")
+def _top_risk_10(t: Tables) -> DataFrame:
+    return co.top_risk(_scored(t), 10)
+
+
+@query("plan_domain")
+def _plan_domain(t: Tables) -> DataFrame:
+    return co.domain(_scored(t), "plan")
+
+
+@query("region_domain")
+def _region_domain(t: Tables) -> DataFrame:
+    return co.domain(_scored(t), "region")
+
+
+@query("cohort_filter")
+def _cohort_filter(t: Tables) -> DataFrame:
+    spec = co.CohortSpec(signup_range=SIGNUP_SPEC.signup_range,
+                         active_range=ACTIVE_SPEC.active_range, plans=("Pro", "Basic"))
+    return co.cohort_filter(_scored(t), spec).select(*_COHORT_COLS)
+
+
+@query("cohort_signup_range")
+def _cohort_signup(t: Tables) -> DataFrame:
+    return co.cohort_filter(_scored(t), SIGNUP_SPEC).select(*_COHORT_COLS)
+
+
+@query("cohort_active_range")
+def _cohort_active(t: Tables) -> DataFrame:
+    return co.cohort_filter(_scored(t), ACTIVE_SPEC).select(*_COHORT_COLS)
+
+
+@query("cohort_plan_region")
+def _cohort_segment(t: Tables) -> DataFrame:
+    return co.cohort_filter(_scored(t), SEGMENT_SPEC).select(*_COHORT_COLS)
+
+
+@query("cohort_threshold")
+def _cohort_threshold(t: Tables) -> DataFrame:
+    return _scored(t).where(F.col("churn_risk_score") >= THRESHOLD).select(*_COHORT_COLS)
+
+
+@query("risk_domain")
+def _risk_domain(t: Tables) -> DataFrame:
+    return co.risk_domain(_scored(t))
+
+
+@query("target_limits")
+def _target_limits(t: Tables) -> DataFrame:
+    return co.target_limits(_scored(t), DEFAULT_SPEC).select(
+        "customers", round6("threshold").alias("threshold"), "eligible", "max_target_pct_limit",
+        "max_target_pct", "max_target_count")
+
+
+@query("target_cohort")
+def _target_cohort(t: Tables) -> DataFrame:
+    return _cohort(t).select(*_COHORT_COLS, "usage_trend_30d", "total_tickets",
+                             "total_payment_issues")
+
+
+@query("targeting_summary")
+def _targeting_summary(t: Tables) -> DataFrame:
+    return co.targeting_summary(_scored(t), DEFAULT_SPEC)
+
+
+@query("cohort_drivers")
+def _cohort_drivers(t: Tables) -> DataFrame:
+    return co.cohort_drivers(_cohort(t))
+
+
+@query("cohort_trend_split")
+def _cohort_trend_split(t: Tables) -> DataFrame:
+    return co.cohort_trend_split(_cohort(t))
+
+
+@query("plan_contribution")
+def _plan_contribution(t: Tables) -> DataFrame:
+    return co.plan_contribution(_cohort(t))
+
+
+@query("risk_by_plan")
+def _risk_by_plan(t: Tables) -> DataFrame:
+    return co.risk_by(_cohort(t), "plan")
+
+
+@query("risk_by_region")
+def _risk_by_region(t: Tables) -> DataFrame:
+    return co.risk_by(_cohort(t), "region")
+
+
+@query("cohort_feature_delta")
+def _cohort_feature_delta(t: Tables) -> DataFrame:
+    s = _scored(t)
+    return co.cohort_feature_delta(co.target_cohort(s, DEFAULT_SPEC), s)
+
+
+@query("cohort_risk_lift")
+def _cohort_risk_lift(t: Tables) -> DataFrame:
+    s = _scored(t)
+    return co.cohort_risk_lift(co.target_cohort(s, DEFAULT_SPEC), s)
+
+
+@query("cohort_trend_histogram")
+def _cohort_trend_histogram(t: Tables) -> DataFrame:
+    return ex.histogram(_cohort(t), "usage_trend_30d", 30)
+
+
+@query("risk_value_points")
+def _risk_value_points(t: Tables) -> DataFrame:
+    return co.risk_value_points(_cohort(t))
+
+
+# ----------------------------------------------------------- scenario ------
+
+@query("plan_revenue")
+def _plan_revenue(t: Tables) -> DataFrame:
+    return sc.plan_revenue_frame(_scored(t))
+
+
+@query("lever_uplift")
+def _lever_uplift(t: Tables) -> DataFrame:
+    return sc.lever_uplift(_cohort(t), DEFAULT_LEVERS)
+
+
+@query("business_summary")
+def _business_summary(t: Tables) -> DataFrame:
+    return sc.business_summary(_cohort(t), DEFAULT_LEVERS)
+
+
+@query("cost_breakdown")
+def _cost_breakdown(t: Tables) -> DataFrame:
+    return sc.cost_breakdown(_cohort(t), DEFAULT_LEVERS)
+
+
+@query("scenario_grid")
+def _scenario_grid(t: Tables) -> DataFrame:
+    return sc.scenario_grid(_cohort(t))
+
+
+@query("best_scenario")
+def _best_scenario(t: Tables) -> DataFrame:
+    return sc.best_scenario(_cohort(t))

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings for local runs (tests, bench).  On a cluster these come from the
 # submit command; nothing here assumes a particular deployment.
@@ -22,7 +22,7 @@ LOCAL_CONF = {
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  driver_memory: str | None = None) -> SparkSession:
+                  driver_memory: str | None = "8g") -> SparkSession:
     builder = SparkSession.builder.master(f"local[{cores}]").appName("churnscope")
     for key, value in LOCAL_CONF.items():
         builder = builder.config(key, value)
@@ -67,3 +67,14 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
 
 def default_sf_dir(sf: str = "0.001") -> str:
     return os.environ.get("CHURNSCOPE_SF_DIR", f"/root/testdata/sf{sf}")
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut lineage: write ``df`` to the shared checkpoint folder and read it back.
+
+    Used before operators that scan an expensive input several times (the
+    exact quantile and cutoff plans), so the input is computed once and a
+    lost executor recomputes from the checkpoint, not from the raw tables.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
