@@ -464,3 +464,53 @@ def _scenario_grid(t: Tables) -> DataFrame:
 @query("best_scenario")
 def _best_scenario(t: Tables) -> DataFrame:
     return sc.best_scenario(_cohort(t))
+
+
+# -------------------------------------------------------------- spine ------
+
+from churnscope.operators import spine  # noqa: E402
+
+
+def _stats(t: Tables) -> feat.UsageStats:
+    return feat.UsageStats(t["usage_daily"])
+
+
+@query("calendar_spine")
+def _calendar_spine(t: Tables) -> DataFrame:
+    return spine.calendar_spine(t["customers"], t["usage_daily"], _stats(t))
+
+
+@query("expected_activity")
+def _expected_activity(t: Tables) -> DataFrame:
+    return spine.expected_activity(t["customers"], t["usage_daily"], _stats(t))
+
+
+@query("tenure_months")
+def _tenure_months(t: Tables) -> DataFrame:
+    return spine.tenure(t["customers"], _stats(t))
+
+
+@query("expected_tickets")
+def _expected_tickets(t: Tables) -> DataFrame:
+    return spine.expected_tickets(t["customers"], _stats(t))
+
+
+@query("schedule_expand")
+def _schedule_expand(t: Tables) -> DataFrame:
+    return spine.schedule_expand(t["customers"], _stats(t))
+
+
+@query("weighted_bucket")
+def _weighted_bucket(t: Tables) -> DataFrame:
+    return spine.weighted_bucket(spine.schedule_expand(t["customers"], _stats(t)))
+
+
+@query("hash_sample")
+def _hash_sample(t: Tables) -> DataFrame:
+    return spine.hash_sample(t["usage_daily"]).select("customer_id", "date", "sessions",
+                                                      "usage_minutes")
+
+
+@query("bill_sequence")
+def _bill_sequence(t: Tables) -> DataFrame:
+    return spine.bill_sequence(t["billing"])
