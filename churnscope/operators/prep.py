@@ -17,6 +17,7 @@ from churnscope import config as C
 from churnscope.functions.columns import clip, key_hash
 from churnscope.functions.quantiles import exact_percentiles, rank_cutoff, wide_percentiles
 from churnscope.operators.features import risk_flags
+from churnscope.session import materialize
 
 
 def model_base(features: DataFrame) -> DataFrame:
@@ -157,12 +158,14 @@ def prepared(features: DataFrame, numeric: Sequence[str] = C.NUMERIC_FEATURES,
     Returns (frame, feature_columns).  The frame keeps customer_id,
     churn_label and split.
     """
-    base = winsorized(model_base(features))
-    split = stratified_split(base)
+    # Each step scans its input several times: cut lineage between steps so
+    # the plans stay small and a lost executor restarts from the last cut.
+    base = materialize(winsorized(model_base(features)))
+    split = materialize(stratified_split(base))
     cols = list(numeric) + (list(C.FLAG_FEATURES) if with_flags else [])
     train = split.where(F.col("split") == "train")
     med = fit_medians(train, cols)
-    imputed = impute(split, med, cols)
+    imputed = materialize(impute(split, med, cols))
     scaler = fit_scaler(imputed.where(F.col("split") == "train"), cols)
     scaled = scale(imputed, scaler, cols)
     if levels is None:

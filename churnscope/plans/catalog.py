@@ -514,3 +514,90 @@ def _hash_sample(t: Tables) -> DataFrame:
 @query("bill_sequence")
 def _bill_sequence(t: Tables) -> DataFrame:
     return spine.bill_sequence(t["billing"])
+
+
+# ---------------------------------------------------- layers / profile -----
+
+from churnscope.plans import pipeline as pl  # noqa: E402
+from churnscope.plans.registry import raw_query  # noqa: E402
+from churnscope.session import shared_path  # noqa: E402
+from churnscope.sources.staging import staged_from_root  # noqa: E402
+
+
+@query("staging_row_counts")
+def _staging_row_counts(t: Tables) -> DataFrame:
+    return pl.staging_row_counts(t)
+
+
+@query("analytics_row_count")
+def _analytics_row_count(t: Tables) -> DataFrame:
+    return feat.churn_features(t).agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@query("feature_table_shape")
+def _feature_table_shape(t: Tables) -> DataFrame:
+    f = feat.churn_features(t)
+    return f.agg(F.count(F.lit(1)).alias("rows")).select(
+        "rows", F.lit(len(f.columns)).alias("columns"))
+
+
+@raw_query("export_churn_features")
+def _export_churn_features(spark, sf_dir: str) -> DataFrame:
+    """Write the feature table to the shared folder and read it back."""
+    path = shared_path(spark, "export", "churn_features")
+    pl.write_layer(feat.churn_features(staged_from_root(spark, sf_dir)), path)
+    return pl.read_layer(spark, path)
+
+
+# --------------------------------------------------------------- models ----
+
+from churnscope.operators import models as ml  # noqa: E402
+
+_TRAINED: dict[tuple[str, str], object] = {}
+
+
+def _trained(spark, sf_dir: str, kind: str):
+    key = (sf_dir, kind)
+    if key not in _TRAINED:
+        f = materialize(feat.churn_features(staged_from_root(spark, sf_dir)))
+        _TRAINED[key] = ml.train_logistic(f) if kind == "lr" else ml.train_forest(f)
+    return _TRAINED[key]
+
+
+@raw_query("lr_scores")
+def _lr_scores(spark, sf_dir: str) -> DataFrame:
+    return ml.scores(_trained(spark, sf_dir, "lr"))
+
+
+@raw_query("rf_scores")
+def _rf_scores(spark, sf_dir: str) -> DataFrame:
+    return ml.scores(_trained(spark, sf_dir, "rf"))
+
+
+@raw_query("risk_scores")
+def _risk_scores(spark, sf_dir: str) -> DataFrame:
+    """Forest churn risk for every labelled customer (the app's scoring)."""
+    return ml.scores(_trained(spark, sf_dir, "rf"), split=None).withColumnRenamed(
+        "rf_score", "churn_risk_score")
+
+
+@raw_query("model_comparison")
+def _model_comparison(spark, sf_dir: str) -> DataFrame:
+    lr = ml.evaluation(_trained(spark, sf_dir, "lr"), "logistic_regression")
+    rf = ml.evaluation(_trained(spark, sf_dir, "rf"), "random_forest")
+    return lr.unionByName(rf)
+
+
+@raw_query("lr_top_drivers")
+def _lr_top_drivers(spark, sf_dir: str) -> DataFrame:
+    return ml.lr_drivers(_trained(spark, sf_dir, "lr"))
+
+
+@raw_query("rf_importance")
+def _rf_importance(spark, sf_dir: str) -> DataFrame:
+    return ml.forest_importance(_trained(spark, sf_dir, "rf"))
+
+
+@raw_query("linear_attribution")
+def _linear_attribution(spark, sf_dir: str) -> DataFrame:
+    return ml.linear_attribution(_trained(spark, sf_dir, "lr"))
