@@ -20,6 +20,12 @@ Method (all one lazy plan, any number of rows, skew-safe)
 
 Group keys (``by``) must be low-cardinality (plan, region, status, stage,
 feature name): the per-group bracket table is broadcast.
+
+Small inputs take a one-job path instead (Spark's exact ``percentile``, or
+a ``row_number`` window) when Catalyst's size estimate of the input is at
+most ``SMALL_INPUT_BYTES``: the estimate bounds what one task then holds,
+the same kind of check as a broadcast threshold.  Unknown sizes take the
+scalable path.
 """
 
 from __future__ import annotations
@@ -32,6 +38,20 @@ from pyspark.sql import functions as F
 GRID = 2000
 ACCURACY = 20000
 _SLACK_ROWS = 3
+SMALL_INPUT_BYTES = 64 << 20
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of ``df`` (a large number when unknown)."""
+    try:
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(size) if isinstance(size, int) else int(size.toString())
+    except Exception:  # noqa: BLE001 - e.g. no JVM handle (Spark Connect)
+        return 1 << 62
+
+
+def is_small(df: DataFrame) -> bool:
+    return estimated_bytes(df) <= SMALL_INPUT_BYTES
 
 
 def _join_small(big: DataFrame, small: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -108,7 +128,8 @@ def exact_percentiles(df: DataFrame, value: str, probs: Sequence[float],
     by = list(by)
     if method == "auto":
         dtype = df.schema[value].dataType.typeName()
-        method = "map" if dtype in ("integer", "long", "short", "byte") else "bracket"
+        integral = dtype in ("integer", "long", "short", "byte")
+        method = "map" if integral or is_small(df) else "bracket"
     if method == "map":
         arr = df.groupBy(*by).agg(F.percentile(value, list(probs)).alias("_q"))
         rows = F.arrays_zip(F.array(*[F.lit(float(p)) for p in probs]).alias("p"),
@@ -137,7 +158,8 @@ def exact_percentiles(df: DataFrame, value: str, probs: Sequence[float],
 
 def rank_cutoff(df: DataFrame, value: str, tie: str, quota: DataFrame,
                 by: Sequence[str] = (), descending: bool = True,
-                grid: int = GRID, accuracy: int = ACCURACY) -> DataFrame:
+                grid: int = GRID, accuracy: int = ACCURACY,
+                method: str = "auto") -> DataFrame:
     """Mark the first ``_take`` rows per group in (value, tie) order.
 
     ``quota`` holds the ``by`` columns and ``_take`` (rows wanted, may be
@@ -150,6 +172,18 @@ def rank_cutoff(df: DataFrame, value: str, tie: str, quota: DataFrame,
     by = list(by)
     sign = -1.0 if descending else 1.0
     keyed = df.withColumn("_ord", F.col(value).cast("double") * F.lit(sign))
+    if method == "auto":
+        method = "window" if is_small(df) else "bracket"
+    if method == "window":
+        # Small input (size-checked): one sort per group is bounded.
+        w = Window.partitionBy(*by).orderBy(F.col("_ord").asc_nulls_last(), F.col(tie).asc())
+        ranked = keyed.withColumn("_rn", F.row_number().over(w))
+        q = quota.select(*by, "_take")
+        ranked = (ranked.join(F.broadcast(q), by, "left") if by
+                  else ranked.crossJoin(F.broadcast(q)))
+        sel = F.col("_ord").isNotNull() & (F.col("_rn") <= F.col("_take"))
+        return ranked.withColumn("_selected", F.coalesce(sel, F.lit(False))).drop(
+            "_ord", "_rn", "_take")
     elig = keyed.where(F.col("_ord").isNotNull())
     # 1) the value at position _take - 1
     q1 = quota.select(*by, F.lit(0).alias("tid"), (F.col("_take") - 1).cast("long").alias("k"))

@@ -94,8 +94,9 @@ def target_cohort(scored: DataFrame, spec: CohortSpec) -> DataFrame:
     """Score >= threshold, then the top N by score (ties: lower customer_id)."""
     filtered = cohort_filter(scored, spec)
     lim = target_limits(filtered, spec)
-    above = (filtered.crossJoin(F.broadcast(lim.select("threshold")))
-             .where(F.col("churn_risk_score") >= F.col("threshold")).drop("threshold"))
+    # The one-row limits enter as a scalar subquery (computed once), so the
+    # filter stays a plain predicate and size estimates stay those of the input.
+    above = filtered.where(F.col("churn_risk_score") >= lim.select("threshold").scalar())
     quota = lim.select(F.col("max_target_count").alias("_take"))
     return rank_cutoff(above, "churn_risk_score", "customer_id", quota).where(
         F.col("_selected")).drop("_selected")

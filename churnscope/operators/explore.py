@@ -147,7 +147,7 @@ def at_risk_by_plan(features: DataFrame) -> DataFrame:
 def key_medians(features: DataFrame) -> DataFrame:
     """Exact medians of the reported columns: one unpivoted grouped pass."""
     long = _long(labelled(features), C.KEY_MEDIAN_COLUMNS)
-    med = exact_percentiles(long, "value", [0.5], by=["feature"], method="bracket")
+    med = exact_percentiles(long, "value", [0.5], by=["feature"])
     return med.select("feature", round6("value").alias("median"))
 
 
@@ -155,8 +155,7 @@ def medians_by_status(features: DataFrame,
                       columns: Sequence[str] = ("usage_trend_30d", "recency_days",
                                                 "total_tickets")) -> DataFrame:
     long = _long(labelled(features), columns, keep=["churn_status"])
-    med = exact_percentiles(long, "value", [0.5], by=["churn_status", "feature"],
-                            method="bracket")
+    med = exact_percentiles(long, "value", [0.5], by=["churn_status", "feature"])
     return med.select("churn_status", "feature", round6("value").alias("median"))
 
 
@@ -167,7 +166,7 @@ def numeric_describe(features: DataFrame, columns: Sequence[str] = DESCRIBE_COLU
         F.count(F.lit(1)).alias("count"), F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
         F.max("value").alias("max"))
-    q = exact_percentiles(long, "value", [0.25, 0.5, 0.75], by=["feature"], method="bracket")
+    q = exact_percentiles(long, "value", [0.25, 0.5, 0.75], by=["feature"])
     qw = wide_percentiles(q, ["feature"], {0.25: "p25", 0.5: "p50", 0.75: "p75"})
     out = moments.join(qw, "feature", "left")
     return out.select("feature", "count", *[round6(c).alias(c) for c in
@@ -343,3 +342,24 @@ def overview_rates(features: DataFrame) -> DataFrame:
     """Mean of the 0/1 label over labelled rows."""
     return labelled(features).agg(round6(F.avg("churn_label")).alias("churn_rate"),
                                   F.count(F.lit(1)).alias("labelled_customers"))
+
+
+def report(features: DataFrame) -> dict[str, DataFrame]:
+    """Every exploration table, keyed by name (compute them together)."""
+    return {
+        "lifecycle_distribution": lifecycle_distribution(features),
+        "lifecycle_by_plan": lifecycle_by_plan(features),
+        "lifecycle_by_plan_pivot": lifecycle_by_plan_pivot(features),
+        "retention_funnel": retention_funnel(features),
+        "churn_rate_overall": churn_rate_overall(features),
+        "churn_by_plan": churn_by(features, "plan"),
+        "churn_by_region": churn_by(features, "region"),
+        "key_medians": key_medians(features),
+        "medians_by_status": medians_by_status(features),
+        "numeric_describe": numeric_describe(features),
+        "recency_box": box_summary(features, "recency_days"),
+        "tickets_box": box_summary(features, "total_tickets"),
+        "recency_kde": recency_kde(features),
+        "usage_trend_histogram": usage_trend_histogram(features),
+        "key_insights": key_insights(features),
+    }

@@ -38,15 +38,21 @@ class Trained:
     score_col: str
 
 
-def _prepared(features: DataFrame, with_flags: bool) -> tuple[DataFrame, list[str]]:
-    frame, cols = prep.prepared(features, with_flags=with_flags)
+def prepare_for_models(features: DataFrame) -> tuple[DataFrame, list[str]]:
+    """One preparation shared by both models (numeric + flags + one-hot, weights)."""
+    frame, cols = prep.prepared(features, with_flags=True)
     weights = prep.class_weights(frame.where(F.col("split") == "train"))
     frame = frame.join(F.broadcast(weights.select("churn_label", "class_weight")), "churn_label")
     return materialize(frame), cols
 
 
-def train_logistic(features: DataFrame) -> Trained:
-    frame, cols = _prepared(features, with_flags=False)
+def _lr_columns(cols: list[str]) -> list[str]:
+    return [c for c in cols if c not in C.FLAG_FEATURES]
+
+
+def train_logistic(features: DataFrame, prepared=None) -> Trained:
+    frame, cols = prepared or prepare_for_models(features)
+    cols = _lr_columns(cols)
     train = frame.where(F.col("split") == "train")
     n_train = train.count()
     lr = LogisticRegression(featuresCol="x", labelCol="churn_label", weightCol="class_weight",
@@ -58,8 +64,8 @@ def train_logistic(features: DataFrame) -> Trained:
 
 
 def train_forest(features: DataFrame, num_trees: int = 200, max_depth: int = 8,
-                 min_leaf: int = 100, seed: int = C.SPLIT_SEED) -> Trained:
-    frame, cols = _prepared(features, with_flags=True)
+                 min_leaf: int = 100, seed: int = C.SPLIT_SEED, prepared=None) -> Trained:
+    frame, cols = prepared or prepare_for_models(features)
     train = frame.where(F.col("split") == "train")
     rf = RandomForestClassifier(featuresCol="x", labelCol="churn_label", weightCol="class_weight",
                                 numTrees=num_trees, maxDepth=max_depth,

@@ -93,7 +93,7 @@ def fit_medians(train: DataFrame, columns: Sequence[str]) -> DataFrame:
     long = train.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value"))
         for c in columns])))
-    med = exact_percentiles(long, "value", [0.5], by=["feature"], method="bracket")
+    med = exact_percentiles(long, "value", [0.5], by=["feature"])
     return med.agg(*[F.first(F.when(F.col("feature") == c, F.col("value")), ignorenulls=True)
                      .alias(c) for c in columns])
 

@@ -560,7 +560,9 @@ def _trained(spark, sf_dir: str, kind: str):
     key = (sf_dir, kind)
     if key not in _TRAINED:
         f = materialize(feat.churn_features(staged_from_root(spark, sf_dir)))
-        _TRAINED[key] = ml.train_logistic(f) if kind == "lr" else ml.train_forest(f)
+        shared = ml.prepare_for_models(f)
+        _TRAINED[(sf_dir, "lr")] = ml.train_logistic(f, shared)
+        _TRAINED[(sf_dir, "rf")] = ml.train_forest(f, prepared=shared)
     return _TRAINED[key]
 
 

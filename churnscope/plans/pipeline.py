@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from churnscope.config import STAGING_SCHEMAS
 from churnscope.operators.features import churn_features
 from churnscope.operators.quality import dq_summary
+from churnscope.plans.runner import run_all
 from churnscope.sources.staging import staged_from_root
 
 # Sort keys inside each written file: tighter min/max statistics for
@@ -69,23 +70,24 @@ def staging_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return out.orderBy("table_name")
 
 
-def run_pipeline(spark: SparkSession, in_root: str, out_root: str) -> PipelineResult:
+def run_pipeline(spark: SparkSession, in_root: str, out_root: str,
+                 max_workers: int = 4) -> PipelineResult:
     res = PipelineResult(out_root)
-    # 1. staging layer
+    # 1. staging layer: four independent writes, submitted together
     staged = staged_from_root(spark, in_root)
-    for name, df in staged.items():
-        path = layer_path(out_root, "staging", name)
-        write_layer(df, path, SORT_KEYS.get(name))
-        res.paths[f"staging.{name}"] = path
+    for name in staged:
+        res.paths[f"staging.{name}"] = layer_path(out_root, "staging", name)
+    run_all({name: (lambda n=name, df=df: write_layer(df, res.paths[f"staging.{n}"],
+                                                      SORT_KEYS.get(n)))
+             for name, df in staged.items()}, max_workers)
     tables = {name: read_layer(spark, res.paths[f"staging.{name}"]) for name in STAGING_SCHEMAS}
-    # 2. quality layer (one small table)
+    # 2. quality layer (one small table) and 3. analytics layer, both from staging
     dq_path = layer_path(out_root, "dq", "data_quality_summary")
-    write_layer(dq_summary(tables).coalesce(1), dq_path)
-    res.paths["dq.data_quality_summary"] = dq_path
-    # 3. analytics layer
     feat_path = layer_path(out_root, "analytics", "churn_features")
-    write_layer(churn_features(tables), feat_path)
+    res.paths["dq.data_quality_summary"] = dq_path
     res.paths["analytics.churn_features"] = feat_path
+    run_all({"dq": lambda: write_layer(dq_summary(tables).coalesce(1), dq_path),
+             "features": lambda: write_layer(churn_features(tables), feat_path)}, max_workers)
     # 4. profile: counts per staged table and the feature table
     for row in staging_row_counts(tables).collect():
         res.counts[f"staging.{row.table_name}"] = row.row_count

@@ -50,7 +50,7 @@ def test_order_statistics_out_of_range(spark):
 def test_rank_cutoff_matches_sort(spark, take):
     df = _frame(spark, nulls=True)
     quota = spark.createDataFrame([(take,)], "_take long")
-    got = rank_cutoff(df, "v", "id", quota, grid=40, accuracy=100)
+    got = rank_cutoff(df, "v", "id", quota, grid=40, accuracy=100, method="bracket")
     sel = {r.id for r in got.where("_selected").select("id").collect()}
     pdf = df.toPandas().dropna().sort_values(["v", "id"], ascending=[False, True])
     want = set(pdf.id.head(take))
@@ -60,7 +60,8 @@ def test_rank_cutoff_matches_sort(spark, take):
 def test_rank_cutoff_grouped_ascending(spark):
     df = _frame(spark, n=5000, nulls=False)
     quota = spark.createDataFrame([("a", 100), ("b", 2000), ("c", 0)], "g string, _take long")
-    got = rank_cutoff(df, "v", "id", quota, by=["g"], descending=False, grid=40, accuracy=100)
+    got = rank_cutoff(df, "v", "id", quota, by=["g"], descending=False, grid=40,
+                      accuracy=100, method="bracket")
     assert got.count() == 5000
     sel = {r.id for r in got.where("_selected").collect()}
     pdf = df.toPandas().sort_values(["v", "id"])
@@ -68,3 +69,21 @@ def test_rank_cutoff_grouped_ascending(spark):
     for gname, take in [("a", 100), ("b", 2000), ("c", 0)]:
         want |= set(pdf[pdf.g == gname].id.head(take))
     assert sel == want
+
+
+@pytest.mark.parametrize("take", [0, 5, 4000])
+def test_rank_cutoff_window_path_agrees(spark, take):
+    df = _frame(spark, n=4000, nulls=True)
+    quota = spark.createDataFrame([(take,)], "_take long")
+    a = {r.id for r in rank_cutoff(df, "v", "id", quota, method="window")
+         .where("_selected").collect()}
+    b = {r.id for r in rank_cutoff(df, "v", "id", quota, method="bracket", grid=40, accuracy=100)
+         .where("_selected").collect()}
+    assert a == b
+
+
+def test_size_gate_uses_catalyst_estimate(spark):
+    from churnscope.functions.quantiles import SMALL_INPUT_BYTES, estimated_bytes, is_small
+    df = spark.read.parquet("/root/testdata/sf0.001/customer.parquet")
+    est = estimated_bytes(df)
+    assert 0 < est <= SMALL_INPUT_BYTES and is_small(df)
