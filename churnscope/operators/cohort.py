@@ -214,3 +214,51 @@ def risk_value_points(cohort: DataFrame) -> DataFrame:
 
 def cohort_flags(cohort: DataFrame) -> DataFrame:
     return cohort.select("customer_id", flag(F.col("usage_trend_30d") < 0).alias("declining"))
+
+
+def cohort_insights(cohort: DataFrame, scored: DataFrame) -> DataFrame:
+    """The cohort findings as (insight_id, value, text) rows; empty cohort -> no rows."""
+    from churnscope.functions.columns import fixed
+
+    drivers = cohort_drivers(cohort)
+    dom = drivers.where("is_dominant").select(F.col("driver").alias("dd"),
+                                              F.col("pct_affected").alias("dp"))
+    pct_of = lambda name: F.first(F.when(F.col("driver") == name, F.col("pct_affected")),
+                                  ignorenulls=True)
+    shares = drivers.agg(pct_of("Usage Decline").alias("ud"), pct_of("Payment Issues").alias("pi"),
+                         pct_of("Support Load").alias("sl"))
+    top = plan_contribution(cohort).limit(1).select(F.col("plan").alias("tp"),
+                                                    F.col("contribution_pct").alias("tpp"))
+    split = cohort_trend_split(cohort)
+    lift = cohort_risk_lift(cohort, scored)
+    one = (dom.crossJoin(shares).crossJoin(top).crossJoin(split).crossJoin(lift)
+           .where(F.col("customers") > 0))
+    neg_pct = F.col("negative_trend") * 100.0 / F.col("customers")
+    null_pct = F.col("no_trend") * 100.0 / F.col("customers")
+    rows = [
+        (1, F.col("dp"), F.concat(F.col("dd"), F.lit(" is the dominant churn signal: "),
+                                  fixed("dp", 1), F.lit("% of selected customers are affected"))),
+        (2, F.col("tpp"), F.concat(F.lit("Plan '"), F.col("tp"), F.lit("' contributes "),
+                                   fixed("tpp", 1), F.lit("% of expected churn in this cohort"))),
+        (3, F.col("cohort_risk"), F.concat(F.lit("Average churn risk in cohort: "),
+                                           fixed(F.col("cohort_risk") * 100, 1), F.lit("% (vs "),
+                                           fixed(F.col("overall_risk") * 100, 1),
+                                           F.lit("% overall)"))),
+        (4, F.when(F.col("negative_trend") > 0, round6(neg_pct)),
+         F.when(F.col("negative_trend") > 0, F.concat(
+             F.col("negative_trend").cast("string"), F.lit(" customers ("), fixed(neg_pct, 1),
+             F.lit("%) show negative usage trends")))),
+        (5, F.when(F.col("no_trend") > 0, round6(null_pct)),
+         F.when(F.col("no_trend") > 0, F.concat(
+             F.col("no_trend").cast("string"), F.lit(" customers ("), fixed(null_pct, 1),
+             F.lit("%) have insufficient usage history for a trend")))),
+        (6, F.col("pi"), F.concat(fixed("pi", 1), F.lit("% have payment issues, "),
+                                  fixed("sl", 1), F.lit("% have high support load (3+ tickets)"))),
+        (7, F.when(F.col("high_priority"), F.col("pct_higher")),
+         F.when(F.col("high_priority"), F.concat(
+             F.lit("Cohort risk is "), fixed("pct_higher", 0),
+             F.lit("% higher than overall average")))),
+    ]
+    arr = F.array(*[F.struct(F.lit(i).alias("insight_id"), round6(v).alias("value"),
+                             t.alias("text")) for i, v, t in rows])
+    return one.select(F.inline(arr)).where(F.col("text").isNotNull())

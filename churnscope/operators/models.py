@@ -125,3 +125,65 @@ def linear_attribution(t: Trained) -> DataFrame:
     return (agg.select(F.inline(rows))
             .select("feature", round6("mean_abs_attribution").alias("mean_abs_attribution"))
             .orderBy(F.desc("mean_abs_attribution"), "feature"))
+
+
+def permutation_importance(t: Trained, seed: int = C.SPLIT_SEED, block: int = 64) -> DataFrame:
+    """AUC drop when one feature's values are permuted across test rows.
+
+    The permutation is a cyclic shift inside hash buckets of about ``block``
+    rows (bucket and order both from the key hash), so every window holds
+    one bucket and the same permutation comes out of any partitioning.
+    Returns (feature, base_auc, permuted_auc, auc_drop) sorted by drop.
+    """
+    from pyspark.sql import Window
+
+    from churnscope.functions.columns import key_hash
+
+    test = t.frame.where(F.col("split") == "test")
+    n = test.count()
+    buckets = max(1, n // block)
+    keyed = (test.withColumn("_b", F.pmod(key_hash("customer_id", seed), F.lit(buckets)))
+             .withColumn("_h", key_hash("customer_id", seed + 1)))
+    keyed = keyed.withColumn("_r", F.row_number().over(
+        Window.partitionBy("_b").orderBy("_h", "customer_id")))
+    keyed = keyed.withColumn("_m", F.count(F.lit(1)).over(Window.partitionBy("_b")))
+    keyed = materialize(keyed.withColumn("_partner", F.pmod(F.col("_r"), F.col("_m")) + 1))
+
+    def auc_of(rows: DataFrame) -> DataFrame:
+        scored = t.model.transform(rows).select(
+            "customer_id", "churn_label",
+            vector_to_array("probability")[1].alias("churn_risk_score"))
+        return roc_auc(scored).select("roc_auc")
+
+    base = auc_of(keyed).select(F.col("roc_auc").alias("base_auc"))
+    parts = []
+    for feature in t.features:
+        donor = keyed.select("_b", F.col("_r").alias("_partner"), F.col(feature).alias("_donor"))
+        permuted = keyed.join(donor, ["_b", "_partner"]).withColumn(feature, F.col("_donor"))
+        parts.append(auc_of(permuted).select(F.lit(feature).alias("feature"),
+                                             F.col("roc_auc").alias("permuted_auc")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return (out.crossJoin(base)
+            .select("feature", "base_auc", "permuted_auc",
+                    round6(F.col("base_auc") - F.col("permuted_auc")).alias("auc_drop"))
+            .orderBy(F.desc("auc_drop"), "feature"))
+
+
+class MissingModelError(FileNotFoundError):
+    pass
+
+
+def save_model(t: Trained, path: str) -> None:
+    t.model.write().overwrite().save(path)
+
+
+def load_model(spark, path: str) -> PipelineModel:
+    """Load a saved model; a named error (before any job) when it is absent."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hpath):
+        raise MissingModelError(f"no model at {path}; train and save it first")
+    return PipelineModel.load(path)

@@ -603,3 +603,14 @@ def _rf_importance(spark, sf_dir: str) -> DataFrame:
 @raw_query("linear_attribution")
 def _linear_attribution(spark, sf_dir: str) -> DataFrame:
     return ml.linear_attribution(_trained(spark, sf_dir, "lr"))
+
+
+@query("cohort_insights")
+def _cohort_insights(t: Tables) -> DataFrame:
+    s = _scored(t)
+    return co.cohort_insights(materialize(co.target_cohort(s, DEFAULT_SPEC)), s)
+
+
+@raw_query("permutation_importance")
+def _permutation_importance(spark, sf_dir: str) -> DataFrame:
+    return ml.permutation_importance(_trained(spark, sf_dir, "lr"))

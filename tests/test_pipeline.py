@@ -32,7 +32,8 @@ def test_every_key_has_a_callable_and_oracles_are_keys(spark):
     assert set(o) <= set(q)
     rows_only = set(q) - set(o)
     assert rows_only == {"lr_scores", "rf_scores", "risk_scores", "model_comparison",
-                         "lr_top_drivers", "rf_importance", "linear_attribution"}
+                         "lr_top_drivers", "rf_importance", "linear_attribution",
+                         "permutation_importance"}
 
 
 def test_invariants(spark, tables):
