@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 GRID = 2000
 ACCURACY = 20000
 _SLACK_ROWS = 3
-SMALL_INPUT_BYTES = 64 << 20
+SMALL_INPUT_BYTES = 32 << 20
 
 
 def estimated_bytes(df: DataFrame) -> int:

@@ -70,7 +70,7 @@ def train_forest(features: DataFrame, num_trees: int = 200, max_depth: int = 8,
     rf = RandomForestClassifier(featuresCol="x", labelCol="churn_label", weightCol="class_weight",
                                 numTrees=num_trees, maxDepth=max_depth,
                                 minInstancesPerNode=min_leaf, featureSubsetStrategy="sqrt",
-                                seed=seed)
+                                seed=seed, maxMemoryInMB=1024, cacheNodeIds=True)
     model = Pipeline(stages=[VectorAssembler(inputCols=cols, outputCol="x"), rf]).fit(
         train.withColumn("churn_label", F.col("churn_label").cast("double")))
     return Trained(model, cols, frame, "rf_score")

@@ -70,11 +70,16 @@ def default_sf_dir(sf: str = "0.001") -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage: write ``df`` to the shared checkpoint folder and read it back.
+    """Cut lineage: write ``df`` as Parquet under the shared checkpoint folder, read it back.
 
     Used before operators that scan an expensive input several times (the
     exact quantile and cutoff plans), so the input is computed once and a
-    lost executor recomputes from the checkpoint, not from the raw tables.
+    lost executor recomputes from the written files, not from the raw
+    tables.  Unlike ``checkpoint()``, the re-read frame carries size
+    statistics of the real files, which the size-gated operators rely on
+    (a checkpoint keeps the pre-cut estimate, inflated by any join).
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = shared_path(spark, "materialized")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
