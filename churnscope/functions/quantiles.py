@@ -132,8 +132,10 @@ def exact_percentiles(df: DataFrame, value: str, probs: Sequence[float],
         method = "map" if integral or is_small(df) else "bracket"
     if method == "map":
         arr = df.groupBy(*by).agg(F.percentile(value, list(probs)).alias("_q"))
+        # An all-NULL group yields a NULL array; keep one NULL row per probability.
+        q = F.coalesce(F.col("_q"), F.array_repeat(F.lit(None).cast("double"), len(probs)))
         rows = F.arrays_zip(F.array(*[F.lit(float(p)) for p in probs]).alias("p"),
-                            F.col("_q").alias("value"))
+                            q.alias("value"))
         return arr.select(*by, F.inline(rows))
     # count(value) keeps all-NULL groups (their percentiles are NULL, as in SQL).
     counts = df.groupBy(*by).agg(F.count(value).alias("_n"))

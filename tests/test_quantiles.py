@@ -87,3 +87,11 @@ def test_size_gate_uses_catalyst_estimate(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/customer.parquet")
     est = estimated_bytes(df)
     assert 0 < est <= SMALL_INPUT_BYTES and is_small(df)
+
+
+@pytest.mark.parametrize("method", ["map", "bracket"])
+def test_all_null_group_keeps_a_null_row(spark, method):
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", None)], "g string, v double")
+    got = {(r.g, r.p): r.value
+           for r in exact_percentiles(df, "v", [0.5], by=["g"], method=method).collect()}
+    assert got == {("a", 0.5): 2.0, ("b", 0.5): None}
