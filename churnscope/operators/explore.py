@@ -363,3 +363,44 @@ def report(features: DataFrame) -> dict[str, DataFrame]:
         "usage_trend_histogram": usage_trend_histogram(features),
         "key_insights": key_insights(features),
     }
+
+
+LIFT_SIGNALS = [
+    ("usage_decline", ["usage_decline_flag"]),
+    ("high_support", ["high_support_flag"]),
+    ("payment_issue", ["payment_issue_flag"]),
+    ("usage_decline+high_support", ["usage_decline_flag", "high_support_flag"]),
+    ("usage_decline+payment_issue", ["usage_decline_flag", "payment_issue_flag"]),
+    ("high_support+payment_issue", ["high_support_flag", "payment_issue_flag"]),
+]
+
+
+def churn_lift_by_flag(base: DataFrame) -> DataFrame:
+    """Churn rate with vs without each signal (and each pair), and their ratio.
+
+    ``base`` is the labelled frame with the three 0/1 flags.  One pass: all
+    signals are conditional counts of the same aggregation.
+    """
+    lab = F.col("churn_label")
+    aggs = []
+    for name, flags in LIFT_SIGNALS:
+        on = None
+        for f in flags:
+            on = (F.col(f) == 1) if on is None else (on & (F.col(f) == 1))
+        aggs += [F.count_if(on).alias(f"{name}|wn"), F.count_if(on & (lab == 1)).alias(f"{name}|wc"),
+                 F.count_if(~on).alias(f"{name}|on"), F.count_if(~on & (lab == 1)).alias(f"{name}|oc")]
+    one = base.agg(*aggs)
+    rows = F.array(*[F.struct(
+        F.lit(i).alias("signal_order"), F.lit(name).alias("signal"),
+        F.col(f"`{name}|wn`").alias("customers_with"),
+        pct(F.col(f"`{name}|wc`"), F.col(f"`{name}|wn`")).alias("churn_rate_with"),
+        F.col(f"`{name}|on`").alias("customers_without"),
+        pct(F.col(f"`{name}|oc`"), F.col(f"`{name}|on`")).alias("churn_rate_without"))
+        for i, (name, _) in enumerate(LIFT_SIGNALS)])
+    long = one.select(F.inline(rows))
+    lift = F.when(F.col("churn_rate_without") > 0,
+                  F.col("churn_rate_with") / F.col("churn_rate_without"))
+    return long.select("signal_order", "signal", "customers_with",
+                       round6("churn_rate_with").alias("churn_rate_with"), "customers_without",
+                       round6("churn_rate_without").alias("churn_rate_without"),
+                       round6(lift).alias("lift"))

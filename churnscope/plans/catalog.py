@@ -614,3 +614,8 @@ def _cohort_insights(t: Tables) -> DataFrame:
 @raw_query("permutation_importance")
 def _permutation_importance(spark, sf_dir: str) -> DataFrame:
     return ml.permutation_importance(_trained(spark, sf_dir, "lr"))
+
+
+@query("churn_lift_by_flag")
+def _churn_lift_by_flag(t: Tables) -> DataFrame:
+    return ex.churn_lift_by_flag(prep.model_base(_features(t)))

@@ -93,3 +93,24 @@ def run_pipeline(spark: SparkSession, in_root: str, out_root: str,
         res.counts[f"staging.{row.table_name}"] = row.row_count
     res.counts["analytics.churn_features"] = read_layer(spark, feat_path).count()
     return res
+
+
+def write_report(features: DataFrame, out_root: str, max_workers: int = 4) -> dict[str, str]:
+    """Exploration layer: every report table as Parquet plus the insight lines as text.
+
+    The tables are small aggregates; they are written concurrently, each as
+    one file.  ``key_insights.txt`` holds the findings, one per line.
+    """
+    from churnscope.operators.explore import key_insights, report
+
+    tables = report(features)
+    paths = {name: layer_path(out_root, "report", name) for name in tables}
+    text_path = layer_path(out_root, "report", "key_insights_text")
+    tasks = {name: (lambda n=name, df=df: write_layer(df.coalesce(1), paths[n]))
+             for name, df in tables.items()}
+    tasks["key_insights_text"] = lambda: (
+        key_insights(features).orderBy("insight_id").select("text").coalesce(1)
+        .write.mode("overwrite").text(text_path))
+    run_all(tasks, max_workers)
+    paths["key_insights_text"] = text_path
+    return paths

@@ -81,13 +81,18 @@ def test_pipeline_writes_layers(spark, tmp_path):
     assert res2.counts == res.counts
     with pytest.raises(MissingLayerError):
         read_layer(spark, str(tmp_path / "nope"))
+    from churnscope.plans.pipeline import write_report
+    paths = write_report(read_layer(spark, res.paths["analytics.churn_features"]), str(tmp_path))
+    lines = spark.read.text(paths["key_insights_text"]).collect()
+    assert 1 <= len(lines) <= 8
+    assert read_layer(spark, paths["lifecycle_distribution"]).count() == 3
 
 
 ORACLE_SAMPLE = [
     "churn_features", "dq_summary", "lifecycle_distribution", "churn_by_plan", "key_medians",
     "numeric_describe", "recency_kde", "usage_trend_histogram", "stratified_split", "roc_auc",
     "precision_at_k", "target_cohort", "cohort_drivers", "business_summary", "scenario_grid",
-    "calendar_spine", "schedule_expand", "bill_sequence", "hash_sample",
+    "calendar_spine", "schedule_expand", "bill_sequence", "hash_sample", "churn_lift_by_flag",
 ]
 
 
