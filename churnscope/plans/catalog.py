@@ -553,16 +553,20 @@ def _export_churn_features(spark, sf_dir: str) -> DataFrame:
 
 from churnscope.operators import models as ml  # noqa: E402
 
-_TRAINED: dict[tuple[str, str], object] = {}
+_TRAINED: dict[tuple[int, str, str], object] = {}
 
 
 def _trained(spark, sf_dir: str, kind: str):
-    key = (sf_dir, kind)
+    """Train both models once per (live SparkContext, data dir); reuse for the model keys."""
+    ctx = id(spark.sparkContext._jsc)
+    key = (ctx, sf_dir, kind)
     if key not in _TRAINED:
+        for k in [k for k in _TRAINED if k[0] != ctx]:
+            del _TRAINED[k]  # models of a stopped session
         f = materialize(feat.churn_features(staged_from_root(spark, sf_dir)))
         shared = ml.prepare_for_models(f)
-        _TRAINED[(sf_dir, "lr")] = ml.train_logistic(f, shared)
-        _TRAINED[(sf_dir, "rf")] = ml.train_forest(f, prepared=shared)
+        _TRAINED[(ctx, sf_dir, "lr")] = ml.train_logistic(f, shared)
+        _TRAINED[(ctx, sf_dir, "rf")] = ml.train_forest(f, prepared=shared)
     return _TRAINED[key]
 
 
