@@ -4,7 +4,7 @@ Prints ONE JSON line:
 {"metric": "total_sec", "value": N, "unit": "sec", "queries": {...}, "sf": ...}
 
 Workloads mirror the source system's stages:
-* pipeline     - conform + staging write, 6 quality checks, feature table, profile counts
+* build_layers - conform + staging write, 6 quality checks, feature table, profile counts
 * features     - the flagship feature table recomputed from the staged layer
 * eda          - lifecycle, churn rates, exact medians/describe/boxes, KDE, histogram, insights
 * targeting    - scorecard, default cohort (exact top-N), drivers, what-if, 28-scenario grid
@@ -40,7 +40,7 @@ def main() -> None:
     from churnscope.operators import features as feat
     from churnscope.operators import models as ml
     from churnscope.operators import prep, scenario, scoring
-    from churnscope.plans.pipeline import read_layer, run_pipeline
+    from churnscope.plans.layers import read_layer, run_pipeline
     from churnscope.plans.runner import force_all
     from churnscope.session import ensure_checkpoint_dir, local_session, materialize
 
@@ -64,7 +64,7 @@ def main() -> None:
     def workloads(timings: dict[str, float]) -> None:
         out_root = tempfile.mkdtemp(prefix="churnscope-bench-")
         result = {}
-        timed(timings, "pipeline",
+        timed(timings, "build_layers",
               lambda: result.setdefault("p", run_pipeline(spark, sf_dir, out_root)))
         paths = result["p"].paths
         staged = {n: read_layer(spark, paths[f"staging.{n}"])

@@ -518,7 +518,7 @@ def _bill_sequence(t: Tables) -> DataFrame:
 
 # ---------------------------------------------------- layers / profile -----
 
-from churnscope.plans import pipeline as pl  # noqa: E402
+from churnscope.plans import layers as pl  # noqa: E402
 from churnscope.plans.registry import raw_query  # noqa: E402
 from churnscope.session import shared_path  # noqa: E402
 from churnscope.sources.staging import staged_from_root  # noqa: E402

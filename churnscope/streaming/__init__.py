@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The source system has no stream source, watermark, event-time window or
+state: every result is a full batch rebuild.  Nothing here is needed; if a
+live feed is added later, the per-customer aggregates in ``features`` map
+onto a Structured Streaming ``groupBy`` with a watermark on the event date.
+"""

@@ -70,7 +70,7 @@ def test_scan_prunes_columns(spark):
 
 
 def test_pipeline_writes_layers(spark, tmp_path):
-    from churnscope.plans.pipeline import MissingLayerError, read_layer, run_pipeline
+    from churnscope.plans.layers import MissingLayerError, read_layer, run_pipeline
     res = run_pipeline(spark, SF_SMALL, str(tmp_path))
     assert res.counts["analytics.churn_features"] == 150
     assert res.counts["staging.usage_daily"] == 5739
@@ -81,7 +81,7 @@ def test_pipeline_writes_layers(spark, tmp_path):
     assert res2.counts == res.counts
     with pytest.raises(MissingLayerError):
         read_layer(spark, str(tmp_path / "nope"))
-    from churnscope.plans.pipeline import write_report
+    from churnscope.plans.layers import write_report
     paths = write_report(read_layer(spark, res.paths["analytics.churn_features"]), str(tmp_path))
     lines = spark.read.text(paths["key_insights_text"]).collect()
     assert 1 <= len(lines) <= 8
