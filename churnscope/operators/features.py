@@ -48,20 +48,38 @@ def usage_stats_frame(usage: DataFrame) -> DataFrame:
 
 
 class UsageStats:
-    """Scalar view of ``usage_stats_frame`` usable inside other plans."""
+    """Scalar view of ``usage_stats_frame`` usable inside other plans.
 
-    def __init__(self, usage: DataFrame):
+    By default the row is a scalar subquery (planned once per query, lazy).
+    ``UsageStats.resolved`` runs the one-row aggregation once and hands the
+    two values to several jobs as literals (shared by the quality and
+    feature layers; literal date bounds also fold into pushed filters).
+    """
+
+    def __init__(self, usage: DataFrame | None = None, values: tuple | None = None):
+        if values is not None:
+            p999, max_date = values
+            self._p999 = F.lit(p999).cast("double")
+            self._max = F.lit(max_date).cast("date")
+            self.frame = None
+            return
         self.frame = usage_stats_frame(usage)
-        packed = self.frame.select(F.struct("p999_minutes", "max_usage_date").alias("s"))
-        self._scalar = packed.scalar()
+        packed = self.frame.select(F.struct("p999_minutes", "max_usage_date").alias("s")).scalar()
+        self._p999 = packed.getField("p999_minutes")
+        self._max = packed.getField("max_usage_date")
+
+    @classmethod
+    def resolved(cls, usage: DataFrame) -> UsageStats:
+        row = usage_stats_frame(usage).first()
+        return cls(values=(row.p999_minutes, row.max_usage_date))
 
     @property
     def p999(self) -> Column:
-        return self._scalar.getField("p999_minutes")
+        return self._p999
 
     @property
     def max_date(self) -> Column:
-        return self._scalar.getField("max_usage_date")
+        return self._max
 
 
 # ---------------------------------------------------------------- usage ----
@@ -203,10 +221,10 @@ def recency(customers: DataFrame, usage: DataFrame, stats: UsageStats) -> DataFr
                     churn_label(rec).alias("churn_label")))
 
 
-def churn_features(tables: dict[str, DataFrame]) -> DataFrame:
+def churn_features(tables: dict[str, DataFrame], stats: UsageStats | None = None) -> DataFrame:
     """analytics.churn_features: every customer kept, missing facts stay NULL."""
     customers, usage = tables["customers"], tables["usage_daily"]
-    stats = UsageStats(usage)
+    stats = stats or UsageStats(usage)
     uf = usage_features(usage, stats)
     ba = billing_agg(tables["billing"], stats)
     sa = support_agg(tables["support"], customers)

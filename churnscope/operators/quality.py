@@ -82,10 +82,10 @@ def dq_pre_signup_tickets(tables: dict[str, DataFrame]) -> DataFrame:
     return _labelled(counts, "issue_count", C.DQ_PRE_SIGNUP_TICKETS)
 
 
-def dq_summary(tables: dict[str, DataFrame]) -> DataFrame:
+def dq_summary(tables: dict[str, DataFrame], stats: UsageStats | None = None) -> DataFrame:
     """All six checks with three scans in total, ordered by table then check."""
     usage = tables["usage_daily"]
-    stats = UsageStats(usage)
+    stats = stats or UsageStats(usage)
     u = usage_check_counts(usage, stats)
     b = billing_check_counts(tables["billing"])
     s = pre_signup_ticket_count(tables["support"], tables["customers"])

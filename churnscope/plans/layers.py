@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnscope.config import STAGING_SCHEMAS
-from churnscope.operators.features import churn_features
+from churnscope.operators.features import UsageStats, churn_features
 from churnscope.operators.quality import dq_summary
 from churnscope.plans.runner import run_all
 from churnscope.sources.staging import staged_from_root
@@ -81,13 +81,16 @@ def run_pipeline(spark: SparkSession, in_root: str, out_root: str,
                                                       SORT_KEYS.get(n)))
              for name, df in staged.items()}, max_workers)
     tables = {name: read_layer(spark, res.paths[f"staging.{name}"]) for name in STAGING_SCHEMAS}
-    # 2. quality layer (one small table) and 3. analytics layer, both from staging
+    # 2. quality layer (one small table) and 3. analytics layer, both from staging.
+    # The usage stats row (p99.9, observation date) is computed once for both.
+    stats = UsageStats.resolved(tables["usage_daily"])
     dq_path = layer_path(out_root, "dq", "data_quality_summary")
     feat_path = layer_path(out_root, "analytics", "churn_features")
     res.paths["dq.data_quality_summary"] = dq_path
     res.paths["analytics.churn_features"] = feat_path
-    run_all({"dq": lambda: write_layer(dq_summary(tables).coalesce(1), dq_path),
-             "features": lambda: write_layer(churn_features(tables), feat_path)}, max_workers)
+    run_all({"dq": lambda: write_layer(dq_summary(tables, stats).coalesce(1), dq_path),
+             "features": lambda: write_layer(churn_features(tables, stats), feat_path)},
+            max_workers)
     # 4. profile: counts per staged table and the feature table
     for row in staging_row_counts(tables).collect():
         res.counts[f"staging.{row.table_name}"] = row.row_count

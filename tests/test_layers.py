@@ -107,3 +107,11 @@ def test_oracle_agrees(spark, key):
     drows = rel.fetchall()
     assert sorted(sdf.columns) == sorted(dcols)
     assert rows_of(sdf.columns, srows) == rows_of(dcols, drows)
+
+
+def test_resolved_stats_match_subquery(spark, tables):
+    from churnscope.operators.features import UsageStats, churn_features
+    a = churn_features(tables).collect()
+    b = churn_features(tables, UsageStats.resolved(tables["usage_daily"])).collect()
+    key = lambda r: r.customer_id
+    assert sorted(a, key=key) == sorted(b, key=key)
