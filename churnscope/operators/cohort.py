@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnscope import config as C
-from churnscope.functions.columns import flag, pct, plan_revenue, ratio, round6
+from churnscope.functions.columns import pct, plan_revenue, ratio, round6
 from churnscope.functions.quantiles import rank_cutoff
 
 
@@ -212,9 +212,6 @@ def risk_value_points(cohort: DataFrame) -> DataFrame:
                          "total_payment_issues")
 
 
-def cohort_flags(cohort: DataFrame) -> DataFrame:
-    return cohort.select("customer_id", flag(F.col("usage_trend_30d") < 0).alias("declining"))
-
 
 def cohort_insights(cohort: DataFrame, scored: DataFrame) -> DataFrame:
     """The cohort findings as (insight_id, value, text) rows; empty cohort -> no rows."""

@@ -168,7 +168,6 @@ def test_empty_cohort_has_no_division_errors(spark):
 
 
 def test_t23_split_is_partition_invariant(spark):
-    from churnscope.functions.quantiles import rank_cutoff  # noqa: F401
     rows = [(i, i % 3 == 0 and 1 or 0) for i in range(1, 401)]
     base = spark.createDataFrame(rows, "customer_id long, churn_label int")
     a = {r.customer_id: r.split for r in prep.stratified_split(base.repartition(1)).collect()}
