@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import churnscope.llm as _package
+from churnscope.session import shared_path
 
 cloudpickle.register_pickle_by_value(_package)
 
@@ -33,6 +34,18 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder under the shared checkpoint folder; made files count as lineage cuts."""
+    return shared_path(spark, name)
+
+
+def cut(df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage: ``df`` written as Parquet in the shared folder and read again."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def held_out() -> Column:
     """True where crc32 of the decimal doc_id leaves remainder 2 modulo 4 (null ids: false)."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))

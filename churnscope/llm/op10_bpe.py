@@ -1,10 +1,7 @@
 """Byte-level BPE encoding and decoding by a table of merge ranks.
 
-Each match of the split pattern is encoded on its own: its bytes are the leaves of a
-segment tree that keeps the leftmost minimum rank of an adjacent pair.  A merge reads the
-root, joins two neighbours and updates the leaves of the pairs it touched, each in
-logarithmic time.  Trees of many short pieces are worked on together in numpy; a long
-piece has a tree of its own.  Distinct pieces of a slice of texts are encoded once.
+Each match of the split pattern is encoded on its own, by a segment tree over its bytes
+(``merges.MergeTrees``).  Chunks of text and pieces that repeat are encoded once.
 
 Nulls count as empty texts; an empty text has no ids.  Rows are independent: repeated rows
 give repeated results, an empty table an empty result, other columns are ignored.
@@ -13,9 +10,7 @@ give repeated results, an empty table an empty result, other columns are ignored
 from __future__ import annotations
 
 import base64
-import re
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -24,17 +19,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnscope.llm.common import arrow_stage, in_slices, record_batch, table, texts_of
+from churnscope.llm.merges import MergeTrees, PieceCache, encode_texts, plain_pattern
 
-#: Characters of text that are worked on at once, pieces that are kept as encoded.
-SLICE_CHARS, CACHED_PIECES = 1_000_000, 300_000
-#: Longer pieces (bytes) get a tree of their own; pieces of a text that are read at once.
-LONG_PIECE, PIECES_AT_ONCE = 128, 200_000
-_NONE = np.int32(2**31 - 1)
-#: In texts of these characters only, the letters are A-Z, a-z and _LATIN and the digits 0-9;
-#: the standard library's faster expressions then split them alike.
-_LATIN = "À-ÖØ-öø-ƿ"
-_LETTERS = "A-Za-z" + _LATIN
-_UNUSUAL = re.compile(f"[^\x00-\x1b\x20-\x7e{_LATIN}]")
+#: Characters of text that are worked on at once.
+SLICE_CHARS = 2_000_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -48,174 +36,34 @@ class ByteBPE:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
-        self.split = regex.compile(pattern)
-        plain = pattern.replace(r"\p{L}+", f"[{_LETTERS}]+").replace(r"\p{N}+", "[0-9]+")
-        self.split_plain = re.compile(plain.replace(r"\p{L}", _LETTERS).replace(r"\p{N}", "0-9"))
-        self.token_size = np.zeros(max(ranks.values()) + 1, np.int64)
-        for token, rank in ranks.items():
-            self.token_size[rank] = len(token)
-        self.token_start = np.cumsum(self.token_size) - self.token_size
-        self.token_bytes = np.frombuffer(b"".join(sorted(ranks, key=ranks.__getitem__)), np.uint8)
-        self.byte_id = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
-        pairs = {(ranks[t[:k]] << 20) | ranks[t[k:]]: rank for t, rank in ranks.items()
+        pairs = {(ranks[t[:k]], ranks[t[k:]]): (rank, rank) for t, rank in ranks.items()
                  for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks}
-        self.pair_keys = np.array(sorted(pairs), np.int64)
-        self.pair_ranks = np.array([pairs[k] for k in self.pair_keys.tolist()], np.int32)
-        self.cache: dict[str, bytes] = {}
-
-    # -- one piece or many pieces ---------------------------------------------------
-
-    def _pair_rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        key = (left.astype(np.int64) << 20) | right
-        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
-        return np.where(self.pair_keys[at] == key, self.pair_ranks[at], _NONE)
-
-    def _encode_short(self, pieces: list[bytes], width: int) -> list[bytes]:
-        """Ids (as bytes) of pieces of 2 to ``width`` (a power of two) bytes, one tree per row.
-
-        A leaf holds rank * width + position, so a tree's root is the leftmost minimum.
-        The arrays are flat; cell ``row * width + position`` has leaf ``row * 2 * width + width + position``.
-        """
-        n, lengths = len(pieces), np.fromiter(map(len, pieces), np.int32, len(pieces))
-        cell = np.arange(width, dtype=np.int32)
-        live = cell < lengths[:, None]
-        token = np.zeros((n, width), np.int32)
-        token[live] = self.byte_id[np.frombuffer(b"".join(pieces), np.uint8)]
-        following = np.where(cell + 1 < lengths[:, None], cell + 1, -1).ravel()
-        before = np.tile(cell - 1, n)
-        tree = np.full((n, 2 * width), _NONE, np.int32)
-        row, left = np.nonzero(following.reshape(n, width) >= 0)
-        rank = self._pair_rank(token[row, left], token[row, left + 1])
-        tree[row, width + left] = np.where(rank == _NONE, _NONE, rank * width + left)
-        level = width
-        while level > 1:
-            half = level // 2
-            np.minimum(tree[:, level : 2 * level : 2], tree[:, level + 1 : 2 * level : 2], out=tree[:, half:level])
-            level = half
-        rows = np.nonzero(tree[:, 1] != _NONE)[0]
-        tree, token, alive, levels = tree.ravel(), token.ravel(), live.ravel().copy(), width.bit_length() - 1
-
-        def put(rows: np.ndarray, at: np.ndarray, value: np.ndarray) -> None:
-            root, node = rows * (2 * width), at + width
-            tree[root + node] = value
-            for _ in range(levels):
-                node = node >> 1
-                children = root + 2 * node
-                tree[root + node] = np.minimum(tree.take(children), tree.take(children + 1))
-
-        while len(rows):
-            rank, at = np.divmod(tree.take(rows * (2 * width) + 1), width)
-            base = rows * width
-            cells = base + at
-            gone = following.take(cells)
-            after = following.take(base + gone)
-            token[cells], following[cells], alive[base + gone] = rank, after, False
-            has = np.nonzero(after >= 0)[0]
-            value = np.full(len(rows), _NONE, np.int32)
-            new = self._pair_rank(rank[has], token.take(base[has] + after[has]))
-            value[has] = np.where(new == _NONE, _NONE, new * width + at[has])
-            before[base[has] + after[has]] = at[has]
-            tree[rows * (2 * width) + width + gone] = _NONE
-            put(rows, at, value)
-            apart = np.nonzero((gone ^ at) > 1)[0]  # the removed leaf has another parent than the merged one
-            put(rows[apart], gone[apart], _NONE)
-            prior = before.take(cells)
-            has = np.nonzero(prior >= 0)[0]
-            prior = prior[has]
-            new = self._pair_rank(token.take(base[has] + prior), rank[has])
-            put(rows[has], prior, np.where(new == _NONE, _NONE, new * width + prior))
-            rows = rows[tree.take(rows * (2 * width) + 1) != _NONE]
-        ids = token[alive].tobytes()
-        ends = (4 * np.cumsum(alive.reshape(n, width).sum(axis=1))).tolist()
-        return [ids[lo:hi] for lo, hi in zip([0, *ends], ends)]
-
-    def _encode_long(self, piece: bytes) -> np.ndarray:
-        """Ids of one piece, with a tree in lists."""
-        n = len(piece)
-        width = 1 << (n - 1).bit_length()
-        none = (1 << 62, n)
-        ends, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        rank_of = self.ranks.get
-
-        def leaf(i: int) -> tuple[int, int]:
-            if ends[i] >= n:
-                return none
-            rank = rank_of(piece[i : ends[ends[i]]])
-            return none if rank is None else (rank, i)
-
-        tree = [none] * width + [leaf(i) for i in range(n)] + [none] * (width - n)
-        for node in range(width - 1, 0, -1):
-            tree[node] = min(tree[2 * node], tree[2 * node + 1])
-
-        def put(i: int, value: tuple[int, int]) -> None:
-            node = i + width
-            tree[node] = value
-            while node > 1:
-                node >>= 1
-                tree[node] = min(tree[2 * node], tree[2 * node + 1])
-
-        while tree[1] is not none and tree[1] != none:
-            i = tree[1][1]
-            gone = ends[i]
-            ends[i] = ends[gone]
-            if ends[i] < n:
-                before[ends[i]] = i
-            put(gone, none)
-            put(i, leaf(i))
-            if before[i] >= 0:
-                put(before[i], leaf(before[i]))
-        out, i = [], 0
-        while i < n:
-            out.append(self.ranks[piece[i : ends[i]]])
-            i = ends[i]
-        return np.array(out, np.int32)
-
-    def _learn(self, pieces: set[str]) -> None:
-        """Encode the pieces that the cache lacks."""
-        if len(self.cache) + len(pieces) > CACHED_PIECES:
-            self.cache.clear()
-        by_width: dict[int, list[str]] = {}
-        for piece in pieces - self.cache.keys():
-            raw = piece.encode()
-            whole = self.ranks.get(raw)
-            if whole is not None:
-                self.cache[piece] = np.int32(whole).tobytes()
-            elif len(raw) > LONG_PIECE:
-                self.cache[piece] = self._encode_long(raw).tobytes()
-            else:
-                by_width.setdefault((len(raw) - 1).bit_length(), []).append(piece)
-        for bits, group in by_width.items():
-            most = max(1, (1 << 17) >> bits)  # trees of about 1 MB at once
-            for k in range(0, len(group), most):
-                part = group[k : k + most]
-                self.cache.update(zip(part, self._encode_short([x.encode() for x in part], 1 << bits)))
-
-    # -- texts ----------------------------------------------------------------------
-
-    def _splitter(self, text: str):
-        return self.split if _UNUSUAL.search(text) else self.split_plain
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of each text."""
-        if sum(map(len, texts)) <= SLICE_CHARS:
-            pieces = [self._splitter(t).findall(t) for t in texts]
-            self._learn(set().union(*pieces))
-            known = self.cache.__getitem__
-            return [np.frombuffer(b"".join(map(known, p)), np.int32) for p in pieces]
-        out = []
-        for text in texts:
-            parts, matches = [], self._splitter(text).finditer(text)
-            while some := [m.group() for m in islice(matches, PIECES_AT_ONCE)]:
-                self._learn(set(some))
-                parts.append(b"".join(map(self.cache.__getitem__, some)))
-            out.append(np.frombuffer(b"".join(parts), np.int32))
+        self.trees = MergeTrees(pairs, (ranks[bytes([b])] for b in range(256)))
+        self.cache = PieceCache(plain_pattern(pattern).findall, regex.compile(pattern).findall, self._encode_pieces)
+        tokens = {rank: token for token, rank in ranks.items()}
+        ordered = [tokens.get(rank, b"") for rank in range(max(tokens) + 1)]
+        self.token_size = np.fromiter(map(len, ordered), np.int64, len(ordered))
+        self.token_start = np.cumsum(self.token_size) - self.token_size
+        self.token_bytes = np.frombuffer(b"".join(ordered), np.uint8)
+
+    def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        raws = [p.encode() for p in pieces]
+        out = [None if (whole := self.ranks.get(raw)) is None else np.int32(whole).tobytes() for raw in raws]
+        rest = [k for k, ids in enumerate(out) if ids is None]
+        for k, ids in zip(rest, self.trees.encode([raws[k] for k in rest])):
+            out[k] = ids
         return out
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        """The bytes that the ids stand for."""
-        sizes = self.token_size[ids]
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts one after the other, and where each text's ids end."""
+        return encode_texts(texts, self.cache.ids_of)
+
+    def decode(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """The bytes that the ids stand for, and where each id's bytes end."""
+        sizes = self.token_size.take(ids)
         ends = np.cumsum(sizes)
-        return self.token_bytes[np.repeat(self.token_start[ids] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)].tobytes()
+        places = np.repeat(self.token_start.take(ids) - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
+        return self.token_bytes.take(places).tobytes(), ends
 
 
 def encode_documents(docs: DataFrame, rank_path: str, pattern: str) -> DataFrame:
@@ -229,12 +77,13 @@ def encode_documents(docs: DataFrame, rank_path: str, pattern: str) -> DataFrame
         for batch in batches:
             texts = texts_of(batch)
             for lo, hi in in_slices(map(len, texts), SLICE_CHARS):
-                ids = bpe.encode(texts[lo:hi])
-                ends = np.cumsum([0, *map(len, ids)])
-                values = pa.array(np.concatenate(ids))
+                ids, ends = bpe.encode(texts[lo:hi])
+                decoded, byte_ends = bpe.decode(ids)
+                places = np.append(0, ends)
+                cuts = np.append(0, byte_ends).take(places).tolist()
                 yield record_batch(doc_id=batch.column("doc_id").slice(lo, hi - lo),
-                                   ids=pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values),
-                                   decoded=pa.array([bpe.decode(x) for x in ids], pa.binary()))
+                                   ids=pa.ListArray.from_arrays(pa.array(places, pa.int32()), pa.array(ids)),
+                                   decoded=pa.array([decoded[a:b] for a, b in zip(cuts, cuts[1:])], pa.binary()))
 
     return arrow_stage(docs.select("doc_id", "text"), run, "doc_id long, ids array<int>, decoded binary")
 

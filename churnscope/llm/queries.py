@@ -7,8 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from churnscope.llm.op10_bpe import op10_bpe
+from churnscope.llm.op2_minhash import op2_minhash
+from churnscope.llm.op5_chosen_path import op5_chosen_path
+from churnscope.llm.op8_packing import op8_packing
+from churnscope.llm.op9_line_dedup import OP9_SQL, op9_line_dedup
 
-_QUERIES = [op10_bpe]
+_QUERIES = [op2_minhash, op5_chosen_path, op8_packing, op9_line_dedup, op10_bpe]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,4 +20,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_line_dedup": OP9_SQL}
