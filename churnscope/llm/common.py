@@ -51,6 +51,28 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
 
 
+def labelled_sample(rows: DataFrame, label: str, most: int, chars: int, seed: int) -> list[tuple[str, object]]:
+    """(text, label) of at most ``most`` rows (doc_id, text, label), the labels as even as they come.
+
+    Rows are chosen by a hash of id and text against a share for each label, in one scan; a
+    longer text gives an excerpt of ``chars`` characters from a place that the hash chooses.
+    """
+    counts = rows.groupBy(label).count().orderBy(F.desc("count"), label).limit(most).collect()
+    if not counts:
+        return []
+    each = most // len(counts)
+    share = {r[label]: min(1.0, 1.3 * each / r["count"]) for r in counts}
+    h = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(1 << 30))
+    limit = F.create_map(*(F.lit(x) for k, v in share.items() for x in (k, v * (1 << 30))))
+    begin = 1 + F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id"), F.greatest(F.length("text") - chars, F.lit(1)))
+    chosen = rows.withColumn("h", h).where(F.col("h") < limit[F.col(label)])
+    chosen = chosen.select("h", label, F.substring("text", begin.cast("int"), F.lit(chars)).alias("text"))
+    got, out = chosen.orderBy("h", label, "text").limit(2 * most).collect(), []
+    for k in share:
+        out += [(r["text"], k) for r in got if r[label] == k][:each]
+    return out
+
+
 def arrow_stage(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """``fn`` over the Arrow batches of each partition; batches without rows are left out."""
 
@@ -104,3 +126,36 @@ def shingle_hashes(words: np.ndarray, width: int = SHINGLE) -> np.ndarray:
     for k in range(width):
         out = mixed(out + words[k : k + len(out)])
     return out
+
+
+def by_group(df: DataFrame, keys: list[str], order: list[str], fn: Callable[[dict], dict | None], schema: str) -> DataFrame:
+    """``fn`` over the rows of each group, given as lists by column, sorted by ``order``.
+
+    ``keys`` are whole numbers without nulls.  A task streams through its groups and holds one at
+    a time, so the caller sees to it that groups are of bounded size.
+    """
+    names = df.columns
+    dealt = df.repartition(*keys).sortWithinPartitions(*keys, *order)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+
+        def ready(rows: pa.Table, last: bool) -> Iterator[pa.RecordBatch]:
+            nonlocal held
+            changes = np.zeros(max(0, rows.num_rows - 1), bool)
+            for key in keys:
+                changes |= np.diff(rows.column(key).to_numpy()) != 0
+            cuts = [0, *(np.nonzero(changes)[0] + 1).tolist(), rows.num_rows]
+            for lo, hi in zip(cuts, cuts[1:] if last else cuts[1:-1]):
+                out = fn({n: rows.column(n).slice(lo, hi - lo).to_pylist() for n in names})
+                if out is not None:
+                    yield record_batch(**out)
+            held = None if last else rows.slice(cuts[-2])
+
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            yield from ready(rows if held is None else pa.concat_tables([held, rows]), False)
+        if held is not None:
+            yield from ready(held, True)
+
+    return arrow_stage(dealt, run, schema)

@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnscope.llm.common import arrow_stage, cut, record_batch, shingle_hashes, texts_of, word_hashes
+from churnscope.llm.common import arrow_stage, by_group, cut, record_batch, shingle_hashes, texts_of, word_hashes
 
 #: Sets that one task compares with as many others; bytes of a set's sketch.
 BLOCK, SKETCH = 1024, 64
@@ -99,33 +99,6 @@ def _roots(links: np.ndarray) -> np.ndarray:
         root = new
 
 
-def _by_task(df: DataFrame, fn: Callable[[dict], dict | None], schema: str) -> DataFrame:
-    """``fn`` over the rows of each task, given as lists by column; ``df`` has columns task and bucket."""
-    names = df.columns
-    dealt = df.repartition("task").sortWithinPartitions("task", "bucket", "rid")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.Table | None = None
-
-        def ready(rows: pa.Table, last: bool) -> Iterator[pa.RecordBatch]:
-            nonlocal held
-            task, bucket = rows.column("task").to_numpy(), rows.column("bucket").to_numpy()
-            cuts = [0, *(np.nonzero(np.diff(task) | np.diff(bucket))[0] + 1).tolist(), len(task)]
-            for lo, hi in zip(cuts, cuts[1:] if last else cuts[1:-1]):
-                out = fn({n: rows.column(n).slice(lo, hi - lo).to_pylist() for n in names})
-                if out is not None:
-                    yield record_batch(**out)
-            held = None if last else rows.slice(cuts[-2])
-
-        for batch in batches:
-            rows = pa.Table.from_batches([batch])
-            yield from ready(rows if held is None else pa.concat_tables([held, rows]), False)
-        if held is not None:
-            yield from ready(held, True)
-
-    return arrow_stage(dealt, run, schema)
-
-
 def _needed(threshold: float) -> Callable[[dict], dict | None]:
     def fn(rows: dict) -> dict | None:
         if len(rows["rid"]) < 2:
@@ -214,13 +187,13 @@ def verified_links(docs: DataFrame, sets: DataFrame, entries: DataFrame, thresho
                 F.when(F.col("own") == F.col("other"), F.lit(-1)).when(F.col("own") < F.col("other"), F.lit(0)).otherwise(F.lit(1)).alias("side"))
     )
     tasks = dealt.join(held, "rid").select("task", "bucket", "side", "rid", "copies", "buckets", "sketch")
-    needed = cut(_by_task(tasks, _needed(threshold),
-                          "task long, bucket long, side int, rid binary, copies long, buckets array<long>"), "needed-sets")
+    kept = "task long, bucket long, side int, rid binary, copies long, buckets array<long>"
+    needed = cut(by_group(tasks, ["task", "bucket"], ["rid"], _needed(threshold), kept), "needed-sets")
     rids = needed.select("rid").distinct().join(sets.select("rid", "first_id"), "rid")
     wanted = rids.select(F.col("first_id").alias("wanted")).distinct()
     texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
     tokens = _tokens(texts).dropDuplicates(["rid"])
-    return _by_task(needed.join(tokens, "rid"), _linked(threshold), "rid binary, links long, root binary")
+    return by_group(needed.join(tokens, "rid"), ["task", "bucket"], ["rid"], _linked(threshold), "rid binary, links long, root binary")
 
 
 def _starred(edges: DataFrame, large: bool) -> DataFrame:

@@ -167,7 +167,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: White space is stripped and A-Z lower-cased by the same rule; a document is its doc_id.
 OP9_SQL = """
 WITH lines AS (
-  SELECT row, doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS at
+  SELECT row, doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS pos
   FROM (SELECT row_number() OVER () AS row, doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)
 ), keyed AS (
   SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
@@ -177,7 +177,7 @@ WITH lines AS (
   SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT coalesce(doc_id, -1)) >= 10
 )
 SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(f.key) AS n_dropped,
-       sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (WHERE f.key IS NULL), '')) AS kept_sha256
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE f.key IS NULL), '')) AS kept_sha256
 FROM keyed k LEFT JOIN frequent f ON k.key = f.key
 GROUP BY row
 """
