@@ -139,16 +139,17 @@ def _linked(threshold: float) -> Callable[[dict], dict | None]:
 
 
 def set_rows(docs: DataFrame, extra: Callable[[np.ndarray], object], extra_type: pa.DataType, extra_ddl: str) -> DataFrame:
-    """doc_id, rid, sketch and extra (of the tokens) of each row; nulls if it has no word."""
+    """doc_id, text_hash, rid, sketch and extra (of the tokens) of each row; the last three null if it has no word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_set(text) for text in texts_of(batch)]
             each = lambda fn, kind: pa.array([fn(s) if len(s) else None for s in sets], kind)
-            yield record_batch(doc_id=batch.column("doc_id"), rid=each(set_id, pa.binary()),
+            yield record_batch(doc_id=batch.column("doc_id"), text_hash=batch.column("text_hash"), rid=each(set_id, pa.binary()),
                                sketch=each(sketch, pa.binary()), extra=each(extra, extra_type))
 
-    return arrow_stage(docs.select("doc_id", "text"), run, f"doc_id long, rid binary, sketch binary, extra {extra_ddl}")
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    return arrow_stage(rows, run, f"doc_id long, text_hash long, rid binary, sketch binary, extra {extra_ddl}")
 
 
 def distinct_sets(rows: DataFrame) -> DataFrame:
@@ -226,9 +227,9 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def classes(rows: DataFrame, sets: DataFrame, found: DataFrame) -> DataFrame:
-    """doc_id, class_id (the least doc_id of its class), n_links (documents it is linked to).
+    """doc_id, text_hash, root, class_id (the least doc_id of its class), n_links (documents it is linked to) of each row.
 
-    Rows without a word are classes of their own, without links.
+    Rows without a word are classes of their own, without links and with a null root.
     """
     found = cut(found, "links")
     counts = found.groupBy("rid").agg(F.sum("links").alias("links"))
@@ -239,7 +240,26 @@ def classes(rows: DataFrame, sets: DataFrame, found: DataFrame) -> DataFrame:
     )
     least = rooted.groupBy("root").agg(F.min("first_id").alias("class_id"))
     by_set = rooted.join(least, "root").select(
-        "rid", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    linked = rows.where("rid IS NOT NULL").select("doc_id", "rid").join(by_set, "rid").select("doc_id", "class_id", "n_links")
-    wordless = rows.where("rid IS NULL")
-    return linked.union(wordless.select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links")))
+        "rid", "root", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    own = rows.select("doc_id", "text_hash", "rid")
+    linked = own.where("rid IS NOT NULL").join(by_set, "rid").select("doc_id", "text_hash", "root", "class_id", "n_links")
+    wordless = own.where("rid IS NULL").select("doc_id", "text_hash", F.col("rid").alias("root"), F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
+    return linked.union(wordless)
+
+
+def first_of_each_class(docs: DataFrame, named: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stay if one of each class does: the least doc_id, then the least hash of the text.
+
+    named: doc_id, text_hash, root of the rows of ``docs``.  Only rows that repeat both id and text are
+    gathered to drop all but one; the other texts move once.
+    """
+    own = named.withColumn("alone", F.when(F.col("root").isNull(), F.struct("doc_id", "text_hash")))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("first")
+    stay = own.groupBy("root", "alone").agg(first).select(F.col("first.doc_id").alias("stay_id"), F.col("first.text_hash").alias("stay_hash"))
+    times = named.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("times"))
+    stay = stay.join(times, F.col("stay_id").eqNullSafe(F.col("doc_id")) & (F.col("stay_hash") == F.col("text_hash"))).select("stay_id", "stay_hash", "times")
+    columns = docs.columns
+    kept = docs.withColumn("stay_hash_of_text", F.xxhash64("text")).join(
+        stay, F.col("doc_id").eqNullSafe(F.col("stay_id")) & (F.col("stay_hash_of_text") == F.col("stay_hash")))
+    again = kept.where("times > 1").dropDuplicates(["stay_id", "stay_hash"])
+    return kept.where("times = 1").select(columns).union(again.select(columns))

@@ -14,7 +14,7 @@ from collections.abc import Callable, Iterable
 import numpy as np
 
 #: Longer pieces (bytes) get a tree of their own; chunks, and pieces, that are kept as encoded.
-LONG_PIECE, CACHED = 128, 400_000
+LONG_PIECE, CACHED = 128, 500_000
 NONE = np.int32(2**31 - 1)
 #: In strings of these characters only, the letters are A-Z, a-z and LATIN and the digits 0-9;
 #: the standard library's faster expressions then split them as Unicode classes do.
@@ -25,7 +25,7 @@ UNUSUAL = re.compile(f"[^\\x00-\\x1b\\x20-\\x7e{LATIN}]")
 ODD_SPACE = re.compile("[\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]")
 _SPACES = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _RNG = np.random.default_rng(20)
-_CODES, _ODD = _RNG.integers(0, 1 << 63, (2, 256), np.uint64), np.uint64(1)
+_CODES, _ODD = _RNG.integers(0, 1 << 63, 256, np.uint64), np.uint64(1)
 
 
 def plain_pattern(pattern: str) -> re.Pattern:
@@ -201,8 +201,8 @@ def distinct_chunks(texts: list[str]) -> tuple[list[bytes], np.ndarray, np.ndarr
 
     A chunk begins at a text's start and at each single space between other characters, so
     patterns that keep a space with what follows, or drop it, split chunk by chunk.  Texts with
-    other white space than spaces, tabs and line ends are one chunk.  Chunks are told apart by
-    two independent 64-bit hashes.
+    other white space than spaces, tabs and line ends are one chunk.  Chunks are grouped by a
+    64-bit hash and then compared byte by byte.  The texts must be under 2 GB together.
     """
     raws = [t.encode() for t in texts]
     sizes = np.fromiter(map(len, raws), np.int64, len(raws))
@@ -223,19 +223,21 @@ def distinct_chunks(texts: list[str]) -> tuple[list[bytes], np.ndarray, np.ndarr
     if not len(starts):
         return [], starts, np.zeros(len(texts), np.int64)
     lengths = ends - starts
-    at = np.arange(len(data)) - np.repeat(starts, lengths)
+    at = np.arange(len(data), dtype=np.int32) - np.repeat(starts.astype(np.int32), lengths)
     factor = np.random.default_rng(21).integers(0, 1 << 63, int(lengths.max()) + 1, np.uint64) << _ODD | _ODD
-    factor = factor.take(at)
-    first, second = (np.add.reduceat(codes.take(data) * factor, starts) ^ (lengths.astype(np.uint64) << np.uint64(40)) for codes in _CODES)
-    _, where, inverse = np.unique(first, return_index=True, return_inverse=True)
-    if (second != second[where][inverse]).any():  # two chunks of one hash: use the chunks themselves
-        all_ = [data[lo:hi].tobytes() for lo, hi in zip(starts.tolist(), ends.tolist())]
+    hashed = factor.take(at)
+    hashed *= _CODES.take(data)
+    hashed = np.add.reduceat(hashed, starts) ^ (lengths.astype(np.uint64) << np.uint64(40))
+    _, where, inverse = np.unique(hashed, return_index=True, return_inverse=True)
+    like = starts[where]
+    at += np.repeat(like[inverse].astype(np.int32), lengths)
+    whole = data.tobytes()
+    if (lengths[where][inverse] == lengths).all() and (data.take(at, mode="clip") == data).all():
+        chunks = [whole[lo:hi] for lo, hi in zip(like.tolist(), ends[where].tolist())]
+    else:  # two chunks of one hash: tell them apart by themselves
         number: dict[bytes, int] = {}
-        inverse = np.array([number.setdefault(c, len(number)) for c in all_])
+        inverse = np.array([number.setdefault(whole[lo:hi], len(number)) for lo, hi in zip(starts.tolist(), ends.tolist())])
         chunks = list(number)
-    else:
-        whole = data.tobytes()
-        chunks = [whole[lo:hi] for lo, hi in zip(starts[where].tolist(), ends[where].tolist())]
     return chunks, inverse, np.searchsorted(starts, text_ends)
 
 
@@ -273,7 +275,8 @@ class PieceCache:
         if len(self.chunks) + len(chunks) > CACHED:
             self.chunks.clear()
         known = self.chunks
-        new = [c for c in chunks if c not in known]
+        got = list(map(known.get, chunks))
+        new = [c for c, ids in zip(chunks, got) if ids is None]
         text = [c.decode() for c in new]
         if UNUSUAL.search("".join(text)):
             split = [self.unusual(t) if UNUSUAL.search(t) else self.split(t) for t in text]
@@ -286,4 +289,4 @@ class PieceCache:
         self.pieces.update(zip(fresh, self.encode(fresh)))
         get = self.pieces.__getitem__
         known.update(zip(new, [p if p.__class__ is bytes else b"".join(map(get, p)) for p in split]))
-        return list(map(known.__getitem__, chunks))
+        return [known[c] if ids is None else ids for c, ids in zip(chunks, got)]

@@ -22,7 +22,7 @@ from churnscope.llm.common import arrow_stage, in_slices, record_batch, table, t
 from churnscope.llm.merges import MergeTrees, PieceCache, encode_texts, plain_pattern
 
 #: Characters of text that are worked on at once.
-SLICE_CHARS = 2_000_000
+SLICE_CHARS = 3_000_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:

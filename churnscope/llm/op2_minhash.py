@@ -110,7 +110,7 @@ def fingerprints(docs: DataFrame, rows_a_range: int = 4096) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, class_id, n_links: sets that share a band of values, verified by their Jaccard similarity."""
+    """doc_id, text_hash, root, class_id, n_links: sets that share a band of values, verified by their Jaccard similarity."""
 
     def bands(tokens: np.ndarray) -> list[int]:
         values = signature(tokens)[: BANDS * BAND_ROWS].reshape(BANDS, BAND_ROWS)

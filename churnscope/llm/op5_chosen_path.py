@@ -89,7 +89,7 @@ def bucket_entries(sets: DataFrame, small: int = SMALL_BUCKET) -> DataFrame:
 
 
 def similar_classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """doc_id, class_id, n_links of every row of ``docs``."""
+    """doc_id, text_hash, root, class_id, n_links of every row of ``docs``."""
     paths = path_maker(threshold, runs_for(recall))
     rows = cut(set_rows(docs, paths, _PATHS, "array<struct<path: long, next: array<long>>>"), "sets")
     sets = cut(distinct_sets(rows), "distinct-sets")
@@ -99,4 +99,4 @@ def similar_classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float
 
 def op5_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document's class of near copies and its number of links."""
-    return similar_classes(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return similar_classes(table(spark, sf_dir, "documents", "doc_id", "text")).select("doc_id", "class_id", "n_links")

@@ -28,7 +28,7 @@ from churnscope.llm.merges import MergeTrees, PieceCache, encode_texts, plain_pa
 #: Tokens of a sequence, documents of a group on average, tokens that one task packs at once.
 CAPACITY, GROUP_DOCS, GROUP_TOKENS = 4096, 1024, 1 << 24
 #: Characters that are tokenized at once.
-SLICE_CHARS = 2_000_000
+SLICE_CHARS = 3_000_000
 
 Piece = tuple[int, int, int]  # item, start, length
 
