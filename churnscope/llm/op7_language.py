@@ -65,14 +65,15 @@ def states(net: Network, direction: int, ids: np.ndarray, keep: list | None = No
     table, inner = net.table[direction], net.inner[direction]
     rows, width = ids.shape
     hidden = inner.shape[1]
-    out = np.empty((width, rows, hidden), np.float32)
-    state = np.zeros((rows, hidden), np.float32)
+    kind = table.dtype
+    out = np.empty((width, rows, hidden), kind)
+    state = np.zeros((rows, hidden), kind)
     parts = [np.ascontiguousarray(table[:, k]) for k in range(3)]
     columns = np.ascontiguousarray(ids.T)
-    gate, forget, new = (np.empty((rows, hidden), np.float32) for _ in range(3))
+    gate, forget, new = (np.empty((rows, hidden), kind) for _ in range(3))
     for t in range(width) if direction == 0 else range(width - 1, -1, -1):
         if keep is not None:
-            gate, forget, new = (np.empty((rows, hidden), np.float32) for _ in range(3))
+            gate, forget, new = (np.empty((rows, hidden), kind) for _ in range(3))
         ids_t = columns[t]
         np.matmul(state, inner[0], out=gate)
         gate += parts[0].take(ids_t, axis=0)
@@ -115,7 +116,7 @@ def gradients(net: Network, ids: np.ndarray, known: np.ndarray, label: np.ndarra
     logits -= logits.max(axis=2, keepdims=True)
     p = np.exp(logits)
     p /= p.sum(axis=2, keepdims=True)
-    weight = (known.T / max(1, known.sum())).astype(np.float32)
+    weight = (known.T / max(1, known.sum())).astype(net.table.dtype)
     rows = np.arange(len(label))
     loss = float(-(np.log(np.maximum(p[:, rows, label], 1e-12)) * weight).sum())
     p[:, rows, label] -= 1
@@ -125,7 +126,7 @@ def gradients(net: Network, ids: np.ndarray, known: np.ndarray, label: np.ndarra
     g_joined = p @ net.out.T
     g_table, g_inner = np.zeros_like(net.table), np.zeros_like(net.inner)
     for d in (0, 1):
-        back = np.zeros((len(label), hidden), np.float32)
+        back = np.zeros((len(label), hidden), net.table.dtype)
         for t, state, gate, forget, past, new in reversed(kept[d]):
             g = g_joined[t, :, d * hidden : (d + 1) * hidden] + back
             g_new = g * (1 - forget) * (1 - new * new)
