@@ -1,31 +1,15 @@
-"""Exact order statistics, percentiles and top-N cutoffs without a global sort.
-
-Why not the obvious tools
-* ``percentile``/``median`` are exact but keep a value -> count map that
-  ends in one task; fine for integer columns with a bounded number of
-  distinct values, not for doubles at customer grain.
-* A global ``Window.orderBy`` or a large ``limit(N)`` moves every row (or
-  N rows) into one partition.
-
-Method (all one lazy plan, any number of rows, skew-safe)
-1. Sketch: per group, the row count and a ``percentile_approx`` grid of
-   ``GRID + 1`` edges (relative rank error 1/ACCURACY).
-2. Bracket: for a wanted 0-based rank k, two grid edges are picked whose
-   guaranteed rank ranges lie below k and above k + 1 (with slack), so the
-   exact answer lies between them.  Only ~(2/GRID + 4/ACCURACY) * n rows
-   fall inside a bracket.
-3. Exact finish: rows below the bracket are counted, rows inside are
-   reduced to (distinct value, count) -- a hot value is one row -- and a
-   running sum over that small set locates rank k exactly.
-
-Group keys (``by``) must be low-cardinality (plan, region, status, stage,
-feature name): the per-group bracket table is broadcast.
-
-Small inputs take a one-job path instead (Spark's exact ``percentile``, or
-a ``row_number`` window) when Catalyst's size estimate of the input is at
-most ``SMALL_INPUT_BYTES``: the estimate bounds what one task then holds,
-the same kind of check as a broadcast threshold.  Unknown sizes take the
-scalable path.
+"""Exact order statistics, percentiles and top-N cutoffs by radix selection.
+
+One method at every size.  Values become order-preserving whole numbers (integers stay as
+they are, doubles give their bits, so nothing is rounded and 64-bit ids keep every digit).
+Rows are first reduced to (group, key, count), which makes a hot value one row.  The wanted
+rank is then found digit by digit, from the top: each round counts the rows of each digit
+under the digits known so far, and the running sum of those counts says which digit holds
+the rank.  The counts are exact, so the digit is certain, and a round never holds more than
+2^22 digits for one rank, however many rows there are.  Counting combines map-side.
+
+Group keys (``by``) and targets are few by nature (plan, stage, feature name, a handful of
+percentiles); joins with them are left to the planner, which broadcasts by measured size.
 """
 
 from __future__ import annotations
@@ -35,186 +19,134 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-GRID = 2000
-ACCURACY = 20000
-_SLACK_ROWS = 3
-SMALL_INPUT_BYTES = 32 << 20
+_ALL = "_all"  # the group of ungrouped inputs
+_LARGEST = 2**63 - 1
+_BITS = {"byte": (0,), "short": (0,), "integer": (16, 0), "date": (16, 0)}
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of ``df`` (a large number when unknown)."""
-    try:
-        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        return int(size) if isinstance(size, int) else int(size.toString())
-    except Exception:  # noqa: BLE001 - e.g. no JVM handle (Spark Connect)
-        return 1 << 62
+def order_key(df: DataFrame, value: str) -> tuple[Column, tuple[int, ...]]:
+    """An order-preserving bigint of a column, and the shifts of its digits from the top.
 
+    NaN is the largest double and -0.0 equals 0.0, as in Spark's own order.
+    """
+    kind = df.schema[value].dataType.typeName()
+    v = F.col(value)
+    if kind == "date":
+        return F.unix_date(v).cast("bigint"), _BITS[kind]
+    if kind in ("byte", "short", "integer", "long"):
+        return v.cast("bigint"), _BITS.get(kind, (42, 21, 0))
+    d = v.cast("double") + F.lit(0.0)
+    bits = F.java_method(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), d).cast("bigint")
+    return F.when(v.isNotNull(), F.when(bits < 0, bits.bitwiseXOR(F.lit(_LARGEST))).otherwise(bits)), (42, 21, 0)
+
+
+def _few(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Ungrouped targets are a fixed handful of rows; grouped ones are left to the planner."""
+    return F.broadcast(rows) if list(by) == [_ALL] else rows
 
-def is_small(df: DataFrame) -> bool:
-    return estimated_bytes(df) <= SMALL_INPUT_BYTES
 
+def _grouped(df: DataFrame, by: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    return (df, list(by)) if by else (df.withColumn(_ALL, F.lit(0)), [_ALL])
 
-def _join_small(big: DataFrame, small: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Join a per-group table of bounded size (one row per low-cardinality group)."""
-    if by:
-        return big.join(F.broadcast(small), list(by), "inner")
-    return big.crossJoin(F.broadcast(small))
 
+def _select(counts: DataFrame, targets: DataFrame, by: list[str], shifts: tuple[int, ...]) -> DataFrame:
+    """(by..., tid, _key, _before): the key at rank k of each target and the rows before it.
 
-def order_statistics(df: DataFrame, value: str | Column, targets: DataFrame,
-                     by: Sequence[str] = (), grid: int = GRID,
-                     accuracy: int = ACCURACY) -> DataFrame:
+    counts: by..., _key, _value, _c; targets: by..., tid, k.  Targets out of range have no row.
+    """
+    state = targets.select(*by, "tid", "k", F.lit(0).cast("bigint").alias("_before"))
+    keys = list(by)
+    for shift in shifts:
+        digits = counts.withColumn("_digit", F.shiftright("_key", shift))
+        if keys != by:  # only rows under the digits found so far
+            digits = digits.withColumn("_found", F.shiftright("_key", above)).join(  # noqa: F821 - set below
+                _few(state.select(*keys).distinct(), by), keys, "left_semi")
+        hist = digits.groupBy(*keys, "_digit").agg(F.sum("_c").alias("_c"), F.min("_value").alias("_value"))
+        upto = F.sum("_c").over(Window.partitionBy(*keys).orderBy("_digit").rowsBetween(Window.unboundedPreceding, 0))
+        hist = hist.withColumn("_upto", upto)
+        rank = F.col("k") - F.col("_before")
+        state = state.drop("_value").join(hist, keys).where((rank >= F.col("_upto") - F.col("_c")) & (rank < F.col("_upto")))
+        state = state.select(*by, "tid", "k", (F.col("_before") + F.col("_upto") - F.col("_c")).alias("_before"),
+                             F.col("_digit").alias("_found"), "_value")
+        keys, above = [*by, "_found"], shift
+    return state.select(*by, "tid", F.col("_found").alias("_key"), "_before", "_value")
+
+
+def _counts(df: DataFrame, value: str, by: list[str], weight: str | None = None) -> tuple[DataFrame, tuple[int, ...]]:
+    key, shifts = order_key(df, value)
+    times = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    distinct = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(times.alias("_c"))
+    return distinct.withColumn("_key", key).withColumnRenamed(value, "_value"), shifts
+
+
+def order_statistics(df: DataFrame, value: str, targets: DataFrame, by: Sequence[str] = (), weight: str | None = None) -> DataFrame:
     """Exact ascending order statistics.
 
-    ``targets`` has the ``by`` columns plus ``tid`` (any id) and ``k`` (the
-    0-based rank wanted, data-dependent).  Returns (by..., tid, k, value);
-    value is NULL where k is outside [0, n).  NULL values are ignored.
+    ``targets`` has the ``by`` columns plus ``tid`` (any id) and ``k`` (the 0-based rank wanted,
+    data-dependent).  Returns (by..., tid, k, value) in the column's own type; value is NULL
+    where k is outside [0, n).  NULL values are ignored.  A row counts ``weight`` times, if given.
     """
-    by = list(by)
-    v = F.col(value) if isinstance(value, str) else value
-    base = df.select(*by, v.cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    probs = [j / grid for j in range(grid + 1)]
-    sketch = base.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.percentile_approx("_v", probs, accuracy).alias("_edges"),
-    )
-    eps = 2.0 / accuracy  # twice the documented relative rank error
-    n = F.col("_n").cast("double")
-    k = F.col("k").cast("double")
-    j_lo = F.floor((k - _SLACK_ROWS - eps * n) * grid / n) - 1
-    j_hi = F.ceil((k + 1 + _SLACK_ROWS + eps * n) * grid / n) + 1
-    clamp = lambda j: F.least(F.greatest(j, F.lit(0)), F.lit(grid)).cast("int")
-    brackets = (
-        _join_small(targets.select(*by, "tid", "k"), sketch, by)
-        .select(*by, "tid", "k", "_n",
-                F.element_at("_edges", clamp(j_lo) + 1).alias("_lo"),
-                F.element_at("_edges", clamp(j_hi) + 1).alias("_hi"))
-    )
-    packed = brackets.groupBy(*by).agg(
-        F.collect_list(F.struct("tid", "k", "_n", "_lo", "_hi")).alias("_br"))
-    tagged = _join_small(base, packed, by)
-    emitted = tagged.select(
-        *by,
-        F.inline(F.filter(
-            F.transform("_br", lambda b: F.struct(
-                b["tid"].alias("tid"), b["k"].alias("k"), b["_n"].alias("_n"),
-                F.when(F.col("_v") >= b["_lo"], F.col("_v")).alias("_key"),
-                (F.col("_v") <= b["_hi"]).alias("_keep"))),
-            lambda s: s["_keep"])),
-    )
-    counts = emitted.groupBy(*by, "tid", "k", "_n", "_key").agg(F.count(F.lit(1)).alias("_c"))
-    w = (Window.partitionBy(*by, "tid").orderBy(F.col("_key").asc_nulls_first())
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    cum = counts.withColumn("_cum", F.sum("_c").over(w))
-    hit = F.col("_key").isNotNull() & (F.col("_cum") >= F.col("k") + 1)
-    found = cum.groupBy(*by, "tid", "k", "_n").agg(F.min(F.when(hit, F.col("_key"))).alias("value"))
-    # Targets whose group has no rows (or whose rank is out of range) -> NULL.
-    valid = (F.col("k") >= 0) & (F.col("k") < F.col("_n"))
-    return (targets.select(*by, "tid", "k")
-            .join(found.drop("k"), [*by, "tid"], "left")
-            .select(*by, "tid", "k", F.when(valid, F.col("value")).alias("value")))
-
-
-def exact_percentiles(df: DataFrame, value: str, probs: Sequence[float],
-                      by: Sequence[str] = (), method: str = "auto",
-                      grid: int = GRID, accuracy: int = ACCURACY) -> DataFrame:
+    df, keys = _grouped(df, by)
+    wanted, _ = _grouped(targets, by)
+    wanted = wanted.select(*keys, "tid", F.col("k").cast("bigint").alias("k"))
+    counts, shifts = _counts(df, value, keys, weight)
+    found = _select(counts, wanted, keys, shifts).select(*keys, "tid", F.col("_value").alias("value"))
+    return wanted.join(found, [*keys, "tid"], "left").select(*by, "tid", "k", "value")
+
+
+def exact_percentiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (), weight: str | None = None) -> DataFrame:
     """Exact percentiles with linear interpolation (position p * (n - 1)).
 
-    Returns (by..., p, value).  ``method``: "map" uses Spark's exact
-    ``percentile`` (bounded only when the column has few distinct values,
-    e.g. integer counts/days); "bracket" uses ``order_statistics``; "auto"
-    picks "map" for integral columns and "bracket" otherwise.
+    Returns (by..., p, value); groups of NULLs only keep a NULL row for each p.  A row counts
+    ``weight`` times, if given.
     """
-    by = list(by)
-    if method == "auto":
-        dtype = df.schema[value].dataType.typeName()
-        integral = dtype in ("integer", "long", "short", "byte")
-        method = "map" if integral or is_small(df) else "bracket"
-    if method == "map":
-        arr = df.groupBy(*by).agg(F.percentile(value, list(probs)).alias("_q"))
-        # An all-NULL group yields a NULL array; keep one NULL row per probability.
-        q = F.coalesce(F.col("_q"), F.array_repeat(F.lit(None).cast("double"), len(probs)))
-        rows = F.arrays_zip(F.array(*[F.lit(float(p)) for p in probs]).alias("p"),
-                            q.alias("value"))
-        return arr.select(*by, F.inline(rows))
-    # count(value) keeps all-NULL groups (their percentiles are NULL, as in SQL).
-    counts = df.groupBy(*by).agg(F.count(value).alias("_n"))
-    pos = [(i, float(p)) for i, p in enumerate(probs)]
-    spec = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(p).alias("p")) for i, p in pos])
-    t = counts.select(*by, "_n", F.inline(spec))
+    df, keys = _grouped(df, by)
+    times = F.count(value) if weight is None else F.coalesce(F.sum(F.when(F.col(value).isNotNull(), F.col(weight))), F.lit(0).cast("bigint"))
+    rows = df.groupBy(*keys).agg(times.alias("_n"))
+    spec = F.array(*[F.struct(F.lit(i).alias("_i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)])
+    places = rows.select(*keys, "_n", F.inline(spec))
+    if not by:  # an empty input has no group, but its percentiles are NULL
+        places = places.unionByName(df.sparkSession.range(1).select(F.lit(0).alias(_ALL), F.lit(0).cast("bigint").alias("_n"), F.inline(spec))) \
+            .groupBy(_ALL, "_i", "p").agg(F.max("_n").alias("_n"))
     h = F.col("p") * (F.col("_n") - 1)
-    t = t.select(*by, "i", "p", F.floor(h).cast("long").alias("k_lo"),
-                 (h - F.floor(h)).alias("frac"))
-    targets = t.select(*by, (F.col("i") * 2).alias("tid"), F.col("k_lo").alias("k")).unionByName(
-        t.select(*by, (F.col("i") * 2 + 1).alias("tid"), (F.col("k_lo") + 1).alias("k")))
-    stats = order_statistics(df, value, targets, by, grid, accuracy)
-    lo = stats.where(F.col("tid") % 2 == 0).select(
-        *by, (F.col("tid") / 2).cast("int").alias("i"), F.col("value").alias("v_lo"))
-    hi = stats.where(F.col("tid") % 2 == 1).select(
-        *by, ((F.col("tid") - 1) / 2).cast("int").alias("i"), F.col("value").alias("v_hi"))
-    out = t.join(lo, [*by, "i"], "left").join(hi, [*by, "i"], "left")
-    val = F.when(F.col("frac") == 0, F.col("v_lo")).otherwise(
-        F.col("v_lo") + F.col("frac") * (F.col("v_hi") - F.col("v_lo")))
-    return out.select(*by, "p", val.alias("value"))
-
-
-def rank_cutoff(df: DataFrame, value: str, tie: str, quota: DataFrame,
-                by: Sequence[str] = (), descending: bool = True,
-                grid: int = GRID, accuracy: int = ACCURACY,
-                method: str = "auto") -> DataFrame:
+    places = places.select(*keys, "_i", "p", F.floor(h).cast("bigint").alias("_lo"), (h - F.floor(h)).alias("_share"))
+    both = places.select(*keys, F.inline(F.array(*[
+        F.struct((F.col("_i") * 2 + j).alias("tid"), (F.col("_lo") + j).alias("k")) for j in (0, 1)])))
+    stats = order_statistics(df, value, both, keys, weight)
+    sided = stats.select(*keys, F.floor(F.col("tid") / 2).cast("int").alias("_i"), (F.col("tid") % 2).alias("_j"), F.col("value").cast("double").alias("_v"))
+    ends = sided.groupBy(*keys, "_i").agg(F.max(F.when(F.col("_j") == 0, F.col("_v"))).alias("_a"), F.max(F.when(F.col("_j") == 1, F.col("_v"))).alias("_b"))
+    share = F.col("_share")
+    out = F.when(share == 0, F.col("_a")).otherwise(F.col("_a") + share * (F.col("_b") - F.col("_a")))
+    return places.join(ends, [*keys, "_i"], "left").select(*by, "p", out.alias("value"))
+
+
+def rank_cutoff(df: DataFrame, value: str, tie: str, quota: DataFrame, by: Sequence[str] = (), descending: bool = True) -> DataFrame:
     """Mark the first ``_take`` rows per group in (value, tie) order.
 
-    ``quota`` holds the ``by`` columns and ``_take`` (rows wanted, may be
-    data-dependent).  Order is value descending (or ascending) and then
-    ``tie`` ascending, a total order when ``tie`` is unique.  Returns ``df``
-    with a boolean ``_selected``.  Exact for any N: the cut value and the
-    cut tie-id are found with ``order_statistics``; no row moves to a
-    single partition.
+    ``quota`` holds the ``by`` columns and ``_take`` (rows wanted, may be data-dependent).  Order
+    is value descending (or ascending) and then ``tie`` ascending, a total order when ``tie`` is
+    unique.  Returns ``df`` with a boolean ``_selected``; rows without a value or of a group
+    without a quota stay, unselected.  The cut value and the cut tie are found by radix
+    selection, in the columns' own types; no row moves to a single partition.
     """
-    by = list(by)
-    sign = -1.0 if descending else 1.0
-    keyed = df.withColumn("_ord", F.col(value).cast("double") * F.lit(sign))
-    if method == "auto":
-        method = "window" if is_small(df) else "bracket"
-    if method == "window":
-        # Small input (size-checked): one sort per group is bounded.
-        w = Window.partitionBy(*by).orderBy(F.col("_ord").asc_nulls_last(), F.col(tie).asc())
-        ranked = keyed.withColumn("_rn", F.row_number().over(w))
-        q = quota.select(*by, "_take")
-        ranked = (ranked.join(F.broadcast(q), by, "left") if by
-                  else ranked.crossJoin(F.broadcast(q)))
-        sel = F.col("_ord").isNotNull() & (F.col("_rn") <= F.col("_take"))
-        return ranked.withColumn("_selected", F.coalesce(sel, F.lit(False))).drop(
-            "_ord", "_rn", "_take")
-    elig = keyed.where(F.col("_ord").isNotNull())
-    # 1) the value at position _take - 1
-    q1 = quota.select(*by, F.lit(0).alias("tid"), (F.col("_take") - 1).cast("long").alias("k"))
-    cut = order_statistics(elig, "_ord", q1, by, grid, accuracy).select(*by, F.col("value").alias("_cut"))
-    # 2) how many rows sit strictly before the cut value, and the tie group
-    before = (_join_small(elig.select(*by, "_ord"), cut, by)
-              .groupBy(*by).agg(F.count_if(F.col("_ord") < F.col("_cut")).alias("_before")))
-    q2 = (quota.join(before, by, "left") if by else quota.crossJoin(before))
-    q2 = q2.select(*by, F.lit(0).alias("tid"),
-                   (F.col("_take") - F.coalesce(F.col("_before"), F.lit(0)) - 1)
-                   .cast("long").alias("k"))
-    ties = _join_small(elig, cut, by).where(F.col("_ord") == F.col("_cut"))
-    tie_cut = order_statistics(ties, tie, q2, by, grid, accuracy).select(*by, F.col("value").alias("_tie_cut"))
-    bounds = (cut.join(tie_cut, by, "left") if by else cut.crossJoin(tie_cut))
-    if by:
-        bounds = bounds.join(F.broadcast(quota.select(*by, "_take")), by, "left")
-    else:
-        bounds = bounds.crossJoin(quota.select("_take"))
-    # Rows of groups without a quota stay, unselected.
-    marked = (keyed.join(F.broadcast(bounds), by, "left") if by
-              else keyed.crossJoin(F.broadcast(bounds)))
-    sel = (F.col("_take") > 0) & F.col("_ord").isNotNull() & (
-        (F.col("_ord") < F.col("_cut"))
-        | ((F.col("_ord") == F.col("_cut"))
-           & (F.col("_tie_cut").isNull() | (F.col(tie).cast("double") <= F.col("_tie_cut")))))
-    # _cut is NULL when _take exceeds the eligible count: then take all.
-    sel = F.when(F.col("_cut").isNull(), (F.col("_take") > 0) & F.col("_ord").isNotNull()).otherwise(sel)
-    return marked.withColumn("_selected", F.coalesce(sel, F.lit(False))).drop(
-        "_ord", "_cut", "_tie_cut", "_take")
+    columns = df.columns
+    df, keys = _grouped(df, by)
+    quota, _ = _grouped(quota, by)
+    quota = quota.select(*keys, F.col("_take").cast("bigint").alias("_take"))
+    key, shifts = order_key(df, value)
+    ranked = df.withColumn("_ord", F.bitwise_not(key) if descending else key)  # ~x reverses the order of whole numbers
+    some = ranked.where(F.col("_ord").isNotNull())
+    counts = some.groupBy(*keys, F.col("_ord").alias("_key")).agg(F.count(F.lit(1)).alias("_c")).withColumn("_value", F.col("_key"))
+    first = quota.select(*keys, F.lit(0).alias("tid"), (F.col("_take") - 1).alias("k"))
+    cut = _select(counts, first, keys, shifts).select(*keys, F.col("_key").alias("_cut"), "_before")
+    ties, tie_shifts = _counts(some.join(_few(cut, keys), keys).where(F.col("_ord") == F.col("_cut")).select(*keys, tie), tie, keys)
+    within = quota.join(cut, keys).select(*keys, F.lit(0).alias("tid"), (F.col("_take") - F.col("_before") - 1).alias("k"))
+    tie_cut = _select(ties, within, keys, tie_shifts).select(*keys, F.col("_value").alias("_tie_cut"))
+    bounds = quota.join(cut, keys, "left").join(tie_cut, keys, "left").select(*keys, "_take", "_cut", "_tie_cut")
+    marked = ranked.join(_few(bounds, keys), keys, "left")
+    inside = F.col("_cut").isNull() | (F.col("_ord") < F.col("_cut")) | ((F.col("_ord") == F.col("_cut")) & (F.col(tie) <= F.col("_tie_cut")))
+    chosen = F.coalesce((F.col("_take") > 0) & F.col("_ord").isNotNull() & inside, F.lit(False))
+    return marked.select(*columns, chosen.alias("_selected"))
 
 
 def wide_percentiles(q: DataFrame, by: Sequence[str], names: dict[float, str]) -> DataFrame:

@@ -69,15 +69,15 @@ def test_bracket_percentiles(spark):
     from churnscope.functions.quantiles import exact_percentiles
     df = spark.range(20000).select((F.col("id") % 977).cast("double").alias("v"),
                                    (F.col("id") % 3).alias("g"))
-    _check(exact_percentiles(df, "v", [0.1, 0.5], by=["g"], method="bracket"))
-    _check(exact_percentiles(df, "v", [0.5], method="bracket"))
+    _check(exact_percentiles(df, "v", [0.1, 0.5], by=["g"]))
+    _check(exact_percentiles(df, "v", [0.5]))
 
 
 def test_bracket_cutoff(spark):
     from churnscope.functions.quantiles import rank_cutoff
     df = spark.range(20000).select("id", ((F.col("id") * 7919) % 1000).cast("double").alias("v"))
     quota = spark.createDataFrame([(1234,)], "_take long")
-    _check(rank_cutoff(df, "v", "id", quota, method="bracket").where("_selected"))
+    _check(rank_cutoff(df, "v", "id", quota).where("_selected"))
 
 
 def test_auc(spark):

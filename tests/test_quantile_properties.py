@@ -1,4 +1,4 @@
-"""Property test: bracket-path percentiles equal numpy's on random data with ties and NULLs."""
+"""Property test: percentiles equal numpy's on random data with ties and NULLs."""
 
 import numpy as np
 import pytest
@@ -16,11 +16,10 @@ values = st.one_of(st.none(), st.integers(-5, 5).map(float),
 @given(rows=st.lists(st.tuples(st.sampled_from(["a", "b"]), values), min_size=1, max_size=300),
        probs=st.lists(st.sampled_from([0.0, 0.01, 0.1, 0.25, 0.5, 0.75, 0.9, 0.99, 1.0]),
                       min_size=1, max_size=3, unique=True))
-def test_bracket_percentiles_match_numpy(spark, rows, probs):
+def test_percentiles_match_numpy(spark, rows, probs):
     df = spark.createDataFrame(rows, "g string, v double")
     got = {(r.g, r.p): r.value for r in
-           exact_percentiles(df, "v", probs, by=["g"], method="bracket", grid=8,
-                             accuracy=10).collect()}
+           exact_percentiles(df, "v", probs, by=["g"]).collect()}
     for g in {r[0] for r in rows}:
         vals = np.array([v for gg, v in rows if gg == g and v is not None])
         for p in probs:
