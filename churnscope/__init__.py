@@ -10,7 +10,6 @@ plan; nothing customer-grained is collected to the driver.  Sub-packages:
 * ``operators`` - data quality, feature table, exploration, preparation,
                   scoring, cohort targeting, scenarios, calendar spine
 * ``plans``     - the end-to-end pipeline and the query registry
-* ``streaming`` - intentionally empty (the source system is batch only)
 """
 
 __version__ = "0.1.0"

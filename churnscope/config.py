@@ -152,8 +152,7 @@ SCORE_DECIMALS = 6
 
 # Hash used for reproducible, partition-independent row assignment.  The
 # id is reduced first so the multiply cannot overflow a signed 64-bit int.
-HASH_MULTIPLIER = 2654435761
-HASH_ID_MODULUS = 2147483647
+HASH_MULTIPLIER = 73244475  # below 2^31, so that products with 32-bit numbers stay below 2^63
 HASH_RANGE = 4294967296
 
 # Cohort scenario defaults for the registered queries.

@@ -86,11 +86,17 @@ def bucket_by_cumulative(u: Column, buckets: list[tuple[str, float]]) -> Column:
 def key_hash(key: str | Column, seed: int = 0) -> Column:
     """Deterministic 32-bit hash of an integer key, identical in any SQL engine.
 
-    ((key mod 2^31-1) * 2654435761 + seed) mod 2^32 -- the id is reduced
-    first so the product stays inside a signed 64-bit integer.
+    Both halves of the id are mixed with the seed by multiply and xor-shift rounds; every
+    product of two 32-bit numbers below 2^63 stays inside a signed 64-bit integer.
     """
-    k = F.pmod(col(key).cast("bigint"), F.lit(C.HASH_ID_MODULUS))
-    return F.pmod(k * F.lit(C.HASH_MULTIPLIER) + F.lit(seed), F.lit(C.HASH_RANGE))
+    k = col(key).cast("bigint")
+    m, size = F.lit(C.HASH_MULTIPLIER).cast("bigint"), F.lit(C.HASH_RANGE).cast("bigint")
+    low = F.lit(C.HASH_RANGE - 1).cast("bigint")
+    out = F.lit(seed * C.HASH_MULTIPLIER % C.HASH_RANGE).cast("bigint")
+    for part in (k.bitwiseAND(low), F.shiftright(k, 32).bitwiseAND(low), F.lit(0).cast("bigint")):
+        out = F.pmod(out.bitwiseXOR(part) * m, size)
+        out = out.bitwiseXOR(F.shiftright(out, 15))
+    return out
 
 
 def key_uniform(key: str | Column, seed: int = 0) -> Column:

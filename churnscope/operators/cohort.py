@@ -26,7 +26,8 @@ class CohortSpec:
     """Filters (all ANDed; an empty plan/region list means no filter) and targeting.
 
     ``threshold=None`` uses the default rule min(0.6, max score of the
-    filtered rows); ``target_pct=None`` uses min(10, cap).
+    filtered rows), or their score if all have the same; ``target_pct=None``
+    means 10.  The percentage is held to the cap.
     """
     signup_range: tuple[dt.date, dt.date] | None = None
     active_range: tuple[dt.date, dt.date] | None = None
@@ -64,8 +65,9 @@ def risk_domain(filtered: DataFrame) -> DataFrame:
     span = F.col("risk_max") - F.col("risk_min")
     step = (F.when(span < 0.01, 0.001).when(span < 0.05, 0.01).when(span < 0.2, 0.02)
             .otherwise(0.05))
-    default = F.when(F.col("customers") == 0, F.lit(C.DEFAULT_RISK_THRESHOLD)).otherwise(
-        F.least(F.lit(C.DEFAULT_RISK_THRESHOLD), F.col("risk_max")))
+    default = (F.when(F.col("customers") == 0, F.lit(C.DEFAULT_RISK_THRESHOLD))
+               .when(span == 0, F.col("risk_max"))  # one score for all: that score
+               .otherwise(F.least(F.lit(C.DEFAULT_RISK_THRESHOLD), F.col("risk_max"))))
     return agg.select("*", F.when(span > 0, step).alias("step"),
                       default.alias("default_threshold"))
 
@@ -82,9 +84,10 @@ def target_limits(filtered: DataFrame, spec: CohortSpec) -> DataFrame:
     cap = F.when(n > 0, F.least(F.lit(C.MAX_TARGET_PCT),
                                 F.floor(F.col("eligible") / n * 100).cast("int"))).otherwise(0)
     one = one.withColumn("max_target_pct_limit", cap.cast("int"))
-    chosen = (F.lit(spec.target_pct) if spec.target_pct is not None
-              else F.least(F.lit(C.DEFAULT_TARGET_PCT), F.col("max_target_pct_limit")))
-    chosen = F.when(F.col("max_target_pct_limit") > 0, chosen).otherwise(F.lit(0))
+    wanted = F.lit(C.DEFAULT_TARGET_PCT if spec.target_pct is None else spec.target_pct)
+    chosen = (F.when(n == 0, F.lit(C.DEFAULT_TARGET_PCT))  # an empty filter keeps the default
+              .when(F.col("max_target_pct_limit") > 0, F.least(wanted, F.col("max_target_pct_limit")))
+              .otherwise(F.lit(0)))
     one = one.withColumn("max_target_pct", chosen.cast("int"))
     take = F.floor(n * F.col("max_target_pct") / 100.0).cast("long")
     return one.withColumn("max_target_count", take)
@@ -249,9 +252,14 @@ def cohort_insights(cohort: DataFrame, scored: DataFrame) -> DataFrame:
          F.when(F.col("no_trend") > 0, F.concat(
              F.col("no_trend").cast("string"), F.lit(" customers ("), fixed(null_pct, 1),
              F.lit("%) have insufficient usage history for a trend")))),
-        (6, F.col("pi"), F.concat(fixed("pi", 1), F.lit("% have payment issues, "),
+        (6, F.when(F.col("ud") < 10, F.col("ud")),
+         F.when(F.col("ud") < 10, F.concat(
+             F.lit("Usage decline affects only "), fixed("ud", 1),
+             F.when(F.col("negative_trend") > 0, F.lit("%: plan, payments or support may weigh more"))
+             .otherwise(F.lit("%: it does not drive the risk of this cohort"))))),
+        (7, F.col("pi"), F.concat(fixed("pi", 1), F.lit("% have payment issues, "),
                                   fixed("sl", 1), F.lit("% have high support load (3+ tickets)"))),
-        (7, F.when(F.col("high_priority"), F.col("pct_higher")),
+        (8, F.when(F.col("high_priority"), F.col("pct_higher")),
          F.when(F.col("high_priority"), F.concat(
              F.lit("Cohort risk is "), fixed("pct_higher", 0),
              F.lit("% higher than overall average")))),

@@ -144,24 +144,26 @@ def at_risk_by_plan(features: DataFrame) -> DataFrame:
 
 # ----------------------------------------------------- robust summaries ----
 
-def key_medians(features: DataFrame) -> DataFrame:
+def key_medians(features: DataFrame, include_soft_churn: bool = False) -> DataFrame:
     """Exact medians of the reported columns: one unpivoted grouped pass."""
-    long = _long(labelled(features), C.KEY_MEDIAN_COLUMNS)
+    long = _long(labelled(features, include_soft_churn), C.KEY_MEDIAN_COLUMNS)
     med = exact_percentiles(long, "value", [0.5], by=["feature"])
     return med.select("feature", round6("value").alias("median"))
 
 
 def medians_by_status(features: DataFrame,
                       columns: Sequence[str] = ("usage_trend_30d", "recency_days",
-                                                "total_tickets")) -> DataFrame:
-    long = _long(labelled(features), columns, keep=["churn_status"])
+                                                "total_tickets"),
+                      include_soft_churn: bool = False) -> DataFrame:
+    long = _long(labelled(features, include_soft_churn), columns, keep=["churn_status"])
     med = exact_percentiles(long, "value", [0.5], by=["churn_status", "feature"])
     return med.select("churn_status", "feature", round6("value").alias("median"))
 
 
-def numeric_describe(features: DataFrame, columns: Sequence[str] = DESCRIBE_COLUMNS) -> DataFrame:
+def numeric_describe(features: DataFrame, columns: Sequence[str] = DESCRIBE_COLUMNS,
+                     include_soft_churn: bool = False) -> DataFrame:
     """count, mean, std (n-1), min, quartiles, max per column, one long pass."""
-    long = _long(labelled(features), columns).where(F.col("value").isNotNull())
+    long = _long(labelled(features, include_soft_churn), columns).where(F.col("value").isNotNull())
     moments = long.groupBy("feature").agg(
         F.count(F.lit(1)).alias("count"), F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
@@ -173,9 +175,9 @@ def numeric_describe(features: DataFrame, columns: Sequence[str] = DESCRIBE_COLU
                                            ["mean", "std", "min", "p25", "p50", "p75", "max"]])
 
 
-def box_summary(features: DataFrame, column: str) -> DataFrame:
+def box_summary(features: DataFrame, column: str, include_soft_churn: bool = False) -> DataFrame:
     """Box-plot numbers by churn status: quartiles, 1.5 IQR whiskers, outliers."""
-    lab = labelled(features).where(F.col(column).isNotNull())
+    lab = labelled(features, include_soft_churn).where(F.col(column).isNotNull())
     q = exact_percentiles(lab, column, [0.25, 0.5, 0.75], by=["churn_status"])
     qw = wide_percentiles(q, ["churn_status"], {0.25: "q1", 0.5: "median", 0.75: "q3"})
     qw = qw.withColumn("iqr", F.col("q3") - F.col("q1"))
@@ -218,7 +220,8 @@ def kde_by_group(df: DataFrame, column: str, group: str, gridsize: int = 200,
     grid = grid.withColumn("grid_x", F.col("g0") + F.col("grid_idx") * F.col("step"))
     values = base.groupBy(group, "x").agg(F.count(F.lit(1)).alias("c"))
     z = (F.col("grid_x") - F.col("x")) / F.col("bw")
-    dens = (grid.join(values, group)
+    # the grid has gridsize rows for each group; the values stay where they are
+    dens = (values.join(F.broadcast(grid), group)
             .groupBy(group, "grid_idx", "grid_x", "n", "bw")
             .agg(F.sum(F.col("c") * F.exp(-0.5 * z * z)).alias("s")))
     return dens.select(group, "grid_idx", round6("grid_x").alias("grid_x"),
@@ -256,17 +259,18 @@ def histogram(df: DataFrame, column: str, bins: int, by: Sequence[str] = (),
     binned = (base.crossJoin(F.broadcast(rng))
               .where((x >= lo) & (x <= hi))
               .withColumn("bin", i3.cast("int")))
-    out = binned.groupBy(*by, "bin", "lo", "hi").agg(F.count(F.lit(1)).alias("count"))
+    # every bin of every group has a row, empty ones too: one row per group and bin
+    counts = binned.groupBy(*by, "bin").agg(F.count(F.lit(1)).alias("n"))
+    rng = rng.where(lo.isNotNull()).select("lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    grid = base.select(*by).distinct().crossJoin(F.broadcast(rng)) if by else rng
+    out = grid.join(counts, [*by, "bin"], "left")
     return out.select(*by, "bin", round6(edge(F.col("bin"))).alias("bin_start"),
-                      round6(edge(F.col("bin") + 1)).alias("bin_end"), "count")
+                      round6(edge(F.col("bin") + 1)).alias("bin_end"),
+                      F.coalesce("n", F.lit(0)).cast("bigint").alias("count"))
 
 
-def usage_trend_histogram(features: DataFrame, bins: int = 50) -> DataFrame:
-    return histogram(labelled(features), "usage_trend_30d", bins, by=["churn_status"])
-
-
-def status_counts(features: DataFrame) -> DataFrame:
-    return labelled(features).groupBy("churn_status").agg(F.count(F.lit(1)).alias("customers"))
+def usage_trend_histogram(features: DataFrame, bins: int = 50, include_soft_churn: bool = False) -> DataFrame:
+    return histogram(labelled(features, include_soft_churn), "usage_trend_30d", bins, by=["churn_status"])
 
 
 # ------------------------------------------------------------- insights ----
@@ -300,9 +304,10 @@ def key_insights(features: DataFrame) -> DataFrame:
           .alias(s) for s in (C.STATUS_CHURNED, C.STATUS_ACTIVE)])
     one = (hi_plan.crossJoin(lo_plan).crossJoin(hi_region).crossJoin(funnel)
            .crossJoin(overall).crossJoin(med).join(top_risk_plan, F.lit(True), "left"))
-    f1 = lambda c: fixed(F.col(c), 1)
-    f2 = lambda c: fixed(F.col(c), 2)
-    f0 = lambda c: fixed(F.col(c), 0)
+    shown = lambda c, d: F.coalesce(fixed(F.col(c), d), F.lit("n/a"))  # noqa: E731  a finding stays without its value
+    f1 = lambda c: shown(c, 1)
+    f2 = lambda c: shown(c, 2)
+    f0 = lambda c: shown(c, 0)
     at_risk_pct = pct(F.col("at_risk"), F.col("total"))
     one = one.withColumn("_arp", at_risk_pct)
     rows = [
@@ -338,12 +343,6 @@ def key_insights(features: DataFrame) -> DataFrame:
     return one.select(F.inline(arr)).where(F.col("text").isNotNull())
 
 
-def overview_rates(features: DataFrame) -> DataFrame:
-    """Mean of the 0/1 label over labelled rows."""
-    return labelled(features).agg(round6(F.avg("churn_label")).alias("churn_rate"),
-                                  F.count(F.lit(1)).alias("labelled_customers"))
-
-
 def report(features: DataFrame) -> dict[str, DataFrame]:
     """Every exploration table, keyed by name (compute them together)."""
     return {

@@ -37,13 +37,14 @@ FEATURE_COLUMNS = [
 def usage_stats_frame(usage: DataFrame) -> DataFrame:
     """One row: exact p99.9 of usage_minutes and the max usage date.
 
-    ``percentile`` is exact with linear interpolation.  Its buffer is a
-    value -> count map, bounded by the number of distinct minute values,
-    so the single final merge stays small at any row count.
+    Usage is read once, into a histogram of its minute values (a day has few).
+    The percentile is exact, with linear interpolation; its one task merges
+    the distinct minutes of the histogram, not the maps of all scan tasks.
     """
-    return usage.agg(
-        F.percentile("usage_minutes", C.USAGE_CAP_PERCENTILE).alias("p999_minutes"),
-        F.max("date").alias("max_usage_date"),
+    hist = usage.groupBy("usage_minutes").agg(F.count(F.lit(1)).alias("c"), F.max("date").alias("d"))
+    return hist.agg(
+        F.percentile("usage_minutes", C.USAGE_CAP_PERCENTILE, F.col("c")).alias("p999_minutes"),
+        F.max("d").alias("max_usage_date"),
     )
 
 

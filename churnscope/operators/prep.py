@@ -20,6 +20,9 @@ from churnscope.operators.features import risk_flags
 from churnscope.session import materialize
 
 
+MAX_LEVELS = 256
+
+
 def model_base(features: DataFrame) -> DataFrame:
     """Labelled customers with the three flags (flags use raw, unclipped values)."""
     return risk_flags(features.where(F.col("churn_label").isin(0, 1)))
@@ -58,8 +61,9 @@ def split_quota(base: DataFrame, test_fraction: float = C.TEST_FRACTION) -> Data
     total = counts.agg(F.sum("n_c").alias("n"))
     t = counts.crossJoin(F.broadcast(total)).withColumn(
         "n_train", F.col("n") - F.ceil(F.col("n") * F.lit(test_fraction)).cast("long"))
-    t = t.withColumn("base_q", F.floor(F.col("n_c") * F.col("n_train") / F.col("n")).cast("long"))
-    t = t.withColumn("rem", F.pmod(F.col("n_c") * F.col("n_train"), F.col("n")))
+    product = F.col("n_c").cast("decimal(19,0)") * F.col("n_train").cast("decimal(19,0)")  # may pass 2^63
+    t = t.withColumn("rem", F.pmod(product, F.col("n").cast("decimal(38,0)")).cast("long"))
+    t = t.withColumn("base_q", ((product - F.col("rem")) / F.col("n")).cast("long"))
     # The class table has one row per label: a global window over it is tiny.
     w = Window.orderBy(F.desc("rem"), F.asc("churn_label"))
     t = t.withColumn("_r", F.row_number().over(w))
@@ -121,9 +125,12 @@ def scale(df: DataFrame, scaler: DataFrame, columns: Sequence[str]) -> DataFrame
 
 
 def category_levels(train: DataFrame, column: str) -> list[str]:
-    """Sorted distinct levels of a low-cardinality column (an enumerated domain)."""
+    """Sorted distinct levels of a column, MAX_LEVELS at most: each becomes a feature column."""
     rows = train.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column)
-    return [r[0] for r in rows.collect()]
+    levels = [r[0] for r in rows.limit(MAX_LEVELS + 1).collect()]
+    if len(levels) > MAX_LEVELS:
+        raise ValueError(f"{column} has more than {MAX_LEVELS} levels; it isn't categorical")
+    return levels
 
 
 def onehot(df: DataFrame, levels: dict[str, list[str]]) -> tuple[DataFrame, list[str]]:

@@ -14,11 +14,9 @@ from pyspark.sql import functions as F
 
 from churnscope import config as C
 from churnscope.functions.columns import round6
-from churnscope.functions.quantiles import rank_cutoff
+from churnscope.functions.quantiles import order_key, rank_cutoff
 from churnscope.operators.prep import model_base, winsorized
 
-AUC_BUCKETS = 1 << 16
-
 
 def scorecard_z():
     z = F.lit(C.SCORECARD_INTERCEPT)
@@ -50,28 +48,33 @@ def roc_auc(df: DataFrame, score_col: str = "churn_risk_score",
     """Exact ROC AUC with half credit for ties: (auc, positives, negatives).
 
     Rows collapse to distinct scores first (a hot score is one row).  The
-    running count of negatives below each score is a prefix sum split in
-    two levels: over fixed-width score buckets (at most 65,536 rows, a
-    bounded table) and within a bucket.  Scores must lie in [0, 1].
+    running count of negatives below each score is a prefix sum in three
+    levels, over the digits of the score's order-preserving bits: no window
+    holds more than 2^22 rows, however the scores crowd together.
     """
-    per = (df.where(F.col(score_col).isNotNull() & F.col(label_col).isNotNull())
-           .groupBy(F.col(score_col).cast("double").alias("s"))
-           .agg(F.sum(F.col(label_col).cast("long")).alias("pos"),
-                F.sum((1 - F.col(label_col)).cast("long")).alias("neg")))
-    per = per.withColumn("b", F.least(F.floor(F.col("s") * AUC_BUCKETS),
-                                      F.lit(AUC_BUCKETS - 1)).cast("int"))
-    buckets = per.groupBy("b").agg(F.sum("neg").alias("bneg"))
-    wb = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = buckets.select("b", F.coalesce(F.sum("bneg").over(wb), F.lit(0)).alias("neg_before"))
-    wi = Window.partitionBy("b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    within = per.withColumn("neg_in", F.coalesce(F.sum("neg").over(wi), F.lit(0)))
-    joined = within.join(F.broadcast(offsets), "b")
-    credit = (F.col("pos") * (F.col("neg_before") + F.col("neg_in"))
-              + F.lit(0.5) * F.col("pos") * F.col("neg"))
+    counted = (df.where(F.col(score_col).isNotNull() & F.col(label_col).isNotNull())
+               .groupBy(F.col(score_col).cast("double").alias("s"))
+               .agg(F.sum(F.col(label_col).cast("long")).alias("pos"),
+                    F.sum((1 - F.col(label_col)).cast("long")).alias("neg")))
+    key, (high, middle, _) = order_key(counted, "s")
+    per = counted.select("pos", "neg", key.alias("k")).select(
+        "*", F.shiftright("k", high).alias("d1"), F.shiftright("k", middle).alias("d2"))
+
+    def below(rows: DataFrame, digit: str, above: list[str], name: str) -> DataFrame:
+        w = Window.partitionBy(*above).orderBy(digit).rowsBetween(Window.unboundedPreceding, -1)
+        return rows.withColumn(name, F.coalesce(F.sum("neg").over(w), F.lit(0)))
+
+    by_d2 = per.groupBy("d1", "d2").agg(F.sum("neg").alias("neg"))
+    by_d1 = by_d2.groupBy("d1").agg(F.sum("neg").alias("neg"))
+    joined = (below(per, "k", ["d1", "d2"], "n3")
+              .join(below(by_d2, "d2", ["d1"], "n2").select("d1", "d2", "n2"), ["d1", "d2"])
+              .join(below(by_d1, "d1", [], "n1").select("d1", "n1"), "d1"))
+    pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")  # products of counts may pass 2^63
+    credit = pos * (F.col("n1") + F.col("n2") + F.col("n3")) + 0.5 * pos * neg
     tot = joined.agg(F.sum(credit).alias("credit"), F.sum("pos").alias("positives"),
                      F.sum("neg").alias("negatives"))
     auc = F.when((F.col("positives") > 0) & (F.col("negatives") > 0),
-                 F.col("credit") / (F.col("positives") * F.col("negatives")))
+                 F.col("credit") / F.col("positives").cast("double") / F.col("negatives"))
     return tot.select(round6(auc).alias("roc_auc"), "positives", "negatives")
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnscope import config as C
-from churnscope.functions.columns import bucket_by_cumulative, key_uniform, round6
+from churnscope.functions.columns import bucket_by_cumulative, key_hash, key_uniform, round6
 from churnscope.operators.features import UsageStats
 
 
@@ -133,7 +133,7 @@ def weighted_bucket(schedule: DataFrame, seed: int = 7) -> DataFrame:
 
 def hash_sample(usage: DataFrame, seed: int = 11) -> DataFrame:
     """Repeatable thinning: drop 12-18 % of rows, decided by a hash of (customer, day)."""
-    key = F.col("customer_id") * 65536 + F.datediff(F.col("date"), F.lit("1970-01-01").cast("date"))
+    key = key_hash("customer_id", 3) * 65536 + F.datediff(F.col("date"), F.lit("1970-01-01").cast("date"))
     keep = key_uniform(key, seed) > (F.lit(0.12) + F.lit(0.06) * key_uniform(key, seed + 1))
     return usage.where(keep)
 
@@ -141,18 +141,23 @@ def hash_sample(usage: DataFrame, seed: int = 11) -> DataFrame:
 def bill_sequence(billing: DataFrame) -> DataFrame:
     """0-based position of each bill in its customer's history.
 
-    Order: bill_date, amount, payment_status.  The offset of each day is a
-    running sum over the customer's distinct bill dates (bounded by the
-    calendar), and the position inside a day is a row number over that
-    day's bills -- no window ever holds a whole customer's rows.
+    Order: bill_date, amount, payment_status.  Equal bills collapse to one
+    row with a count.  The offset of each day is a running sum over the
+    customer's distinct bill dates (bounded by the calendar), the offset
+    inside a day one over the day's distinct bills; the counts are then
+    spread out again, so no window holds a hot customer-day's rows.
     """
-    per_day = billing.groupBy("customer_id", "bill_date").agg(F.count(F.lit(1)).alias("_n"))
-    w = (Window.partitionBy("customer_id").orderBy("bill_date")
-         .rowsBetween(Window.unboundedPreceding, -1))
+    bills = billing.groupBy("customer_id", "bill_date", "amount", "payment_status").agg(F.count(F.lit(1)).alias("_c"))
+    per_day = bills.groupBy("customer_id", "bill_date").agg(F.sum("_c").alias("_n"))
+    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    w = before(Window.partitionBy("customer_id").orderBy("bill_date"))
     offsets = per_day.select("customer_id", "bill_date",
                              F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    wd = Window.partitionBy("customer_id", "bill_date").orderBy("amount", "payment_status")
-    within = billing.withColumn("_i", F.row_number().over(wd) - 1)
+    wd = before(Window.partitionBy("customer_id", "bill_date").orderBy("amount", "payment_status"))
+    within = bills.withColumn("_i", F.coalesce(F.sum("_c").over(wd), F.lit(0)))
+    first = F.col("_off") + F.col("_i")
     return (within.join(offsets, ["customer_id", "bill_date"])
             .select("customer_id", "bill_date", "amount", "payment_status",
-                    (F.col("_off") + F.col("_i")).cast("int").alias("bill_sequence")))
+                    F.explode(F.sequence(first, first + F.col("_c") - 1)).alias("_at"))
+            .select("customer_id", "bill_date", "amount", "payment_status",
+                    F.col("_at").cast("int").alias("bill_sequence")))

@@ -107,7 +107,8 @@ def _recency(t: Tables) -> DataFrame:
 
 @query("churn_label")
 def _churn_label(t: Tables) -> DataFrame:
-    return feat.churn_features(t).select("customer_id", "recency_days", "churn_label")
+    u = t["usage_daily"]
+    return feat.recency(t["customers"], u, feat.UsageStats(u)).select("customer_id", "recency_days", "churn_label")
 
 
 @query("churn_features")
@@ -127,18 +128,22 @@ def _features(t: Tables) -> DataFrame:
 
 @query("labelled_customers")
 def _labelled_customers(t: Tables) -> DataFrame:
-    return _features(t).where(F.col("churn_label").isin(0, 1))
+    return feat.churn_features(t).where(F.col("churn_label").isin(0, 1))
 
 
 @query("lifecycle_stage")
 def _lifecycle_stage(t: Tables) -> DataFrame:
-    return ex.with_stage(_features(t)).select("customer_id", "recency_days", "lifecycle_stage")
+    return ex.with_stage(feat.churn_features(t)).select("customer_id", "recency_days", "lifecycle_stage")
 
 
 @query("churn_status")
 def _churn_status(t: Tables) -> DataFrame:
-    return ex.labelled(_features(t)).select("customer_id", "churn_label", "churn_status")
+    return ex.labelled(feat.churn_features(t)).select("customer_id", "churn_label", "churn_status")
+
 
+# these read the feature table once (or twice, where the exchange is reused): nothing is written for them
+_ONE_SCAN = {"lifecycle_distribution", "lifecycle_by_plan", "lifecycle_by_plan_pivot", "retention_funnel",
+             "churn_rate_overall", "at_risk_by_plan"}
 
 for _name, _fn in {
     "lifecycle_distribution": ex.lifecycle_distribution,
@@ -155,17 +160,17 @@ for _name, _fn in {
     "usage_trend_histogram": ex.usage_trend_histogram,
     "key_insights": ex.key_insights,
 }.items():
-    query(_name)((lambda fn: lambda t: fn(_features(t)))(_fn))
+    query(_name)((lambda fn, once: lambda t: fn(feat.churn_features(t) if once else _features(t)))(_fn, _name in _ONE_SCAN))
 
 
 @query("churn_by_plan")
 def _churn_by_plan(t: Tables) -> DataFrame:
-    return ex.churn_by(_features(t), "plan")
+    return ex.churn_by(feat.churn_features(t), "plan")
 
 
 @query("churn_by_region")
 def _churn_by_region(t: Tables) -> DataFrame:
-    return ex.churn_by(_features(t), "region")
+    return ex.churn_by(feat.churn_features(t), "region")
 
 
 @query("recency_box")
@@ -192,13 +197,13 @@ from churnscope.operators import scoring  # noqa: E402
 
 @query("risk_flags")
 def _risk_flags(t: Tables) -> DataFrame:
-    return feat.risk_flags(_features(t)).select(
+    return feat.risk_flags(feat.churn_features(t)).select(
         "customer_id", "usage_decline_flag", "high_support_flag", "payment_issue_flag")
 
 
 @query("model_base")
 def _model_base(t: Tables) -> DataFrame:
-    return prep.model_base(_features(t))
+    return prep.model_base(feat.churn_features(t))
 
 
 @query("winsor_bounds")
@@ -243,16 +248,11 @@ def _scaled_features(t: Tables) -> DataFrame:
     return out.select("customer_id", "split", *[round6(c).alias(c) for c in cols])
 
 
-# Enumerated domains of the conformed data (plan from the market segment,
-# region from the region table); levels present in training are used.
-_LEVELS = {"plan": ["Basic", "Enterprise", "Free", "Pro"],
-           "region": ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]}
-
-
 @query("onehot_features")
 def _onehot_features(t: Tables) -> DataFrame:
     split = _split(t)
-    out, names = prep.onehot(split, _LEVELS)
+    train = split.where(F.col("split") == "train")
+    out, names = prep.onehot(split, {c: prep.category_levels(train, c) for c in C.CATEGORICAL_FEATURES})
     return out.select("customer_id", "plan", "region", *names)
 
 
@@ -553,60 +553,51 @@ def _export_churn_features(spark, sf_dir: str) -> DataFrame:
 
 from churnscope.operators import models as ml  # noqa: E402
 
-_TRAINED: dict[tuple[int, str, str], object] = {}
-
 
-def _trained(spark, sf_dir: str, kind: str):
-    """Train both models once per (live SparkContext, data dir); reuse for the model keys."""
-    ctx = id(spark.sparkContext._jsc)
-    key = (ctx, sf_dir, kind)
-    if key not in _TRAINED:
-        for k in [k for k in _TRAINED if k[0] != ctx]:
-            del _TRAINED[k]  # models of a stopped session
-        f = materialize(feat.churn_features(staged_from_root(spark, sf_dir)))
-        shared = ml.prepare_for_models(f)
-        _TRAINED[(ctx, sf_dir, "lr")] = ml.train_logistic(f, shared)
-        _TRAINED[(ctx, sf_dir, "rf")] = ml.train_forest(f, prepared=shared)
-    return _TRAINED[key]
+def _trained(spark, sf_dir: str, *kinds: str) -> list[ml.Trained]:
+    """Models of these kinds, trained on the data of the call."""
+    f = materialize(feat.churn_features(staged_from_root(spark, sf_dir)))
+    shared = ml.prepare_for_models(f)
+    train = {"lr": lambda: ml.train_logistic(f, shared), "rf": lambda: ml.train_forest(f, prepared=shared)}
+    return [train[kind]() for kind in kinds]
 
 
 @raw_query("lr_scores")
 def _lr_scores(spark, sf_dir: str) -> DataFrame:
-    return ml.scores(_trained(spark, sf_dir, "lr"))
+    return ml.scores(_trained(spark, sf_dir, "lr")[0])
 
 
 @raw_query("rf_scores")
 def _rf_scores(spark, sf_dir: str) -> DataFrame:
-    return ml.scores(_trained(spark, sf_dir, "rf"))
+    return ml.scores(_trained(spark, sf_dir, "rf")[0])
 
 
 @raw_query("risk_scores")
 def _risk_scores(spark, sf_dir: str) -> DataFrame:
     """Forest churn risk for every labelled customer (the app's scoring)."""
-    return ml.scores(_trained(spark, sf_dir, "rf"), split=None).withColumnRenamed(
+    return ml.scores(_trained(spark, sf_dir, "rf")[0], split=None).withColumnRenamed(
         "rf_score", "churn_risk_score")
 
 
 @raw_query("model_comparison")
 def _model_comparison(spark, sf_dir: str) -> DataFrame:
-    lr = ml.evaluation(_trained(spark, sf_dir, "lr"), "logistic_regression")
-    rf = ml.evaluation(_trained(spark, sf_dir, "rf"), "random_forest")
-    return lr.unionByName(rf)
+    lr, rf = _trained(spark, sf_dir, "lr", "rf")
+    return ml.evaluation(lr, "logistic_regression").unionByName(ml.evaluation(rf, "random_forest"))
 
 
 @raw_query("lr_top_drivers")
 def _lr_top_drivers(spark, sf_dir: str) -> DataFrame:
-    return ml.lr_drivers(_trained(spark, sf_dir, "lr"))
+    return ml.lr_drivers(_trained(spark, sf_dir, "lr")[0])
 
 
 @raw_query("rf_importance")
 def _rf_importance(spark, sf_dir: str) -> DataFrame:
-    return ml.forest_importance(_trained(spark, sf_dir, "rf"))
+    return ml.forest_importance(_trained(spark, sf_dir, "rf")[0])
 
 
 @raw_query("linear_attribution")
 def _linear_attribution(spark, sf_dir: str) -> DataFrame:
-    return ml.linear_attribution(_trained(spark, sf_dir, "lr"))
+    return ml.linear_attribution(_trained(spark, sf_dir, "lr")[0])
 
 
 @query("cohort_insights")
@@ -617,7 +608,7 @@ def _cohort_insights(t: Tables) -> DataFrame:
 
 @raw_query("permutation_importance")
 def _permutation_importance(spark, sf_dir: str) -> DataFrame:
-    return ml.permutation_importance(_trained(spark, sf_dir, "lr"))
+    return ml.permutation_importance(_trained(spark, sf_dir, "lr")[0])
 
 
 @query("churn_lift_by_flag")

@@ -43,14 +43,23 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return spark.sparkContext.getCheckpointDir()
 
 
+class MissingSharedFolderError(RuntimeError):
+    pass
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the configured checkpoint folder; set one only where unset."""
+    """Return the configured checkpoint folder; a local session without one gets a temporary folder.
+
+    On a cluster the folder must be one that all executors share, so it has to be configured.
+    """
     current = checkpoint_dir(spark)
     if current:
         # Make sure RDD checkpointing uses the same folder.
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(current)
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise MissingSharedFolderError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="churnscope-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return local
@@ -62,7 +71,14 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     tail = list(parts)
     if unique:
         tail.append(uuid.uuid4().hex)
-    return "/".join([base, "churnscope", *tail])
+    return "/".join([base, "churnscope", spark.sparkContext.applicationId, *tail])
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete what this application wrote under the shared folder; frames read from it end with this."""
+    jvm, base = spark.sparkContext._jvm, ensure_checkpoint_dir(spark).rstrip("/")
+    path = jvm.org.apache.hadoop.fs.Path(f"{base}/churnscope/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def default_sf_dir(sf: str = "0.001") -> str:

@@ -31,7 +31,6 @@ FREE_SEGMENTS = ("HOUSEHOLD", "FURNITURE")
 SEGMENT_PLAN = [("HOUSEHOLD", "Free"), ("FURNITURE", "Free"), ("MACHINERY", "Basic"),
                 ("BUILDING", "Pro")]
 OTHER_SEGMENT_PLAN = "Enterprise"
-NO_USAGE_MODULUS = 25
 DUPLICATE_BILL_MODULUS = 50
 BILL_DELAY_DAYS = 90
 STATUS_BY_ORDER_STATUS = [("F", "paid"), ("O", "late")]
@@ -91,7 +90,6 @@ def conform_usage(spark: SparkSession, root: str) -> DataFrame:
     joined = _lines_with_customer(
         spark, root,
         ["l_shipdate", "l_linenumber", "l_extendedprice", "l_quantity"], [],
-        order_filter=F.col("o_custkey") % NO_USAGE_MODULUS != 0,
     )
     return joined.select(
         F.col("o_custkey").alias("customer_id"),
