@@ -51,25 +51,30 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
 
 
-def labelled_sample(rows: DataFrame, label: str, most: int, chars: int, seed: int) -> list[tuple[str, object]]:
-    """(text, label) of at most ``most`` rows (doc_id, text, label), the labels as even as they come.
+def evenly_by_label(rows: DataFrame, label: str, most: int, seed: int, *keys: str) -> tuple[DataFrame, list]:
+    """About ``most`` of the rows, as many of each label as they come, with the hash ``h`` that chose them; the labels.
 
-    Rows are chosen by a hash of id and text against a share for each label, in one scan; a
-    longer text gives an excerpt of ``chars`` characters from a place that the hash chooses.
+    Rows are chosen by a hash of ``keys`` against a share for each label.
     """
     counts = rows.groupBy(label).count().orderBy(F.desc("count"), label).limit(most).collect()
     if not counts:
-        return []
-    each = most // len(counts)
-    share = {r[label]: min(1.0, 1.3 * each / r["count"]) for r in counts}
-    h = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(1 << 30))
+        return rows.limit(0).withColumn("h", F.lit(0).cast("long")), []
+    share = {r[label]: min(1.0, 1.3 * (most // len(counts)) / r["count"]) for r in counts}
     limit = F.create_map(*(F.lit(x) for k, v in share.items() for x in (k, v * (1 << 30))))
+    chosen = rows.withColumn("h", F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(1 << 30)))
+    return chosen.where(F.col("h") < limit[F.col(label)]), list(share)
+
+
+def excerpts(chosen: DataFrame, label: str, labels: list, most: int, chars: int, seed: int) -> list[tuple[str, object]]:
+    """(text, label) of at most ``most`` of the chosen rows (doc_id, text, label, h), those of the least hashes.
+
+    A longer text gives ``chars`` characters from a place that a hash of its id chooses.
+    """
     begin = 1 + F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id"), F.greatest(F.length("text") - chars, F.lit(1)))
-    chosen = rows.withColumn("h", h).where(F.col("h") < limit[F.col(label)])
-    chosen = chosen.select("h", label, F.substring("text", begin.cast("int"), F.lit(chars)).alias("text"))
-    got, out = chosen.orderBy("h", label, "text").limit(2 * most).collect(), []
-    for k in share:
-        out += [(r["text"], k) for r in got if r[label] == k][:each]
+    cut_out = chosen.select("h", label, F.substring("text", begin.cast("int"), F.lit(chars)).alias("text"))
+    got, out = cut_out.orderBy("h", label, "text").limit(2 * most).collect(), []
+    for k in labels:
+        out += [(r["text"], k) for r in got if r[label] == k][: most // len(labels)]
     return out
 
 

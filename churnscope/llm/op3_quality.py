@@ -6,7 +6,7 @@ one for a pair that the text has had before.  A text's features are the frequenc
 n-grams.  Training is follow-the-regularised-leader (proximal, per-coordinate rates, L1 and
 L2); a score is the logistic function of a sparse dot product.
 
-Training takes SAMPLE_DOCS labelled documents at most (chosen by a hash of id and text, as
+Training takes SAMPLE_DOCS labelled documents at most (chosen by a hash of their ids, as
 many of either label as there are, up to half) and excerpts of SAMPLE_CHARS of longer ones.
 A null text counts as empty and has only the intercept; without any label every score is
 0.5.  Null labels are ignored; a document with several labels trains with each.  Repeated
@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnscope.llm.common import arrow_stage, held_out, labelled_sample, mixed, record_batch, table, texts_of
+from churnscope.llm.common import arrow_stage, evenly_by_label, excerpts, held_out, mixed, record_batch, table, texts_of
 
 #: Hashed weights (as bits); labelled documents and characters of one that training may use; passes.
 BITS, SAMPLE_DOCS, SAMPLE_CHARS, EPOCHS = 18, 6000, 20_000, 4
@@ -82,8 +82,11 @@ def score(weights: np.ndarray, text: str) -> float:
 
 def sample(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_DOCS) -> list[tuple[str, int]]:
     """(excerpt, quality) of at most ``most`` documents that training may use."""
-    usable = docs.select("doc_id", "text").where(~held_out()).join(labels.select("doc_id", "quality").where("quality IN (0, 1)"), "doc_id")
-    return labelled_sample(usable.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "quality"), "quality", most, SAMPLE_CHARS, 3)
+    usable = labels.select("doc_id", "quality").where("doc_id IS NOT NULL AND quality IN (0, 1)").where(~held_out()).distinct()
+    chosen, marks = evenly_by_label(usable, "quality", most, 3, "doc_id")
+    chosen = F.broadcast(chosen.orderBy("h", "doc_id", "quality").limit(2 * most))  # so many rows of three numbers at most
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(chosen, "doc_id")
+    return excerpts(texts, "quality", marks, most, SAMPLE_CHARS, 3)
 
 
 def score_documents(docs: DataFrame, weights: np.ndarray, carried: list[str]) -> DataFrame:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnscope.llm.common import arrow_stage, held_out, in_slices, labelled_sample, record_batch, table
+from churnscope.llm.common import arrow_stage, evenly_by_label, excerpts, held_out, in_slices, record_batch, table
 
 #: Bytes of a window, hidden units of each direction.
 WINDOW, HIDDEN = 64, 8
@@ -205,7 +205,8 @@ def pooled(net: Network, raws: list[bytes]) -> np.ndarray:
 def sample(docs: DataFrame, most: int = SAMPLE_DOCS) -> list[tuple[str, str]]:
     """(excerpt, lang) of at most ``most`` documents (doc_id, text, lang) that training may use."""
     usable = docs.where("lang IS NOT NULL AND length(text) > 0").where(~held_out())
-    return labelled_sample(usable.select("doc_id", "text", "lang"), "lang", most, SAMPLE_CHARS, 7)
+    chosen, langs = evenly_by_label(usable.select("doc_id", "text", "lang"), "lang", most, 7, "doc_id", "text")
+    return excerpts(chosen, "lang", langs, most, SAMPLE_CHARS, 7)
 
 
 def identify(docs: DataFrame, net: Network | None, carried: list[str]) -> DataFrame:
