@@ -39,8 +39,6 @@ FUNNEL_STAGES = [
     "Churned (>45 days)",
 ]
 
-# Cohort risk drivers; list order is also the tie-break order for argmax.
-DRIVERS = ["Usage Decline", "Payment Issues", "Support Load"]
 
 # Label / stage day thresholds.
 LABEL_CHURN_AFTER_DAYS = 45  # recency > 45 -> label 1
@@ -129,8 +127,6 @@ BILL_EVERY_DAYS = 13
 TICKETS_PER_MONTH = 0.42
 MAX_TENURE_MONTHS = 18
 PAYMENT_STATUS_BUCKETS = [("paid", 0.75), ("late", 0.90), ("failed", 1.0)]
-TICKET_CATEGORY_BUCKETS = [("billing", 0.25), ("technical", 0.85), ("onboarding", 1.0)]
-TICKET_PRIORITY_BUCKETS = [("low", 0.55), ("medium", 0.95), ("high", 1.0)]
 
 # --------------------------------------------------------------------------
 # This package's own parameters

@@ -50,25 +50,30 @@ def _grouped(df: DataFrame, by: Sequence[str]) -> tuple[DataFrame, list[str]]:
 
 
 def _select(counts: DataFrame, targets: DataFrame, by: list[str], shifts: tuple[int, ...]) -> DataFrame:
-    """(by..., tid, _key, _before): the key at rank k of each target and the rows before it.
+    """(by..., tid, _key, _before, _value): the key at rank k of each target and the rows before it.
 
     counts: by..., _key, _value, _c; targets: by..., tid, k.  Targets out of range have no row.
+    Each round reads ``counts`` and the state of the round before once, so plans grow linearly.
     """
     state = targets.select(*by, "tid", "k", F.lit(0).cast("bigint").alias("_before"))
-    keys = list(by)
+    above = None
     for shift in shifts:
         digits = counts.withColumn("_digit", F.shiftright("_key", shift))
-        if keys != by:  # only rows under the digits found so far
-            digits = digits.withColumn("_found", F.shiftright("_key", above)).join(  # noqa: F821 - set below
-                _few(state.select(*keys).distinct(), by), keys, "left_semi")
-        hist = digits.groupBy(*keys, "_digit").agg(F.sum("_c").alias("_c"), F.min("_value").alias("_value"))
-        upto = F.sum("_c").over(Window.partitionBy(*keys).orderBy("_digit").rowsBetween(Window.unboundedPreceding, 0))
-        hist = hist.withColumn("_upto", upto)
+        if above is None:  # all targets of a group share the first histogram
+            hist = digits.groupBy(*by, "_digit").agg(F.sum("_c").alias("_c"), F.min("_value").alias("_value"))
+            over = Window.partitionBy(*by)
+        else:  # only rows under the digits found so far
+            digits = digits.withColumn("_found", F.shiftright("_key", above)).join(_few(state, by), [*by, "_found"])
+            hist = digits.groupBy(*by, "tid", "k", "_before", "_digit").agg(F.sum("_c").alias("_c"), F.min("_value").alias("_value"))
+            over = Window.partitionBy(*by, "tid")
+        hist = hist.withColumn("_upto", F.sum("_c").over(over.orderBy("_digit").rowsBetween(Window.unboundedPreceding, 0)))
+        placed = hist.join(_few(state, by), by) if above is None else hist
         rank = F.col("k") - F.col("_before")
-        state = state.drop("_value").join(hist, keys).where((rank >= F.col("_upto") - F.col("_c")) & (rank < F.col("_upto")))
-        state = state.select(*by, "tid", "k", (F.col("_before") + F.col("_upto") - F.col("_c")).alias("_before"),
-                             F.col("_digit").alias("_found"), "_value")
-        keys, above = [*by, "_found"], shift
+        hit = placed.where((rank >= F.col("_upto") - F.col("_c")) & (rank < F.col("_upto")))
+        last = shift == shifts[-1]
+        state = hit.select(*by, "tid", "k", (F.col("_before") + F.col("_upto") - F.col("_c")).alias("_before"),
+                           F.col("_digit").alias("_found"), *(["_value"] if last else []))
+        above = shift
     return state.select(*by, "tid", F.col("_found").alias("_key"), "_before", "_value")
 
 
@@ -137,12 +142,13 @@ def rank_cutoff(df: DataFrame, value: str, tie: str, quota: DataFrame, by: Seque
     ranked = df.withColumn("_ord", F.bitwise_not(key) if descending else key)  # ~x reverses the order of whole numbers
     some = ranked.where(F.col("_ord").isNotNull())
     counts = some.groupBy(*keys, F.col("_ord").alias("_key")).agg(F.count(F.lit(1)).alias("_c")).withColumn("_value", F.col("_key"))
-    first = quota.select(*keys, F.lit(0).alias("tid"), (F.col("_take") - 1).alias("k"))
-    cut = _select(counts, first, keys, shifts).select(*keys, F.col("_key").alias("_cut"), "_before")
+    first = quota.where("_take > 0").select(*keys, F.col("_take").alias("tid"), (F.col("_take") - 1).alias("k"))
+    cut = _select(counts, first, keys, shifts).select(*keys, F.col("tid").alias("_take"), F.col("_key").alias("_cut"), "_before")
     ties, tie_shifts = _counts(some.join(_few(cut, keys), keys).where(F.col("_ord") == F.col("_cut")).select(*keys, tie), tie, keys)
-    within = quota.join(cut, keys).select(*keys, F.lit(0).alias("tid"), (F.col("_take") - F.col("_before") - 1).alias("k"))
-    tie_cut = _select(ties, within, keys, tie_shifts).select(*keys, F.col("_value").alias("_tie_cut"))
-    bounds = quota.join(cut, keys, "left").join(tie_cut, keys, "left").select(*keys, "_take", "_cut", "_tie_cut")
+    # the cut travels as the target's id, so that the bounds need no second look at it
+    within = cut.select(*keys, F.struct("_take", "_cut").alias("tid"), (F.col("_take") - F.col("_before") - 1).alias("k"))
+    bounds = _select(ties, within, keys, tie_shifts).select(*keys, F.col("tid._cut").alias("_cut"), F.col("_value").alias("_tie_cut"))
+    bounds = quota.select(*keys, "_take").join(_few(bounds, keys), keys, "left")
     marked = ranked.join(_few(bounds, keys), keys, "left")
     inside = F.col("_cut").isNull() | (F.col("_ord") < F.col("_cut")) | ((F.col("_ord") == F.col("_cut")) & (F.col(tie) <= F.col("_tie_cut")))
     chosen = F.coalesce((F.col("_take") > 0) & F.col("_ord").isNotNull() & inside, F.lit(False))

@@ -34,46 +34,62 @@ from churnscope.session import materialize
 class Trained:
     model: PipelineModel
     features: list[str]
-    frame: DataFrame  # prepared rows: customer_id, churn_label, split, class_weight, features
+    frame: DataFrame  # labelled rows with split, class_weight and prepared columns
     score_col: str
+    prep: prep.FittedPrep
 
 
-def prepare_for_models(features: DataFrame) -> tuple[DataFrame, list[str]]:
+@dataclass
+class Scorer:
+    """A model with its fitted preparation: scores feature tables as they are."""
+
+    model: PipelineModel
+    prep: prep.FittedPrep
+
+    def score(self, features: DataFrame) -> DataFrame:
+        """The labelled customers of a feature table with flags and churn_risk_score, ready for targeting."""
+        base = prep.model_base(features)
+        scored = self.model.transform(self.prep.apply(base))
+        return scored.select(*base.columns, vector_to_array("probability")[1].alias("churn_risk_score"))
+
+
+def prepare_for_models(features: DataFrame) -> tuple[DataFrame, prep.FittedPrep]:
     """One preparation shared by both models (numeric + flags + one-hot, weights)."""
-    frame, cols = prep.prepared(features, with_flags=True)
+    frame, fitted = prep.prepared(features)
     weights = prep.class_weights(frame.where(F.col("split") == "train"))
     frame = frame.join(F.broadcast(weights.select("churn_label", "class_weight")), "churn_label")
-    return materialize(frame), cols
+    return materialize(frame), fitted
 
 
-def _lr_columns(cols: list[str]) -> list[str]:
-    return [c for c in cols if c not in C.FLAG_FEATURES]
+def _assembler(cols: list[str]) -> VectorAssembler:
+    return VectorAssembler(inputCols=[f"x_{c}" for c in cols], outputCol="x")
 
 
 def train_logistic(features: DataFrame, prepared=None) -> Trained:
-    frame, cols = prepared or prepare_for_models(features)
-    cols = _lr_columns(cols)
+    frame, fitted = prepared or prepare_for_models(features)
+    cols = [c for c in fitted.features if c not in C.FLAG_FEATURES]
     train = frame.where(F.col("split") == "train")
     n_train = train.count()
     lr = LogisticRegression(featuresCol="x", labelCol="churn_label", weightCol="class_weight",
                             regParam=1.0 / max(n_train, 1), elasticNetParam=0.0,
                             standardization=False, maxIter=1000, tol=1e-8)
-    model = Pipeline(stages=[VectorAssembler(inputCols=cols, outputCol="x"), lr]).fit(
+    model = Pipeline(stages=[_assembler(cols), lr]).fit(
         train.withColumn("churn_label", F.col("churn_label").cast("double")))
-    return Trained(model, cols, frame, "lr_score")
+    return Trained(model, cols, frame, "lr_score", fitted)
 
 
 def train_forest(features: DataFrame, num_trees: int = 200, max_depth: int = 8,
                  min_leaf: int = 100, seed: int = C.SPLIT_SEED, prepared=None) -> Trained:
-    frame, cols = prepared or prepare_for_models(features)
+    frame, fitted = prepared or prepare_for_models(features)
+    cols = fitted.features
     train = frame.where(F.col("split") == "train")
     rf = RandomForestClassifier(featuresCol="x", labelCol="churn_label", weightCol="class_weight",
                                 numTrees=num_trees, maxDepth=max_depth,
                                 minInstancesPerNode=min_leaf, featureSubsetStrategy="sqrt",
                                 seed=seed, maxMemoryInMB=1024, cacheNodeIds=True)
-    model = Pipeline(stages=[VectorAssembler(inputCols=cols, outputCol="x"), rf]).fit(
+    model = Pipeline(stages=[_assembler(cols), rf]).fit(
         train.withColumn("churn_label", F.col("churn_label").cast("double")))
-    return Trained(model, cols, frame, "rf_score")
+    return Trained(model, cols, frame, "rf_score", fitted)
 
 
 def scores(t: Trained, split: str | None = "test") -> DataFrame:
@@ -116,9 +132,9 @@ def linear_attribution(t: Trained) -> DataFrame:
     coefs = t.model.stages[-1].coefficients.toArray().tolist()
     test = t.frame.where(F.col("split") == "test")
     means = t.frame.where(F.col("split") == "train").agg(
-        *[F.avg(c).alias(f"_mu_{c}") for c in t.features])
+        *[F.avg(f"x_{c}").alias(f"_mu_{c}") for c in t.features])
     x = test.crossJoin(F.broadcast(means))
-    agg = x.agg(*[F.avg(F.abs(F.lit(w) * (F.col(c) - F.col(f"_mu_{c}")))).alias(c)
+    agg = x.agg(*[F.avg(F.abs(F.lit(w) * (F.col(f"x_{c}") - F.col(f"_mu_{c}")))).alias(c)
                   for c, w in zip(t.features, coefs)])
     rows = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("mean_abs_attribution"))
                      for c in t.features])
@@ -140,32 +156,20 @@ def permutation_importance(t: Trained, seed: int = C.SPLIT_SEED, block: int = 64
     from churnscope.functions.columns import key_hash
 
     test = t.frame.where(F.col("split") == "test")
-    n = test.count()
-    buckets = max(1, n // block)
+    buckets = max(1, test.count() // block)
+    own = F.struct(*[F.col(f"x_{c}") for c in t.features])
+    w = Window.partitionBy("_b").orderBy("_h", "customer_id")
+    donor = F.coalesce(F.lead(own).over(w), F.first(own).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
     keyed = (test.withColumn("_b", F.pmod(key_hash("customer_id", seed), F.lit(buckets)))
-             .withColumn("_h", key_hash("customer_id", seed + 1)))
-    keyed = keyed.withColumn("_r", F.row_number().over(
-        Window.partitionBy("_b").orderBy("_h", "customer_id")))
-    keyed = keyed.withColumn("_m", F.count(F.lit(1)).over(Window.partitionBy("_b")))
-    keyed = materialize(keyed.withColumn("_partner", F.pmod(F.col("_r"), F.col("_m")) + 1))
-
-    def auc_of(rows: DataFrame) -> DataFrame:
-        scored = t.model.transform(rows).select(
-            "customer_id", "churn_label",
-            vector_to_array("probability")[1].alias("churn_risk_score"))
-        return roc_auc(scored).select("roc_auc")
-
-    base = auc_of(keyed).select(F.col("roc_auc").alias("base_auc"))
-    parts = []
-    for feature in t.features:
-        donor = keyed.select("_b", F.col("_r").alias("_partner"), F.col(feature).alias("_donor"))
-        permuted = keyed.join(donor, ["_b", "_partner"]).withColumn(feature, F.col("_donor"))
-        parts.append(auc_of(permuted).select(F.lit(feature).alias("feature"),
-                                             F.col("roc_auc").alias("permuted_auc")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return (out.crossJoin(base)
+             .withColumn("_h", key_hash("customer_id", seed + 1)).withColumn("_donor", donor))
+    # one row for each row and permuted feature, and the rows as they are under the empty name
+    long = keyed.withColumn("feature", F.explode(F.array(F.lit(""), *map(F.lit, t.features))))
+    for c in t.features:
+        long = long.withColumn(f"x_{c}", F.when(F.col("feature") == c, F.col(f"_donor.x_{c}")).otherwise(F.col(f"x_{c}")))
+    scored = t.model.transform(long).select("feature", "churn_label", vector_to_array("probability")[1].alias("churn_risk_score"))
+    aucs = materialize(roc_auc(scored, by=["feature"]).select("feature", "roc_auc"))  # a row for each feature
+    base = aucs.where("feature = ''").select(F.col("roc_auc").alias("base_auc"))
+    return (aucs.where("feature <> ''").withColumnRenamed("roc_auc", "permuted_auc").crossJoin(F.broadcast(base))
             .select("feature", "base_auc", "permuted_auc",
                     round6(F.col("base_auc") - F.col("permuted_auc")).alias("auc_drop"))
             .orderBy(F.desc("auc_drop"), "feature"))
@@ -176,14 +180,18 @@ class MissingModelError(FileNotFoundError):
 
 
 def save_model(t: Trained, path: str) -> None:
-    t.model.write().overwrite().save(path)
+    """The model and its fitted preparation, under one folder."""
+    t.model.write().overwrite().save(f"{path}/model")
+    spark = t.frame.sparkSession
+    spark.createDataFrame([(t.prep.to_json(),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/prep")
 
 
-def load_model(spark, path: str) -> PipelineModel:
-    """Load a saved model; a named error (before any job) when it is absent."""
+def load_model(spark, path: str) -> Scorer:
+    """Load a saved model with its preparation; a named error (before any job) when it is absent."""
     jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    hpath = jvm.org.apache.hadoop.fs.Path(f"{path}/model")
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(hpath):
         raise MissingModelError(f"no model at {path}; train and save it first")
-    return PipelineModel.load(path)
+    fitted = prep.FittedPrep.from_json(spark.read.text(f"{path}/prep").first().value)
+    return Scorer(PipelineModel.load(f"{path}/model"), fitted)

@@ -8,9 +8,11 @@ literal columns.  Nothing customer-grained goes through the driver.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
+from dataclasses import asdict, dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnscope import config as C
@@ -155,25 +157,59 @@ def class_weights(train: DataFrame) -> DataFrame:
                     (F.col("n") / (F.col("k") * F.col("n_c"))).alias("class_weight")))
 
 
-def prepared(features: DataFrame, numeric: Sequence[str] = C.NUMERIC_FEATURES,
-             with_flags: bool = False, levels: dict[str, list[str]] | None = None):
-    """Split + winsorise + impute/scale (fitted on train) + one-hot.
+@dataclass
+class FittedPrep:
+    """What preparation learned: small values that travel with a saved model.
 
-    Returns (frame, feature_columns).  The frame keeps customer_id,
-    churn_label and split.
+    bounds: column -> (p1, p99) for clipping; medians and moments: column ->
+    median, (mean, deviation) of the training rows; levels: category -> its
+    sorted training levels.  Prepared columns are named ``x_`` + feature.
     """
-    # Each step scans its input several times: cut lineage between steps so
-    # the plans stay small and a lost executor restarts from the last cut.
-    base = materialize(winsorized(model_base(features)))
-    split = materialize(stratified_split(base))
-    cols = list(numeric) + (list(C.FLAG_FEATURES) if with_flags else [])
+
+    bounds: dict[str, list[float]]
+    medians: dict[str, float | None]
+    moments: dict[str, list[float]]
+    levels: dict[str, list[str]]
+
+    @property
+    def features(self) -> list[str]:
+        return [*self.moments, *(f"{c}_{v}" for c, values in self.levels.items() for v in values[1:])]
+
+    def clipped(self, column: str) -> Column:
+        x = F.col(column).cast("double")
+        return clip(x, *map(F.lit, self.bounds[column])) if column in self.bounds else x
+
+    def apply(self, base: DataFrame) -> DataFrame:
+        """``base`` (with flags, unclipped) plus the prepared columns, in one projection."""
+        out = []
+        for c, (mean, deviation) in self.moments.items():
+            filled = F.coalesce(self.clipped(c), F.lit(self.medians[c]).cast("double"))
+            out.append(((filled - F.lit(mean)) / F.lit(deviation)).alias(f"x_{c}"))
+        for c, values in self.levels.items():
+            out += [F.coalesce((F.col(c) == v).cast("double"), F.lit(0.0)).alias(f"x_{c}_{v}") for v in values[1:]]
+        return base.select("*", *out)
+
+    def to_json(self) -> str:
+        return json.dumps(asdict(self))
+
+    @classmethod
+    def from_json(cls, text: str) -> FittedPrep:
+        return cls(**json.loads(text))
+
+
+def prepared(features: DataFrame, numeric: Sequence[str] = C.NUMERIC_FEATURES) -> tuple[DataFrame, FittedPrep]:
+    """The labelled customers with split and prepared columns, and the fitted preparation.
+
+    Bounds come from all labelled rows, the rest from the training rows.  Each
+    fit is one small aggregate; the split frame is the only one written.
+    """
+    split = materialize(stratified_split(model_base(features)))
+    fitted = FittedPrep({r.feature: [r.p1, r.p99] for r in winsor_bounds(split).collect()}, {}, {}, {})
+    columns = [*numeric, *C.FLAG_FEATURES]
     train = split.where(F.col("split") == "train")
-    med = fit_medians(train, cols)
-    imputed = materialize(impute(split, med, cols))
-    scaler = fit_scaler(imputed.where(F.col("split") == "train"), cols)
-    scaled = scale(imputed, scaler, cols)
-    if levels is None:
-        levels = {c: category_levels(train, c) for c in C.CATEGORICAL_FEATURES}
-    encoded, names = onehot(scaled, levels)
-    keep = ["customer_id", "churn_label", "split"] + cols + names
-    return encoded.select(*keep), cols + names
+    clipped = train.select(*[fitted.clipped(c).alias(c) for c in columns])
+    fitted.medians = fit_medians(clipped, columns).first().asDict()
+    moments = fit_scaler(clipped.select(*[F.coalesce(F.col(c), F.lit(fitted.medians[c]).cast("double")).alias(c) for c in columns]), columns).first()
+    fitted.moments = {c: [moments[f"_mu_{c}"], moments[f"_sd_{c}"]] for c in columns if moments[f"_mu_{c}"] is not None}
+    fitted.levels = {c: category_levels(train, c) for c in C.CATEGORICAL_FEATURES}
+    return fitted.apply(split), fitted

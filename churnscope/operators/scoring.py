@@ -9,6 +9,8 @@ name and can be swapped in.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,8 +46,8 @@ def scored_customers(features: DataFrame) -> DataFrame:
 # ------------------------------------------------------------- metrics -----
 
 def roc_auc(df: DataFrame, score_col: str = "churn_risk_score",
-            label_col: str = "churn_label") -> DataFrame:
-    """Exact ROC AUC with half credit for ties: (auc, positives, negatives).
+            label_col: str = "churn_label", by: Sequence[str] = ()) -> DataFrame:
+    """Exact ROC AUC with half credit for ties: (by..., auc, positives, negatives).
 
     Rows collapse to distinct scores first (a hot score is one row).  The
     running count of negatives below each score is a prefix sum in three
@@ -53,29 +55,29 @@ def roc_auc(df: DataFrame, score_col: str = "churn_risk_score",
     holds more than 2^22 rows, however the scores crowd together.
     """
     counted = (df.where(F.col(score_col).isNotNull() & F.col(label_col).isNotNull())
-               .groupBy(F.col(score_col).cast("double").alias("s"))
+               .groupBy(*by, F.col(score_col).cast("double").alias("s"))
                .agg(F.sum(F.col(label_col).cast("long")).alias("pos"),
                     F.sum((1 - F.col(label_col)).cast("long")).alias("neg")))
     key, (high, middle, _) = order_key(counted, "s")
-    per = counted.select("pos", "neg", key.alias("k")).select(
+    per = counted.select(*by, "pos", "neg", key.alias("k")).select(
         "*", F.shiftright("k", high).alias("d1"), F.shiftright("k", middle).alias("d2"))
 
     def below(rows: DataFrame, digit: str, above: list[str], name: str) -> DataFrame:
-        w = Window.partitionBy(*above).orderBy(digit).rowsBetween(Window.unboundedPreceding, -1)
+        w = Window.partitionBy(*by, *above).orderBy(digit).rowsBetween(Window.unboundedPreceding, -1)
         return rows.withColumn(name, F.coalesce(F.sum("neg").over(w), F.lit(0)))
 
-    by_d2 = per.groupBy("d1", "d2").agg(F.sum("neg").alias("neg"))
-    by_d1 = by_d2.groupBy("d1").agg(F.sum("neg").alias("neg"))
+    by_d2 = per.groupBy(*by, "d1", "d2").agg(F.sum("neg").alias("neg"))
+    by_d1 = by_d2.groupBy(*by, "d1").agg(F.sum("neg").alias("neg"))
     joined = (below(per, "k", ["d1", "d2"], "n3")
-              .join(below(by_d2, "d2", ["d1"], "n2").select("d1", "d2", "n2"), ["d1", "d2"])
-              .join(below(by_d1, "d1", [], "n1").select("d1", "n1"), "d1"))
+              .join(below(by_d2, "d2", ["d1"], "n2").select(*by, "d1", "d2", "n2"), [*by, "d1", "d2"])
+              .join(below(by_d1, "d1", [], "n1").select(*by, "d1", "n1"), [*by, "d1"]))
     pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")  # products of counts may pass 2^63
     credit = pos * (F.col("n1") + F.col("n2") + F.col("n3")) + 0.5 * pos * neg
-    tot = joined.agg(F.sum(credit).alias("credit"), F.sum("pos").alias("positives"),
+    tot = joined.groupBy(*by).agg(F.sum(credit).alias("credit"), F.sum("pos").alias("positives"),
                      F.sum("neg").alias("negatives"))
     auc = F.when((F.col("positives") > 0) & (F.col("negatives") > 0),
                  F.col("credit") / F.col("positives").cast("double") / F.col("negatives"))
-    return tot.select(round6(auc).alias("roc_auc"), "positives", "negatives")
+    return tot.select(*by, round6(auc).alias("roc_auc"), "positives", "negatives")
 
 
 def precision_at_top(df: DataFrame, fraction: float = C.TOP_FRACTION,

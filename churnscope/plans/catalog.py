@@ -575,8 +575,24 @@ def _rf_scores(spark, sf_dir: str) -> DataFrame:
 @raw_query("risk_scores")
 def _risk_scores(spark, sf_dir: str) -> DataFrame:
     """Forest churn risk for every labelled customer (the app's scoring)."""
-    return ml.scores(_trained(spark, sf_dir, "rf")[0], split=None).withColumnRenamed(
-        "rf_score", "churn_risk_score")
+    return _forest_scored(spark, sf_dir).select("customer_id", "plan", "region", "churn_label", "churn_risk_score")
+
+
+def _forest_scored(spark, sf_dir: str) -> DataFrame:
+    t = _trained(spark, sf_dir, "rf")[0]
+    return materialize(ml.Scorer(t.model, t.prep).score(feat.churn_features(staged_from_root(spark, sf_dir))))
+
+
+@raw_query("forest_target_cohort")
+def _forest_target_cohort(spark, sf_dir: str) -> DataFrame:
+    """The default target cohort on the trained forest's scores."""
+    return co.target_cohort(_forest_scored(spark, sf_dir), DEFAULT_SPEC).select(*_COHORT_COLS)
+
+
+@raw_query("forest_business_summary")
+def _forest_business_summary(spark, sf_dir: str) -> DataFrame:
+    """The what-if of the default levers on that cohort."""
+    return sc.business_summary(co.target_cohort(_forest_scored(spark, sf_dir), DEFAULT_SPEC), DEFAULT_LEVERS)
 
 
 @raw_query("model_comparison")

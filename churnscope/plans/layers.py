@@ -13,14 +13,15 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from churnscope import config as C
 from churnscope.config import STAGING_SCHEMAS
 from churnscope.operators.features import UsageStats, churn_features
 from churnscope.operators.quality import dq_summary
 from churnscope.plans.runner import run_all
 from churnscope.sources.staging import staged_from_root
 
-# Sort keys inside each written file: tighter min/max statistics for
-# pushed-down filters on the key and the date, no extra shuffle.
+# Staged tables are written range-partitioned and sorted by these keys: each
+# file covers its own range, so filters on the key prune files and row groups.
 SORT_KEYS = {
     "customers": ["customer_id"],
     "usage_daily": ["customer_id", "date"],
@@ -29,6 +30,14 @@ SORT_KEYS = {
 }
 
 
+# the table of each check in the quality layer
+CHECK_TABLES = {
+    "dq_negative_minutes": C.DQ_NEGATIVE_MINUTES, "dq_extreme_minutes": C.DQ_EXTREME_MINUTES,
+    "dq_session_mismatch": C.DQ_SESSION_MISMATCH, "dq_zero_paid": C.DQ_ZERO_PAID,
+    "dq_billing_duplicates": C.DQ_BILLING_DUPLICATES, "dq_pre_signup_tickets": C.DQ_PRE_SIGNUP_TICKETS,
+}
+
+
 class MissingLayerError(FileNotFoundError):
     pass
 
@@ -46,7 +55,7 @@ def layer_path(out_root: str, layer: str, name: str) -> str:
 
 def write_layer(df: DataFrame, path: str, sort_keys: list[str] | None = None) -> None:
     if sort_keys:
-        df = df.sortWithinPartitions(*sort_keys)
+        df = df.repartitionByRange(*sort_keys).sortWithinPartitions(*sort_keys)
     df.write.mode("overwrite").option("compression", "snappy").parquet(path)
 
 
@@ -81,14 +90,24 @@ def run_pipeline(spark: SparkSession, in_root: str, out_root: str,
                                                       SORT_KEYS.get(n)))
              for name, df in staged.items()}, max_workers)
     tables = {name: read_layer(spark, res.paths[f"staging.{name}"]) for name in STAGING_SCHEMAS}
-    # 2. quality layer (one small table) and 3. analytics layer, both from staging.
+    # 2. quality layer (the summary and one table for each check) and 3. analytics layer, both from staging.
     # The usage stats row (p99.9, observation date) is computed once for both.
     stats = UsageStats.resolved(tables["usage_daily"])
     dq_path = layer_path(out_root, "dq", "data_quality_summary")
     feat_path = layer_path(out_root, "analytics", "churn_features")
     res.paths["dq.data_quality_summary"] = dq_path
     res.paths["analytics.churn_features"] = feat_path
-    run_all({"dq": lambda: write_layer(dq_summary(tables, stats).coalesce(1), dq_path),
+    check_paths = {check: layer_path(out_root, "dq", name) for name, check in CHECK_TABLES.items()}
+    res.paths |= {f"dq.{name}": check_paths[check] for name, check in CHECK_TABLES.items()}
+
+    def quality() -> None:
+        write_layer(dq_summary(tables, stats).coalesce(1), dq_path)
+        summary = read_layer(spark, dq_path)  # six rows
+        run_all({path: (lambda c=check, p=path: write_layer(summary.where(
+            (F.col("check_name") == c[0]) & (F.col("table_name") == c[1])).coalesce(1), p))
+            for check, path in check_paths.items()}, max_workers)
+
+    run_all({"dq": quality,
              "features": lambda: write_layer(churn_features(tables, stats), feat_path)},
             max_workers)
     # 4. profile: counts per staged table and the feature table

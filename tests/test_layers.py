@@ -27,13 +27,16 @@ def test_entry_smoke(spark):
 
 def test_every_key_has_a_callable_and_oracles_are_keys(spark):
     import __spark_entry__ as entry
-    q, o = entry.queries(), entry.oracle_sql()
+
+    from churnscope.plans.oracle import oracle_sql
+    from churnscope.plans.registry import queries
+    q, o = queries(), oracle_sql()
     assert len(q) >= 90
-    assert set(o) <= set(q)
+    assert set(o) <= set(q) and set(q) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
     rows_only = set(q) - set(o)
     assert rows_only == {"lr_scores", "rf_scores", "risk_scores", "model_comparison",
                          "lr_top_drivers", "rf_importance", "linear_attribution",
-                         "permutation_importance"}
+                         "permutation_importance", "forest_target_cohort", "forest_business_summary"}
 
 
 def test_invariants(spark, tables):
@@ -70,12 +73,14 @@ def test_scan_prunes_columns(spark):
 
 
 def test_pipeline_writes_layers(spark, tmp_path):
-    from churnscope.plans.layers import MissingLayerError, read_layer, run_pipeline
+    from churnscope.plans.layers import CHECK_TABLES, MissingLayerError, read_layer, run_pipeline
     res = run_pipeline(spark, SF_SMALL, str(tmp_path))
     assert res.counts["analytics.churn_features"] == 150
-    assert res.counts["staging.usage_daily"] == 5739
+    assert res.counts["staging.usage_daily"] == 6000
     dq = read_layer(spark, res.paths["dq.data_quality_summary"]).orderBy("check_name").collect()
     assert len(dq) == 6
+    for name, check in CHECK_TABLES.items():
+        assert [(r.check_name, r.table_name) for r in read_layer(spark, res.paths[f"dq.{name}"]).collect()] == [check]
     # rerun is an idempotent overwrite
     res2 = run_pipeline(spark, SF_SMALL, str(tmp_path))
     assert res2.counts == res.counts

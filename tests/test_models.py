@@ -37,14 +37,44 @@ def test_attribution_and_importance(trained):
 
 
 def test_save_load_roundtrip_and_missing(spark, trained, tmp_path):
+    from churnscope.operators import cohort as co
     from churnscope.operators import models as ml
+    from churnscope.operators import scenario
+    from churnscope.operators.features import churn_features
+    from churnscope.session import materialize
+    from churnscope.sources.staging import staged_from_root
     lr, _ = trained
     path = str(tmp_path / "lr")
     ml.save_model(lr, path)
     loaded = ml.load_model(spark, path)
-    a = [r.lr_score for r in ml.scores(lr).orderBy("customer_id").collect()]
-    lr.model = loaded
-    b = [r.lr_score for r in ml.scores(lr).orderBy("customer_id").collect()]
+    # the loaded model scores an unprepared feature table, and cohorts can be targeted on it
+    raw = churn_features(staged_from_root(spark, SF_SMALL))
+    scored = materialize(loaded.score(raw))
+    a = {r.customer_id: r.lr_score for r in ml.scores(lr, None).collect()}
+    b = {r.customer_id: r.churn_risk_score for r in scored.collect()}
     assert a == pytest.approx(b)
+    cohort = co.target_cohort(scored, co.CohortSpec(threshold=0.3))
+    assert 0 < cohort.count() <= len(b)
+    assert scenario.business_summary(cohort, scenario.Levers(15, True, True)).first().customers > 0
     with pytest.raises(ml.MissingModelError):
         ml.load_model(spark, str(tmp_path / "absent"))
+
+
+def test_logistic_optimum_and_scores(trained):
+    """The gradient vanishes at the trained weights, and scores are their sigmoid."""
+    import numpy as np
+
+    from churnscope.operators import models as ml
+    lr, _ = trained
+    fitted = lr.model.stages[-1]
+    w, b = fitted.coefficients.toArray(), fitted.intercept
+    pdf = lr.frame.toPandas()
+    x = pdf[[f"x_{c}" for c in lr.features]].to_numpy()
+    p = 1 / (1 + np.exp(-(x @ w + b)))
+    got = {r.customer_id: r.lr_score for r in ml.scores(lr, None).collect()}
+    assert [got[i] for i in pdf.customer_id] == pytest.approx(list(p))
+    train = (pdf.split == "train").to_numpy()
+    weight, y = pdf.class_weight.to_numpy()[train], pdf.churn_label.to_numpy()[train]
+    residual = weight * (p[train] - y)
+    gradient = x[train].T @ residual / weight.sum() + w / train.sum()
+    assert np.abs(gradient).max() < 1e-4 and abs(residual.sum() / weight.sum()) < 1e-4
