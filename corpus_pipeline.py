@@ -26,7 +26,7 @@ from churnscope.llm.links import first_of_each_class
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: The least probability of a language that a document is kept with.
-MIN_LANGUAGE = 0.4
+MIN_LANGUAGE = 0.3
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
