@@ -42,7 +42,7 @@ def main() -> None:
     from churnscope.operators import prep, scenario, scoring
     from churnscope.plans.layers import read_layer, run_pipeline
     from churnscope.plans.runner import force_all
-    from churnscope.session import ensure_checkpoint_dir, local_session, materialize
+    from churnscope.session import drop_scratch, ensure_checkpoint_dir, local_session, materialize
 
     spark = local_session(cpus, shuffle_partitions=int(cpus) * 2)
     ensure_checkpoint_dir(spark)
@@ -113,6 +113,7 @@ def main() -> None:
     print(json.dumps({"metric": "total_sec", "value": total, "unit": "sec",
                       "queries": timings, "sf": sf,
                       "cold_total": round(sum(cold.values()), 3), "cold_queries": cold}))
+    drop_scratch(spark)
     spark.stop()
 
 

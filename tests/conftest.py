@@ -12,7 +12,8 @@ SF_MID = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    from churnscope.session import local_session
+    from churnscope.session import drop_scratch, local_session
     s = local_session("*", shuffle_partitions=8)
     yield s
+    drop_scratch(s)
     s.stop()
