@@ -52,3 +52,47 @@ def test_hot_customer_feature_table(spark):
         assert r.recency_days == (mx - g.date.max()).days
     assert got[7].total_tickets == 1500
     assert got[7].high_priority_tickets == sum(1 for s in support if s[3] == "high")
+
+
+def test_hot_customer_day_bills(spark):
+    """Most bills on one customer-day, many of them equal: positions as by a plain sort."""
+    from churnscope.operators.spine import bill_sequence
+    rng = np.random.default_rng(5)
+    day = dt.date(2024, 3, 1)
+    rows = [(1, day, int(rng.integers(0, 4)), "paid") for _ in range(900)]
+    rows += [(int(c), day + dt.timedelta(int(d)), int(a), "late") for c, d, a in rng.integers(1, 6, (100, 3))]
+    billing = spark.createDataFrame(rows, "customer_id long, bill_date date, amount int, payment_status string")
+    got = sorted((r.customer_id, r.bill_sequence, r.bill_date, r.amount, r.payment_status) for r in bill_sequence(billing).collect())
+    want, seen = [], {}
+    for cid, date, amount, status in sorted(rows):
+        want.append((cid, seen.setdefault(cid, 0), date, amount, status))
+        seen[cid] += 1
+    assert got == sorted(want)
+
+
+def test_auc_of_crowded_scores(spark):
+    """Nine tenths of the scores crowd below 1e-6: the AUC is exact, also by group."""
+    from churnscope.operators.scoring import roc_auc
+    rng = np.random.default_rng(6)
+    score = np.where(rng.random(3000) < 0.9, rng.random(3000) * 1e-6, rng.random(3000)).round(9)
+    label = (rng.random(3000) < 0.3).astype(int)
+    group = rng.integers(0, 2, 3000)
+    df = spark.createDataFrame([(float(s), int(y), int(g)) for s, y, g in zip(score, label, group)],
+                               "churn_risk_score double, churn_label int, g int")
+
+    def plain(s, y):
+        p, n = s[y == 1], s[y == 0]
+        return ((p[:, None] > n[None]).sum() + 0.5 * (p[:, None] == n[None]).sum()) / (len(p) * len(n))
+
+    assert roc_auc(df).first().roc_auc == pytest.approx(plain(score, label), abs=1e-6)
+    for r in roc_auc(df, by=["g"]).collect():
+        at = group == r.g
+        assert r.roc_auc == pytest.approx(plain(score[at], label[at]), abs=1e-6)
+
+
+def test_key_hash_seeds_are_independent(spark):
+    from churnscope.functions.columns import key_uniform
+    from pyspark.sql import functions as F
+    u = spark.range(20000).select(*[key_uniform("id", s).alias(f"s{s}") for s in (11, 12)])
+    r = u.agg(F.corr("s11", "s12").alias("c"), F.avg("s11").alias("a"), F.avg("s12").alias("b")).first()
+    assert abs(r.c) < 0.05 and abs(r.a - 0.5) < 0.02 and abs(r.b - 0.5) < 0.02
