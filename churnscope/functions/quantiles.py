@@ -9,7 +9,8 @@ the rank.  The counts are exact, so the digit is certain, and a round never hold
 2^22 digits for one rank, however many rows there are.  Counting combines map-side.
 
 Group keys (``by``) and targets are few by nature (plan, stage, feature name, a handful of
-percentiles); joins with them are left to the planner, which broadcasts by measured size.
+percentiles).  They are broadcast only if their groups have been counted to be at most
+MAX_GROUPS; the results are the same either way.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 
 _ALL = "_all"  # the group of ungrouped inputs
 _LARGEST = 2**63 - 1
+MAX_GROUPS = 10_000  # groups whose targets are broadcast
 _BITS = {"byte": (0,), "short": (0,), "integer": (16, 0), "date": (16, 0)}
 
 
@@ -40,16 +42,21 @@ def order_key(df: DataFrame, value: str) -> tuple[Column, tuple[int, ...]]:
     return F.when(v.isNotNull(), F.when(bits < 0, bits.bitwiseXOR(F.lit(_LARGEST))).otherwise(bits)), (42, 21, 0)
 
 
-def _few(rows: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Ungrouped targets are a fixed handful of rows; grouped ones are left to the planner."""
-    return F.broadcast(rows) if list(by) == [_ALL] else rows
+def _is_few(groups: DataFrame, by: Sequence[str]) -> bool:
+    """Whether a table of one row per group has at most MAX_GROUPS rows (counted, unless ungrouped)."""
+    return not by or groups.limit(MAX_GROUPS + 1).count() <= MAX_GROUPS
+
+
+def _small(rows: DataFrame, few: bool) -> DataFrame:
+    """Broadcast rows of a counted handful of groups; more of them are left to the planner's joins."""
+    return F.broadcast(rows) if few else rows
 
 
 def _grouped(df: DataFrame, by: Sequence[str]) -> tuple[DataFrame, list[str]]:
     return (df, list(by)) if by else (df.withColumn(_ALL, F.lit(0)), [_ALL])
 
 
-def _select(counts: DataFrame, targets: DataFrame, by: list[str], shifts: tuple[int, ...]) -> DataFrame:
+def _select(counts: DataFrame, targets: DataFrame, by: list[str], shifts: tuple[int, ...], few: bool) -> DataFrame:
     """(by..., tid, _key, _before, _value): the key at rank k of each target and the rows before it.
 
     counts: by..., _key, _value, _c; targets: by..., tid, k.  Targets out of range have no row.
@@ -63,11 +70,11 @@ def _select(counts: DataFrame, targets: DataFrame, by: list[str], shifts: tuple[
             hist = digits.groupBy(*by, "_digit").agg(F.sum("_c").alias("_c"), F.min("_value").alias("_value"))
             over = Window.partitionBy(*by)
         else:  # only rows under the digits found so far
-            digits = digits.withColumn("_found", F.shiftright("_key", above)).join(_few(state, by), [*by, "_found"])
+            digits = digits.withColumn("_found", F.shiftright("_key", above)).join(_small(state, few), [*by, "_found"])
             hist = digits.groupBy(*by, "tid", "k", "_before", "_digit").agg(F.sum("_c").alias("_c"), F.min("_value").alias("_value"))
             over = Window.partitionBy(*by, "tid")
         hist = hist.withColumn("_upto", F.sum("_c").over(over.orderBy("_digit").rowsBetween(Window.unboundedPreceding, 0)))
-        placed = hist.join(_few(state, by), by) if above is None else hist
+        placed = hist.join(_small(state, few), by) if above is None else hist
         rank = F.col("k") - F.col("_before")
         hit = placed.where((rank >= F.col("_upto") - F.col("_c")) & (rank < F.col("_upto")))
         last = shift == shifts[-1]
@@ -84,7 +91,8 @@ def _counts(df: DataFrame, value: str, by: list[str], weight: str | None = None)
     return distinct.withColumn("_key", key).withColumnRenamed(value, "_value"), shifts
 
 
-def order_statistics(df: DataFrame, value: str, targets: DataFrame, by: Sequence[str] = (), weight: str | None = None) -> DataFrame:
+def order_statistics(df: DataFrame, value: str, targets: DataFrame, by: Sequence[str] = (), weight: str | None = None,
+                     few: bool | None = None) -> DataFrame:
     """Exact ascending order statistics.
 
     ``targets`` has the ``by`` columns plus ``tid`` (any id) and ``k`` (the 0-based rank wanted,
@@ -94,8 +102,9 @@ def order_statistics(df: DataFrame, value: str, targets: DataFrame, by: Sequence
     df, keys = _grouped(df, by)
     wanted, _ = _grouped(targets, by)
     wanted = wanted.select(*keys, "tid", F.col("k").cast("bigint").alias("k"))
+    few = _is_few(wanted.select(*keys).distinct(), by) if few is None else few
     counts, shifts = _counts(df, value, keys, weight)
-    found = _select(counts, wanted, keys, shifts).select(*keys, "tid", F.col("_value").alias("value"))
+    found = _select(counts, wanted, keys, shifts, few).select(*keys, "tid", F.col("_value").alias("value"))
     return wanted.join(found, [*keys, "tid"], "left").select(*by, "tid", "k", "value")
 
 
@@ -108,6 +117,7 @@ def exact_percentiles(df: DataFrame, value: str, probs: Sequence[float], by: Seq
     df, keys = _grouped(df, by)
     times = F.count(value) if weight is None else F.coalesce(F.sum(F.when(F.col(value).isNotNull(), F.col(weight))), F.lit(0).cast("bigint"))
     rows = df.groupBy(*keys).agg(times.alias("_n"))
+    few = _is_few(rows, by)
     spec = F.array(*[F.struct(F.lit(i).alias("_i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)])
     places = rows.select(*keys, "_n", F.inline(spec))
     if not by:  # an empty input has no group, but its percentiles are NULL
@@ -117,7 +127,7 @@ def exact_percentiles(df: DataFrame, value: str, probs: Sequence[float], by: Seq
     places = places.select(*keys, "_i", "p", F.floor(h).cast("bigint").alias("_lo"), (h - F.floor(h)).alias("_share"))
     both = places.select(*keys, F.inline(F.array(*[
         F.struct((F.col("_i") * 2 + j).alias("tid"), (F.col("_lo") + j).alias("k")) for j in (0, 1)])))
-    stats = order_statistics(df, value, both, keys, weight)
+    stats = order_statistics(df, value, both, keys, weight, few)
     sided = stats.select(*keys, F.floor(F.col("tid") / 2).cast("int").alias("_i"), (F.col("tid") % 2).alias("_j"), F.col("value").cast("double").alias("_v"))
     ends = sided.groupBy(*keys, "_i").agg(F.max(F.when(F.col("_j") == 0, F.col("_v"))).alias("_a"), F.max(F.when(F.col("_j") == 1, F.col("_v"))).alias("_b"))
     share = F.col("_share")
@@ -138,18 +148,19 @@ def rank_cutoff(df: DataFrame, value: str, tie: str, quota: DataFrame, by: Seque
     df, keys = _grouped(df, by)
     quota, _ = _grouped(quota, by)
     quota = quota.select(*keys, F.col("_take").cast("bigint").alias("_take"))
+    few = _is_few(quota, by)
     key, shifts = order_key(df, value)
     ranked = df.withColumn("_ord", F.bitwise_not(key) if descending else key)  # ~x reverses the order of whole numbers
     some = ranked.where(F.col("_ord").isNotNull())
     counts = some.groupBy(*keys, F.col("_ord").alias("_key")).agg(F.count(F.lit(1)).alias("_c")).withColumn("_value", F.col("_key"))
     first = quota.where("_take > 0").select(*keys, F.col("_take").alias("tid"), (F.col("_take") - 1).alias("k"))
-    cut = _select(counts, first, keys, shifts).select(*keys, F.col("tid").alias("_take"), F.col("_key").alias("_cut"), "_before")
-    ties, tie_shifts = _counts(some.join(_few(cut, keys), keys).where(F.col("_ord") == F.col("_cut")).select(*keys, tie), tie, keys)
+    cut = _select(counts, first, keys, shifts, few).select(*keys, F.col("tid").alias("_take"), F.col("_key").alias("_cut"), "_before")
+    ties, tie_shifts = _counts(some.join(_small(cut, few), keys).where(F.col("_ord") == F.col("_cut")).select(*keys, tie), tie, keys)
     # the cut travels as the target's id, so that the bounds need no second look at it
     within = cut.select(*keys, F.struct("_take", "_cut").alias("tid"), (F.col("_take") - F.col("_before") - 1).alias("k"))
-    bounds = _select(ties, within, keys, tie_shifts).select(*keys, F.col("tid._cut").alias("_cut"), F.col("_value").alias("_tie_cut"))
-    bounds = quota.select(*keys, "_take").join(_few(bounds, keys), keys, "left")
-    marked = ranked.join(_few(bounds, keys), keys, "left")
+    bounds = _select(ties, within, keys, tie_shifts, few).select(*keys, F.col("tid._cut").alias("_cut"), F.col("_value").alias("_tie_cut"))
+    bounds = quota.select(*keys, "_take").join(_small(bounds, few), keys, "left")
+    marked = ranked.join(_small(bounds, few), keys, "left")
     inside = F.col("_cut").isNull() | (F.col("_ord") < F.col("_cut")) | ((F.col("_ord") == F.col("_cut")) & (F.col(tie) <= F.col("_tie_cut")))
     chosen = F.coalesce((F.col("_take") > 0) & F.col("_ord").isNotNull() & inside, F.lit(False))
     return marked.select(*columns, chosen.alias("_selected"))
