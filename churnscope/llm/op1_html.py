@@ -4,8 +4,12 @@ A page becomes a tree of elements.  Paragraphs pass points for their length and
 their ancestors (all to the parent, less to those above); a container's score is discounted
 by the share of its text that stands in links.  The best container is kept with those of
 its siblings that score well or are paragraphs of prose.  Elements that are never content
-(menus, forms, scripts, adverts, comments of readers and the like, by tag, role, class or
-id) are taken out before.
+(menus, forms, scripts and the like, by tag or role, or hidden) are taken out before.
+
+Classes and ids only name candidates (adverts, side bars, comments of readers and the like).
+A candidate goes unless it holds most of the page's paragraph points or its id is the anchor
+of an article's part; paragraphs and headings, and what stands inside their lines, never go
+by name, and if nothing would be left, names don't count.
 
 Inside a block, white space becomes one space; blocks are joined by a line feed.  A null or
 empty page, or one without text, gives the empty text.  Unclosed, misnested and cut-off
@@ -50,6 +54,17 @@ _NOT_CONTENT = frozenset(
     "reactions related recommended recommendations recirc more-like widget widgets skip skiplink offcanvas hidden outbrain taboola paywall".split())
 #: Words of a class or id that overrule some of the above.
 _CONTENT, _OVERRULED = frozenset("article articlebody content entry hentry post story".split()), frozenset({"header", "widget"})
+#: Words after which a class or id says nothing of the element's own kind (has-sidebar, no-comments, overflow-hidden).
+_OTHERS = frozenset("has no not with without overflow".split())
+#: Of the words above, those that title parts of articles too: as the id of such a part they are an anchor.
+_TOPICS = frozenset(
+    "advertising advertisement promotion promotions sponsors banner banners navigation paging legal copyright cookie cookies consent gdpr notice notices "
+    "notification notifications alert alerts disclaimer subscription register search share sharing social discussion reply replies reactions related "
+    "recommended recommendations respond follow rail foot skip hidden menu menus widgets".split())
+#: Words of a class that say a block is a part of a text.
+_PARTS = frozenset("section subsection chapter".split())
+#: Elements that don't go by name, nor does what stands inside their lines.
+_LINES = frozenset("p pre h1 h2 h3 h4 h5 h6".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar form".split())
 _MARK = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)"
                    r"|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(/?>|\Z)|<([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
@@ -58,37 +73,62 @@ _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 
 
 class Element:
-    __slots__ = ("tag", "parent", "children", "dropped", "article", "score", "chars", "link_chars")
+    __slots__ = ("tag", "parent", "children", "dropped", "named", "lines", "article", "score", "chars", "link_chars")
 
-    def __init__(self, tag: str, parent: Element | None, dropped: bool):
-        self.tag, self.parent, self.dropped = tag, parent, dropped
+    def __init__(self, tag: str, parent: Element | None, dropped: bool, named: str = ""):
+        self.tag, self.parent, self.dropped, self.named = tag, parent, dropped, named
         self.children: list[Element | str] = []
         self.article = tag in ("article", "main") or parent is not None and parent.article
+        self.lines = tag in _LINES or tag not in _BLOCK and parent is not None and parent.lines
         self.score, self.chars, self.link_chars = 0.0, 0, 0
 
 
 def _is_clutter(tag: str, attributes: str, inside_article: bool) -> bool:
+    """Whether an element is never content by its tag, its role or because it is hidden."""
     if tag in _NEVER or tag == "header" and not inside_article:
         return True
     if not attributes or tag in ("html", "body", "article", "main"):
         return False
-    names: set[str] = set()
     for name, *values in _ATTRIBUTE.findall(attributes):
         value = values[0] or values[1] or values[2]
         name = name.lower()
-        if name in ("class", "id"):
-            names.update(p.lower() for p in _NAME_PARTS.findall(value))
-        elif name == "role" and value.lower() in _ROLES:
+        if name == "role" and value.lower() in _ROLES:
             return True
         elif name == "hidden" or name == "aria-hidden" and value.lower() == "true":
             return True
         elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             return True
-    return bool((names & _NOT_CONTENT) - (_OVERRULED if names & _CONTENT else frozenset()))
+    return False
+
+
+def _words(names: str) -> set[str]:
+    """The words of a class or id that speak of the element itself."""
+    out: set[str] = set()
+    for name in names.split():
+        for word in map(str.lower, _NAME_PARTS.findall(name)):
+            if word in _OTHERS:
+                break
+            out.add(word)
+    return out
+
+
+def _named(tag: str, attributes: str, parent: Element) -> str:
+    """What class and id make of an element: "" nothing, "topic" a candidate unless it is prose, "clutter" a candidate."""
+    if not attributes or tag in ("html", "body", "article", "main") or tag in _LINES or tag not in _BLOCK and parent.lines:
+        return ""
+    words: dict[str, set[str]] = {"class": set(), "id": set()}
+    for name, *values in _ATTRIBUTE.findall(attributes):
+        if name.lower() in words:
+            words[name.lower()] |= _words(values[0] or values[1] or values[2])
+    overruled = _OVERRULED if (words["class"] | words["id"]) & _CONTENT or tag == "header" else frozenset()
+    by_class, by_id = (words[k] & _NOT_CONTENT - overruled for k in ("class", "id"))
+    if by_class or by_id - _TOPICS:
+        return "clutter"
+    return ("topic" if tag == "section" or parent.article or words["class"] & _PARTS else "clutter") if by_id else ""
 
 
 def parse(page: str) -> Element:
-    """The tree of a page; dropped elements are marked."""
+    """The tree of a page; dropped elements and candidates by name are marked."""
     root = Element("html", None, False)
     open_ = root
     at, size = 0, len(page)
@@ -134,7 +174,8 @@ def parse(page: str) -> Element:
                     node = node.parent
             if tag == "head" or tag in ("h1", "h2", "h3", "h4", "h5", "h6") and open_.tag[:1] == "h" and open_.tag[1:].isdigit():
                 open_ = open_.parent if open_.parent is not None and tag != "head" else open_
-            node = Element(tag, open_, open_.dropped or _is_clutter(tag, attributes, open_.article))
+            dropped = open_.dropped or _is_clutter(tag, attributes, open_.article)
+            node = Element(tag, open_, dropped, "" if dropped else _named(tag, attributes, open_))
             open_.children.append(node)
             if tag not in _VOID and mark[4] != "/>" or tag not in _VOID and tag in _BLOCK | _INLINE:
                 open_ = node
@@ -165,6 +206,7 @@ def _measure(root: Element) -> list[Element]:
     """Fill in chars and link_chars; the kept elements in page order."""
     order = list(_walk(root))
     for node in reversed(order):
+        node.chars = node.link_chars = 0
         for child in node.children:
             if child.__class__ is str:
                 node.chars += len(child) - child.count(" ") if child.isspace() else len(child.strip())
@@ -187,6 +229,37 @@ def _own_text(node: Element) -> str:
     return "".join(parts)
 
 
+def _points(node: Element) -> float:
+    """The points of a paragraph, or of a block with text of its own, for length and commas; 0 for others."""
+    loose = node.tag in _BLOCK and any(c.__class__ is str and not c.isspace() for c in node.children)
+    if node.tag not in _PARAGRAPHS and not loose:
+        return 0.0
+    text = _own_text(node).strip()
+    if not text:
+        return 0.0
+    return (1 + text.count(",") + min(len(text) / 100, 3.0)) * (1 - node.link_chars / max(1, node.chars))
+
+
+def drop_named(root: Element) -> bool:
+    """Drop the candidates by name that aren't content after all; whether there were any."""
+    order = _measure(root)
+    if not any(node.named for node in order):
+        return False
+    points = {node: _points(node) for node in order}
+    for node in reversed(order):
+        if node.parent is not None:
+            points[node.parent] += points[node]
+    went, stack = False, [root]
+    while stack:
+        node = stack.pop()
+        prose = points[node] and node.link_chars < 0.25 * node.chars
+        if node.named and 2 * points[node] <= points[root] and not (node.named == "topic" and prose):
+            node.dropped = went = True
+        else:
+            stack.extend(c for c in node.children if c.__class__ is Element and not c.dropped)
+    return went
+
+
 def main_elements(root: Element) -> list[Element]:
     """The best container and the siblings that are kept with it, in page order."""
     order = _measure(root)
@@ -194,14 +267,10 @@ def main_elements(root: Element) -> list[Element]:
         return []
     for node in order:
         node.score += _CONTAINERS.get(node.tag, 0.0) if node.chars else 0.0
-        loose = node.tag not in _PARAGRAPHS and any(c.__class__ is str and not c.isspace() for c in node.children) and node.tag in _BLOCK
-        if node.tag not in _PARAGRAPHS and not loose:
-            continue
-        text = _own_text(node).strip()
-        if not text:
+        points = _points(node)
+        if not points:
             continue
-        points = (1 + text.count(",") + min(len(text) / 100, 3.0)) * (1 - node.link_chars / max(1, node.chars))
-        above, share = node if loose else node.parent, 1.0
+        above, share = node.parent if node.tag in _PARAGRAPHS else node, 1.0
         while above is not None and share > 0.1:
             above.score += points * share
             above, share = above.parent, share / 2
@@ -272,7 +341,10 @@ def blocks(nodes: list[Element]) -> list[str]:
 
 def main_text(page: str) -> str:
     """The main text of a page."""
-    return "\n".join(blocks(main_elements(parse(page))))
+    root = parse(page)
+    went = drop_named(root)
+    text = "\n".join(blocks(main_elements(root)))
+    return text if text or not went else "\n".join(blocks(main_elements(parse(page))))
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -66,6 +66,31 @@ def test_markup(page, text):
     assert op1_html.main_text(page) == text
 
 
+@pytest.mark.parametrize("around", [
+    "<div id='content' class='has-sidebar'>{a}</div>", "<div class='post no-comments'>{a}</div>", "<div class='layout withSidebar'>{a}</div>",
+    "<div class='sidebar-layout'>{a}</div>", "<div class='sidebar-layout'><div>{a}</div><div class='sidebar'>{n}</div></div>", "<div class='comment'>{a}</div>",
+    "<div class='overflow-hidden'>{a}</div><div class='promo'>{n}</div>", "<article><header class='header'><h1>A title</h1></header>{b}</article>",
+    "<article><h1 class='banner'>A title</h1>{b}</article>"])
+def test_names_dont_drop_the_content(around):
+    page = "<html><body>" + around.format(a=ARTICLE, n=NOISE, b=ARTICLE.split("</h1>")[1]) + "</body></html>"
+    assert op1_html.main_text(page) == PLAIN
+
+
+@pytest.mark.parametrize("part, text", [
+    ("<section id='discussion'><h2>Discussion</h2><p>What it means, in short.</p></section>", "Discussion\nWhat it means, in short."),
+    ("<h2 id='related-work'>Related work</h2><p>Of others.</p>", "Related work\nOf others."), ("<h2 id='legal-history'>Law</h2><p>Old.</p>", "Law\nOld."),
+    ("<div class='section' id='search'><h2>Search</h2><p>By trees.</p></div>", "Search\nBy trees."), ("<p class='notice'>Mind this.</p>", "Mind this."),
+    ("<p>A <span class='alert'>red</span> word.</p>", "A red word.")])
+@pytest.mark.parametrize("around", ["<article>{}</article>", "<div>{}</div>"])
+def test_names_dont_drop_parts_of_an_article(around, part, text):
+    assert op1_html.main_text("<body>" + around.format(ARTICLE + part) + "</body>") == PLAIN + "\n" + text
+
+
+def test_names_dont_count_if_nothing_is_left():
+    assert op1_html.main_text("<div class='sidebar'><span>all</span> <a href=x>there is</a></div>") == "all there is"
+    assert op1_html.main_text("<div class='promo'><a href=x>one</a></div><div class='menu'><a href=y>two</a></div>") != ""
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.sampled_from(["<p>", "</p>", "<div>", "</div>", "<b>", "</b>", "<br>", "<ul>", "<li>", "</ul>", "<table>", "<tr>", "<td>", "</table>", "<a href='x'>", "</a>",
                                  "<!--", "-->", "<", ">", "&", "&lt;", "word", " ", "<script>", "</script>", "<article>", "</article>", "<h1>", "</h1>", "\""])).map("".join))
