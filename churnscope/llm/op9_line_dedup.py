@@ -20,10 +20,10 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnscope.llm.common import arrow_stage, record_batch, scratch, table, texts_of
+from churnscope.llm.common import arrow_stage, cut, record_batch, scratch, table, texts_of
 
 #: Documents that must share a line, batches of a table, runs of a level.
 MIN_DOCS, BATCHES, FANOUT = 10, 4, 2
@@ -36,8 +36,13 @@ def line_key(line: bytes) -> bytes | None:
     return hashlib.blake2b(key, digest_size=16).digest() if key else None
 
 
+def row_key() -> Column:
+    """A hash of a row's doc_id and text, which only copies share."""
+    return F.xxhash64("doc_id", "text")
+
+
 def line_keys(docs: DataFrame) -> DataFrame:
-    """doc_id, key: each distinct key of a row once."""
+    """doc_id, row (``row_key``), key: each distinct key of a row once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -46,9 +51,10 @@ def line_keys(docs: DataFrame) -> DataFrame:
                 own = {line_key(line) for line in text.encode().split(b"\n")} - {None}
                 keys += own
                 owners += [k] * len(own)
-            yield record_batch(doc_id=batch.column("doc_id").take(pa.array(owners, pa.int64())), key=pa.array(keys, pa.binary()))
+            at = pa.array(owners, pa.int64())
+            yield record_batch(doc_id=batch.column("doc_id").take(at), row=batch.column("row").take(at), key=pa.array(keys, pa.binary()))
 
-    return arrow_stage(docs.select("doc_id", "text"), run, "doc_id long, key binary")
+    return arrow_stage(docs.select("doc_id", row_key().alias("row"), "text"), run, "doc_id long, row long, key binary")
 
 
 class LineRuns:
@@ -118,24 +124,28 @@ def drop_frequent_lines(docs: DataFrame, keep: list[str], min_docs: int = MIN_DO
 
     The keys of all lines are extracted once and written by batch of documents; the batches
     then go through the runs one after the other.  ``docs`` has doc_id and text.  A row meets
-    the frequent keys among its document's; the runs may be large, so no side is broadcast
-    but by the planner's own size check.
+    the frequent keys among its own text's, by its row_key, so an array is bounded by one
+    text's lines however many rows share a doc_id or have none; rows whose hashes collide meet
+    both texts' keys, which are frequent all the same.  The arrays are written first, so that
+    the planner can split a join with very many copies of a row, and met in a merge join at
+    every size.  The runs may be large, so no side is broadcast but by the planner's own size
+    check.
     """
     spark = docs.sparkSession
     folder = scratch(spark, "line-runs")
     batch = F.pmod(F.xxhash64("doc_id"), F.lit(batches)).cast("int")
     line_keys(docs).withColumn("batch", batch).write.partitionBy("batch").parquet(f"{folder}/keys")
-    keys = spark.read.schema("doc_id long, key binary, batch int").parquet(f"{folder}/keys")
+    keys = spark.read.schema("doc_id long, row long, key binary, batch int").parquet(f"{folder}/keys")
     runs = LineRuns(spark, folder, min_docs)
     for k in range(batches):
-        runs.add(keys.where(F.col("batch") == k).drop("batch"))
+        runs.add(keys.where(F.col("batch") == k).select("doc_id", "key"))
     frequent = scratch(spark, "frequent-lines")
     runs.frequent().write.parquet(frequent)
     runs.close()
-    found = keys.drop("batch").join(spark.read.parquet(frequent), "key", "left_semi")
-    found = found.groupBy("doc_id").agg(F.collect_set("key").alias("frequent")).withColumnRenamed("doc_id", "of")
+    found = keys.select("row", "key").join(spark.read.parquet(frequent), "key", "left_semi")
+    found = cut(found.groupBy(F.col("row").alias("of")).agg(F.collect_set("key").alias("frequent")), "frequent-of-rows")
     columns = [F.col(c).alias(f"kept_{k}") for k, c in enumerate(keep)]
-    joined = docs.select(*columns, F.col("doc_id").alias("own"), "text").join(found, F.col("own").eqNullSafe(F.col("of")), "left")
+    joined = docs.select(*columns, row_key().alias("own"), "text").join(found.hint("merge"), F.col("own") == F.col("of"), "left")
     carried = [f.name for f in docs.select(*columns).schema]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

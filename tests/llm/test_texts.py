@@ -151,6 +151,24 @@ def test_line_query_digests(spark):
         assert (r.n_lines, r.n_dropped, r.kept_sha256) == (lines, dropped, hashlib.sha256(kept.encode()).hexdigest())
 
 
+def test_a_rows_frequent_lines_are_bounded_by_its_text(spark, tmp_path, monkeypatch):
+    joined, stage = [], op9_line_dedup.arrow_stage
+    monkeypatch.setattr(op9_line_dedup, "arrow_stage", lambda df, fn, schema: (joined.append(df), stage(df, fn, schema))[1])
+    common = [f"common line {k}" for k in range(60)]
+    texts = [(i, "\n".join(common[k] for k in range(60) if (k + i) % 3)) for i in range(40)]
+    own = [f"own {k}\n{common[k % 60]}\n{common[(k + 7) % 60].upper()}" for k in range(300)]
+    shared = [(None, t) for t in own[:150]] + [(7000, t) for t in own[150:]] + [(None, own[0])] * 20
+    folder = documents(spark, tmp_path, texts + shared)
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    got = op9_line_dedup.drop_frequent_lines(docs, ["doc_id"]).collect()
+    assert sorted((str(r.doc_id), r.n_lines, r.n_dropped, r.kept) for r in got) == sorted(
+        [(str(i), t.count("\n") + 1, t.count("\n") + 1, "") for i, t in texts] + [(str(i), 3, 2, t.split("\n")[0]) for i, t in shared])
+    with_arrays = [df for df in joined if "frequent" in df.columns]
+    assert len(with_arrays) == 1
+    sizes = with_arrays[0].selectExpr("size(frequent) AS n", "size(split(text, '\n')) AS lines").where("n > lines")
+    assert sizes.count() == 0
+
+
 # -- classifiers ---------------------------------------------------------------------------
 
 
