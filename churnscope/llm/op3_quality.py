@@ -83,6 +83,7 @@ def score(weights: np.ndarray, text: str) -> float:
 def sample(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_DOCS) -> list[tuple[str, int]]:
     """(excerpt, quality) of at most ``most`` documents that training may use."""
     usable = labels.select("doc_id", "quality").where("doc_id IS NOT NULL AND quality IN (0, 1)").where(~held_out()).distinct()
+    usable = usable.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")  # labels of absent documents take no places
     chosen, marks = evenly_by_label(usable, "quality", most, 3, "doc_id")
     chosen = F.broadcast(chosen.orderBy("h", "doc_id", "quality").limit(2 * most))  # so many rows of three numbers at most
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(chosen, "doc_id")

@@ -224,6 +224,19 @@ def test_labels_of_held_out_documents_are_not_learned(spark, tmp_path):
     assert {r.score for r in queries()["op3_quality"](spark, folder).collect()} == {0.5}
 
 
+def test_labels_of_absent_documents_take_no_places(spark, tmp_path):
+    from tests.llm.helpers import put
+
+    folder = documents(spark, tmp_path, [f"text number {k}" for k in range(400)] + [(None, "without an id"), (3, "an id again")])
+    put(spark, tmp_path, "labels", [(k, k % 2, 0) for k in range(20_000)] + [(None, 1, 0)])
+    docs, labels = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels"))
+    got = op3_quality.sample(docs, labels, 100)
+    assert Counter(label for _, label in got) == {0: 50, 1: 50}
+    usable = {f"text number {k}" for k in range(400) if zlib.crc32(str(k).encode()) % 4 != 2} | {"an id again"}
+    assert {text for text, _ in got} <= usable
+    assert len(op3_quality.sample(docs, labels, 5000)) == len(usable)
+
+
 def test_scores_are_sparse_dot_products():
     weights = op3_quality.train([("good text here and there", 1), ("bad *** stuff", 0)] * 5)
     slots, values = op3_quality.features("good stuff *** here")
