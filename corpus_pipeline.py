@@ -5,8 +5,8 @@ and read again as the next one's input.  All stages but the last return the colu
 documents (doc_id, text, lang, source, n_chars).
 
 * language: documents whose language can't be told go: those without a letter and those
-  whose pooled probability is under MIN_LANGUAGE.  The network learns from the table's own
-  lang labels.
+  whose pooled probability is under least_probability of the number of languages.  The
+  network learns from the table's own lang labels.
 * quality: documents that the classifier scores under its cut go.
 * line_dedup: lines that at least ten documents share are dropped from the texts.
 * near_duplicates: of each class of documents linked by a Jaccard similarity of 0.8 or more
@@ -25,14 +25,20 @@ from churnscope.llm.common import scratch, table
 from churnscope.llm.links import first_of_each_class
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: The least probability of a language that a document is kept with.
-MIN_LANGUAGE = 0.3
+#: How far a document's probability must be on the way from that of a guess (1 / languages) to 1.
+LANGUAGE_MARGIN = 1 / 15
+
+
+def least_probability(languages: int) -> float:
+    """The least probability of a language that a document is kept with: 0.3 of four languages."""
+    return 1 / languages + LANGUAGE_MARGIN * (1 - 1 / languages)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     net = op7_language.train(op7_language.sample(docs.select("doc_id", "text", "lang")))
     told = op7_language.identify(docs, net, COLUMNS)
-    return told.where((F.col("lang_pred") != op7_language.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE)).select(COLUMNS)
+    least = least_probability(len(net.labels)) if net is not None else 1.0
+    return told.where((F.col("lang_pred") != op7_language.UNKNOWN) & (F.col("score") >= least)).select(COLUMNS)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

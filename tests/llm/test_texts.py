@@ -242,3 +242,15 @@ def test_scores_are_sparse_dot_products():
     slots, values = op3_quality.features("good stuff *** here")
     assert op3_quality.score(weights, "good stuff *** here") == pytest.approx(1 / (1 + np.exp(-(weights[slots] * values).sum())))
     assert op3_quality.score(weights, "good text here") > 0.5 > op3_quality.score(weights, "bad *** stuff")
+
+
+@pytest.mark.parametrize("languages, stays", [(1, True), (2, False), (3, False), (4, False), (20, False)])
+def test_guessed_languages_go_whatever_their_number(spark, tmp_path, monkeypatch, languages, stays):
+    import corpus_pipeline
+
+    guess = op7_language.Network(np.zeros((2, 256, 3, 2), np.float32), np.zeros((2, 3, 2, 2), np.float32), np.zeros((4, languages), np.float32),
+                                 np.zeros(languages, np.float32), [f"l{k}" for k in range(languages)])
+    monkeypatch.setattr(op7_language, "train", lambda samples: guess)
+    docs = spark.read.parquet(f"{documents(spark, tmp_path, ['some text', '12', None])}/documents.parquet")
+    assert [r.text for r in corpus_pipeline.language(spark, docs, str(tmp_path)).collect()] == ["some text"] * stays
+    assert corpus_pipeline.least_probability(4) == pytest.approx(0.3)
