@@ -17,9 +17,10 @@ from churnscope.llm.op8_packing import op8_packing
 from churnscope.llm.op9_line_dedup import OP9_SQL, op9_line_dedup
 from churnscope.llm.op10_bpe import op10_bpe
 from churnscope.llm.op11_setm import OP11_SQL, op11_setm
+from churnscope.llm.op12_bpa import OP12_SQL, op12_bpa
 
 _QUERIES = [op1_html, op2_minhash, op3_quality, op4_onebit, op5_chosen_path, op6_fixity, op7_language, op8_packing, op9_line_dedup, op10_bpe,
-            op11_setm]
+            op11_setm, op12_bpa]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -27,4 +28,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_fixity": OP6_SQL, "op9_line_dedup": OP9_SQL, "op11_setm": OP11_SQL}
+    return {"op6_fixity": OP6_SQL, "op9_line_dedup": OP9_SQL, "op11_setm": OP11_SQL, "op12_bpa": OP12_SQL}
