@@ -18,9 +18,10 @@ from churnscope.llm.op9_line_dedup import OP9_SQL, op9_line_dedup
 from churnscope.llm.op10_bpe import op10_bpe
 from churnscope.llm.op11_setm import OP11_SQL, op11_setm
 from churnscope.llm.op12_bpa import OP12_SQL, op12_bpa
+from churnscope.llm.op13_rules import op13_rules
 
 _QUERIES = [op1_html, op2_minhash, op3_quality, op4_onebit, op5_chosen_path, op6_fixity, op7_language, op8_packing, op9_line_dedup, op10_bpe,
-            op11_setm, op12_bpa]
+            op11_setm, op12_bpa, op13_rules]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
