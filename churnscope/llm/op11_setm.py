@@ -41,7 +41,7 @@ LONGEST, LEAST, COVER = 4, 30, (80, 100)
 #: Phrases reported of a lang; what the score is multiplied by.
 REPORTED, SCALE = 2000, 2_000_000
 #: Text of a block in bytes; positions of a block of one longer text; salts of the first ranking.
-BLOCK_BYTES, BLOCK, SALTS = 16 << 20, 1 << 22, 16
+BLOCK_BYTES, BLOCK, SALTS = 6 << 20, 1 << 21, 16
 PIECE = ".,;:!?\n\x0b\x0c\r"
 _SEPARATOR = byte_class(PIECE)
 _WORD = ~(_SEPARATOR | byte_class(" \t"))
@@ -162,7 +162,7 @@ class Relations:
         name = f"phrases_{uuid.uuid4().hex}"
         df = df.repartition(self.buckets, "block") if dealt else df
         self.names.append(name)
-        (df.write.option("compression", "zstd").option("path", f"{self.folder}/{name}")
+        (df.write.option("compression", "zstd").option("parquet.compression.codec.zstd.level", "1").option("path", f"{self.folder}/{name}")
          .bucketBy(self.buckets, "block").sortBy("block").saveAsTable(name))
         return self.spark.table(name)
 
@@ -178,8 +178,9 @@ def frequent_rows(blocks: DataFrame, key: list[str], least: int) -> DataFrame:
     number of the phrase; it is fixed by writing the result.
     """
     rows = blocks.where(F.col("code").isNotNull()).select("block", "code", "n", *key)
-    rows = rows.repartition(*key).withColumn("row", F.monotonically_increasing_id())
-    same = Window.partitionBy(*key)
+    rows = rows.withColumn("hash", F.xxhash64(*key))  # first in the order, so that rows are sorted by one number
+    rows = rows.repartition("hash", *key).withColumn("row", F.monotonically_increasing_id())
+    same = Window.partitionBy("hash", *key)
     rows = rows.select("block", "code", *key, F.sum("n").over(same).alias("f"), F.min("row").over(same).alias("gid"))
     return rows.where(F.col("f") >= least)
 
