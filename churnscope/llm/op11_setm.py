@@ -8,13 +8,16 @@ A phrase has a number of its block's own and, where it is frequent, one of the w
 
 Level k merge-joins the relation of k-1 with itself at the next position, counts the phrases
 within each block and writes relation and counts as one table bucketed by block.  The counts
-are summed by phrase over all blocks, and the frequent ones written back by block, bucketed
+are grouped by phrase over all blocks, and the frequent ones written back by block, bucketed
 alike: the next level semi-joins them with the relation without a shuffle, and only the
 relation's frequent rows are extended.  No part of a frequent phrase is rarer than itself, so
 no phrase is lost.
 
-What is shuffled is one row for each block and distinct phrase whose parts are frequent.  A
-task holds one block: BLOCK_BYTES of text, or one longer text, which is cut into blocks of
+What is shuffled are the distinct phrases of each block, whose parts are frequent, with their
+counts.  They travel packed, a row for each block and bucket of phrases; a phrase's hash gives
+its bucket.  There are at least as many buckets as blocks, so a task that counts holds one
+bucket of about a block's phrases, and a hot phrase is one entry of each block.  The tasks
+before hold one block: BLOCK_BYTES of text, or one longer text, which is cut into blocks of
 BLOCK positions that overlap by LONGEST - 1.
 
 Everything is by lang, null as "und".  Null and empty texts have no words.  Repeated rows
@@ -25,16 +28,17 @@ ignored.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from churnscope.llm.bytewords import Words, byte_class, first_after, numbered, text_slices, utf8
-from churnscope.llm.common import arrow_stage, cut, record_batch, scratch, table
+from churnscope.llm.common import arrow_stage, by_group, cut, mixed, record_batch, scratch, table
 
 #: Words of a phrase, at most; its least number of occurrences; share of a phrase's count that a longer one must have to replace it.
 LONGEST, LEAST, COVER = 4, 30, (80, 100)
@@ -46,8 +50,75 @@ PIECE = ".,;:!?\n\x0b\x0c\r"
 _SEPARATOR = byte_class(PIECE)
 _WORD = ~(_SEPARATOR | byte_class(" \t"))
 
-_FIRST = "block long, code int, n int, own int, relation binary, lang string, word string"
-_NEXT = "block long, code int, n int, own int, relation binary, before long, after long"
+#: A level's rows: of each block one with the relation, and the packed phrases of each lang (level 1) and bucket.
+_LEVEL = pa.schema([("block", pa.int64()), ("own", pa.int32()), ("relation", pa.binary()), ("bucket", pa.int32()),
+                    ("lang", pa.string()), ("n", pa.int64()), ("packed", pa.binary())])
+#: Counted rows: of each block its frequent phrases (packed), and each frequent phrase itself.
+_COUNTED = "block long, packed binary, gid long, lang string, word string, before long, after long, f long"
+
+
+def _ddl(schema: pa.Schema) -> str:
+    names = {pa.int64(): "long", pa.int32(): "int", pa.binary(): "binary", pa.string(): "string"}
+    return ", ".join(f"{f.name} {names[f.type]}" for f in schema)
+
+
+# -- packed phrases ------------------------------------------------------------------------
+
+
+def pack(*arrays: np.ndarray) -> bytes:
+    """Arrays of one length, or one after the other, compressed."""
+    raw = b"".join(a.tobytes() for a in arrays)
+    return len(raw).to_bytes(4, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _raw(packed: bytes) -> bytes:
+    return pa.decompress(packed[4:], decompressed_size=int.from_bytes(packed[:4], "little"), codec="zstd", asbytes=True)
+
+
+def unpack(packed: bytes, *dtypes: str) -> list[np.ndarray]:
+    """The arrays of one length and of these dtypes, as views."""
+    raw, out, at = _raw(packed), [], 0
+    count = len(raw) // sum(np.dtype(d).itemsize for d in dtypes)
+    for d in dtypes:
+        out.append(np.frombuffer(raw, d, count, at))
+        at += count * np.dtype(d).itemsize
+    return out
+
+
+def pack_words(code: np.ndarray, n: np.ndarray, offsets: np.ndarray, data: np.ndarray) -> bytes:
+    """Numbers, counts and spellings of words; ``offsets`` say where each word lies in ``data``."""
+    count = np.array([len(code)], np.int32)
+    return pack(count, code.astype(np.int32), n.astype(np.int32), np.diff(offsets).astype(np.int32), data[offsets[0] : offsets[-1]])
+
+
+def unpack_words(packed: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, bytes]:
+    """code, n, lengths of the words, and the words end to end."""
+    raw = _raw(packed)
+    count = int(np.frombuffer(raw, np.int32, 1)[0])
+    code, n, lengths = (np.frombuffer(raw, np.int32, count, 4 + 4 * count * k) for k in range(3))
+    return code, n, lengths, raw[4 + 12 * count :]
+
+
+def pack_pairs(code: np.ndarray, n: np.ndarray, before: np.ndarray, after: np.ndarray) -> bytes:
+    """Numbers, counts and parts of phrases; codes and first parts rise and are held as differences."""
+    return pack(np.diff(before, prepend=0), after, np.diff(code, prepend=0).astype(np.int32), n.astype(np.int32))
+
+
+def unpack_pairs(packed: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """code, n, before, after."""
+    before, after, code, n = unpack(packed, "<i8", "<i8", "<i4", "<i4")
+    return np.cumsum(code), n, np.cumsum(before), after
+
+
+def _slices(buckets: np.ndarray) -> tuple[np.ndarray, Iterator[tuple[int, int, int]]]:
+    """An order that brings equal buckets together, each in the order it has, and (bucket, begin, end) in it."""
+    order = np.argsort(buckets.astype(np.uint16) if len(buckets) and buckets.max() < 1 << 16 else buckets, kind="stable")
+    sorted_ = buckets[order]
+    cuts = np.flatnonzero(np.diff(sorted_, prepend=-1))
+    return order, zip(sorted_[cuts].tolist(), cuts.tolist(), [*cuts[1:].tolist(), len(order)])
+
+
+# -- relations -----------------------------------------------------------------------------
 
 
 def positions(raw: np.ndarray, at: np.ndarray, words: Words) -> np.ndarray:
@@ -74,21 +145,12 @@ def grouped(keys: np.ndarray, own: int) -> tuple[np.ndarray, np.ndarray, np.ndar
     return distinct, np.bincount(code[rows < own], minlength=len(distinct)), relation
 
 
-def _rows(block: int, counts: np.ndarray, own: int, relation: np.ndarray | None, **keys: pa.Array) -> pa.RecordBatch:
-    """A row for each phrase of a block, and at last one for its relation (code null)."""
-    n, extra = len(counts), relation is not None
-    columns = {
-        "block": pa.array(np.full(n + extra, block)),
-        "code": pa.array([*range(n), None][: n + extra], pa.int32()),
-        "n": pa.array(np.append(counts, [0] * extra).astype(np.int32)),
-        "own": pa.array(np.full(n + extra, own, np.int32)),
-        "relation": pa.concat_arrays([pa.nulls(n, pa.binary()), pa.array([relation.tobytes()] if extra else [], pa.binary())]),
-    }
-    return record_batch(**columns, **{k: pa.concat_arrays([v, pa.nulls(int(extra), v.type)]) for k, v in keys.items()})
+def _level(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _LEVEL)], schema=_LEVEL)
 
 
-def word_relation(docs: DataFrame, block_bytes: int = BLOCK_BYTES, block: int = BLOCK) -> DataFrame:
-    """Blocks of the first level: their words by lang, counted, and the relation."""
+def word_relation(docs: DataFrame, buckets: int, block_bytes: int = BLOCK_BYTES, block: int = BLOCK) -> DataFrame:
+    """Blocks of the first level: the relation of their words, and these by lang, counted and packed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
@@ -98,55 +160,137 @@ def word_relation(docs: DataFrame, block_bytes: int = BLOCK_BYTES, block: int =
             if not len(words):
                 continue
             code, spelling = words.codes()
+            hashes = np.fromiter(map(xxhash.xxh64_intdigest, spelling.to_pylist()), np.uint64, len(spelling))
+            bucket_of = (hashes % np.uint64(buckets)).astype(np.int64)
             langs = batch.column("lang").dictionary_encode()
+            names = langs.dictionary.to_pylist()
             lang = langs.indices.to_numpy()[words.doc].astype(np.int64)
             place = positions(raw, at, words)
             keys = np.full(int(place[-1]) + 1, -1, np.int64)
             keys[place] = lang * len(spelling) + code
             for part, own in in_blocks(keys, block):
                 distinct, counts, relation = grouped(part, own)
-                yield _rows(number, counts, own, relation, lang=langs.dictionary.take(pa.array(distinct // len(spelling))),
-                            word=spelling.take(pa.array(distinct % len(spelling))).cast(pa.binary()).cast(pa.string()))
+                of_lang, of_word = np.divmod(distinct, len(spelling))
+                order, slices = _slices(of_lang * buckets + bucket_of[of_word])
+                spelled = spelling.take(pa.array(of_word[order]))
+                offsets, data = np.frombuffer(spelled.buffers()[1], np.int64), np.frombuffer(spelled.buffers()[2] or b"", np.uint8)
+                rows = [(number, own, relation.tobytes(), None, None, None, None)]
+                for both, lo, hi in slices:
+                    n = counts[order[lo:hi]]
+                    rows.append((number, own, None, both % buckets, names[both // buckets], int(n.sum()), pack_words(order[lo:hi], n, offsets[lo : hi + 1], data)))
+                yield _level(rows)
                 number += 1
 
     rows = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
-    return arrow_stage(rows, run, _FIRST)
+    return arrow_stage(rows, run, _ddl(_LEVEL))
 
 
-def extended(relation: np.ndarray, code: np.ndarray, gid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def extended(relation: np.ndarray, code: np.ndarray) -> np.ndarray:
     """Merge-join of a block's relation with itself at the next position, on the frequent rows.
 
-    ``code``, ``gid``: the block's and the table's numbers of the frequent phrases.  Gives the
-    joined rows by position as first * len(code) + second (-1: none), and gid by those numbers.
+    ``code`` are the block's numbers of the frequent phrases.  Gives the joined rows by position
+    as first * len(code) + second, in places of ``code`` (-1: none).
     """
-    frequent = np.full(int(relation.max(initial=-1)) + 2, -1, np.int64)  # the last entry is for -1
+    frequent = np.full(max(int(relation.max(initial=-1)), int(code.max(initial=-1))) + 2, -1, np.int64)  # the last entry is for -1
     frequent[code] = np.arange(len(code))
     now = frequent[relation]
     after = np.append(now[1:], -1)
-    return np.where((now >= 0) & (after >= 0), now * max(1, len(code)) + after, -1), gid
+    return np.where((now >= 0) & (after >= 0), now * max(1, len(code)) + after, -1)
 
 
-def next_relation(blocks: DataFrame, kept: DataFrame, persist: bool) -> DataFrame:
+def next_relation(blocks: DataFrame, counted: DataFrame, buckets: int, persist: bool) -> DataFrame:
     """Blocks of the next level; the relation itself only if it will be extended again."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        empty = pa.Table.from_batches([], schema=schema)
         if not left.num_rows or not right.num_rows:
-            return empty
+            return pa.Table.from_batches([], schema=_LEVEL)
         block, own = left["block"][0].as_py(), left["own"][0].as_py()
-        code, gid = right["code"].to_numpy(), right["gid"].to_numpy()
-        order = np.argsort(gid)
-        keys, gid = extended(np.frombuffer(left["relation"][0].as_py(), np.int32), code[order], gid[order])
+        parts = [unpack(x, "<i8", "<i4") for x in right["packed"].to_pylist()]
+        gid, code = (np.concatenate(x) for x in zip(*parts))
+        order = np.argsort(gid)  # so that equal first parts of a phrase come together, with rising numbers
+        gid, code = gid[order], code[order]
+        keys = extended(np.frombuffer(left["relation"][0].as_py(), np.int32), code)
         distinct, counts, relation = grouped(keys, own)
-        if not len(distinct):
-            return empty
-        batch = _rows(block, counts, own, relation if persist else None, before=pa.array(gid[distinct // len(gid)]), after=pa.array(gid[distinct % len(gid)]))
-        return pa.Table.from_batches([batch])
+        first, second = np.divmod(distinct, len(gid))
+        before, after = gid[first], gid[second]
+        order, slices = _slices((mixed(mixed(before.astype(np.uint64)) + after.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64))
+        rows = [(block, own, relation.tobytes(), None, None, None, None)] if persist else []
+        for bucket, lo, hi in slices:
+            at = order[lo:hi]
+            rows.append((block, own, None, bucket, None, None, pack_pairs(at, counts[at], before[at], after[at])))
+        return pa.Table.from_batches([_level(rows)] if rows else [], schema=_LEVEL)
 
-    schema = pa.schema([("block", pa.int64()), ("code", pa.int32()), ("n", pa.int32()), ("own", pa.int32()),
-                        ("relation", pa.binary()), ("before", pa.int64()), ("after", pa.int64())])
-    left = blocks.where(F.col("code").isNull()).select("block", "own", "relation")
-    return left.groupBy("block").cogroup(kept.select("block", "code", "gid").groupBy("block")).applyInArrow(run, _NEXT)
+    left = blocks.where(F.col("relation").isNotNull()).select("block", "own", "relation")
+    right = counted.where(F.col("packed").isNotNull()).select("block", "packed")
+    return left.groupBy("block").cogroup(right.groupBy("block")).applyInArrow(run, _ddl(_LEVEL))
+
+
+# -- counts over all blocks ----------------------------------------------------------------
+
+
+def _counter(keys_of: Callable[[list[bytes]], tuple], least: int) -> Callable[[dict], dict | None]:
+    """The function that counts one bucket.
+
+    ``keys_of`` unpacks its rows: (code, n, keys as an Arrow array, row of each entry, and the
+    columns of the keys that are wanted).
+    """
+    given = [0]  # numbers that this task has given; a task writes one part, so they are unique with its partition
+
+    def count(rows: dict) -> dict | None:
+        out: dict[str, list] = {name.split(" ")[0]: [] for name in _COUNTED.split(", ")}
+        for lang in sorted({*rows["lang"]}, key=str):  # one, None, beyond level 1
+            mine = [k for k, x in enumerate(rows["lang"]) if x == lang]
+            code, n, keys, row, columns = keys_of([rows["packed"][k] for k in mine])
+            coded = keys.dictionary_encode()
+            place = coded.indices.to_numpy(zero_copy_only=False)
+            total = np.zeros(len(coded.dictionary), np.int64)
+            np.add.at(total, place, n)
+            chosen = np.flatnonzero(total >= least)
+            gid = np.full(len(total), -1, np.int64)
+            gid[chosen] = (TaskContext.get().partitionId() << 40) + given[0] + np.arange(len(chosen))
+            given[0] += len(chosen)
+            own = gid[place]
+            for k, at in enumerate(np.split(np.arange(len(own)), np.searchsorted(row, np.arange(1, len(mine))))):
+                at = at[own[at] >= 0]
+                if len(at):
+                    _append(out, block=rows["block"][mine[k]], packed=pack(own[at], code[at].astype(np.int32)))
+            for g, f, key in zip(gid[chosen].tolist(), total[chosen].tolist(), columns(coded.dictionary.take(pa.array(chosen)))):
+                _append(out, block=g, gid=g, lang=lang, f=f, **key)
+        types = {"packed": pa.binary(), "lang": pa.string(), "word": pa.string()}
+        return {name: pa.array(c, types.get(name, pa.int64())) for name, c in out.items()} if out["block"] else None
+
+    return count
+
+
+def _append(out: dict[str, list], **row) -> None:
+    for name, column in out.items():
+        column.append(row.get(name))
+
+
+def _words_of(packed: list[bytes]) -> tuple:
+    code, n, lengths, data = zip(*map(unpack_words, packed))
+    row = np.repeat(np.arange(len(code)), list(map(len, code)))
+    offsets = np.append(0, np.cumsum(np.concatenate(lengths), dtype=np.int64))
+    keys = pa.Array.from_buffers(pa.large_binary(), len(row), [None, pa.py_buffer(offsets), pa.py_buffer(b"".join(data))])
+    return np.concatenate(code), np.concatenate(n), keys, row, lambda chosen: [{"word": w.decode()} for w in chosen.to_pylist()]
+
+
+def _pairs_of(packed: list[bytes]) -> tuple:
+    code, n, before, after = zip(*map(unpack_pairs, packed))
+    row = np.repeat(np.arange(len(code)), list(map(len, code)))
+    both = np.stack([np.concatenate(before), np.concatenate(after)], axis=1)
+    keys = pa.Array.from_buffers(pa.binary(16), len(row), [None, pa.py_buffer(both.tobytes())])
+
+    def columns(chosen: pa.Array) -> list[dict]:
+        return [{"before": int.from_bytes(k[:8], "little", signed=True), "after": int.from_bytes(k[8:], "little", signed=True)} for k in chosen.to_pylist()]
+
+    return np.concatenate(code), np.concatenate(n), keys, row, columns
+
+
+def counted_phrases(blocks: DataFrame, first: bool, least: int) -> DataFrame:
+    """The frequent phrases (gid, f and their parts), and those of each block, packed."""
+    rows = blocks.where(F.col("packed").isNotNull()).select("bucket", "block", "lang", "packed")
+    return by_group(rows, ["bucket"], ["block"], _counter(_words_of if first else _pairs_of, least), _COUNTED)
 
 
 class Relations:
@@ -171,20 +315,6 @@ class Relations:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def frequent_rows(blocks: DataFrame, key: list[str], least: int) -> DataFrame:
-    """block, code, key columns, f (occurrences in the table) and gid of the phrases with f >= least.
-
-    A phrase has one row of each block, so its rows are sums already.  gid is the least row
-    number of the phrase; it is fixed by writing the result.
-    """
-    rows = blocks.where(F.col("code").isNotNull()).select("block", "code", "n", *key)
-    rows = rows.withColumn("hash", F.xxhash64(*key))  # first in the order, so that rows are sorted by one number
-    rows = rows.repartition("hash", *key).withColumn("row", F.monotonically_increasing_id())
-    same = Window.partitionBy("hash", *key)
-    rows = rows.select("block", "code", *key, F.sum("n").over(same).alias("f"), F.min("row").over(same).alias("gid"))
-    return rows.where(F.col("f") >= least)
-
-
 def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, block_bytes: int = BLOCK_BYTES,
                   block: int = BLOCK) -> tuple[DataFrame, list[DataFrame]]:
     """(lang, n): words of each lang; and for each length its frequent phrases.
@@ -198,17 +328,20 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, b
     spark = docs.sparkSession
     tables = Relations(spark)
     try:
-        blocks = tables.write(word_relation(docs, block_bytes, block), dealt=False)
-        totals = cut(blocks.where(F.col("code").isNotNull()).groupBy("lang").agg(F.sum("n").alias("n")), "phrase-totals")
-        kept = tables.write(frequent_rows(blocks, ["lang", "word"], least), dealt=True)
-        one = kept.groupBy("gid").agg(*(F.first(c).alias(c) for c in ("lang", "word", "f")))
-        levels = [cut(one.select("gid", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "f", F.lit(None).cast("long").alias("before"),
-                                 F.lit(None).cast("long").alias("after"), F.array("f").alias("heads"), F.array("f").alias("tails")), "phrases")]
+        buckets = max(tables.buckets, 4 * docs.rdd.getNumPartitions())
+        blocks = tables.write(word_relation(docs, buckets, block_bytes, block), dealt=False)
+        totals = cut(blocks.where(F.col("packed").isNotNull()).groupBy("lang").agg(F.sum("n").alias("n")), "phrase-totals")
+        counted = tables.write(counted_phrases(blocks, True, least), dealt=True)
+        nothing, one = F.lit(None).cast("long"), counted.where(F.col("gid").isNotNull())
+        levels = [one.select("gid", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "f", nothing.alias("before"),
+                             nothing.alias("after"), F.array("f").alias("heads"), F.array("f").alias("tails"))]
+        levels = [cut(levels[0], "phrases")]
+        buckets = max(tables.buckets, blocks.where(F.col("relation").isNotNull()).count())
         for k in range(2, longest + 1):
-            blocks = tables.write(next_relation(blocks, kept, persist=k < longest), dealt=False)
-            kept = frequent_rows(blocks, ["before", "after"], least)
-            kept = tables.write(kept, dealt=True) if k < longest else cut(kept, "phrases-last")
-            own = kept.groupBy("gid").agg(*(F.first(c).alias(c) for c in ("before", "after", "f")))
+            blocks = tables.write(next_relation(blocks, counted, buckets, persist=k < longest), dealt=False)
+            counted = counted_phrases(blocks, False, least)
+            counted = tables.write(counted, dealt=True) if k < longest else cut(counted, "phrases-last")
+            own = counted.where(F.col("gid").isNotNull()).select("gid", "before", "after", "f")
             head = levels[-1].select(F.col("gid").alias("before"), "lang", F.col("phrase").alias("head"), "heads")
             tail = levels[-1].select(F.col("gid").alias("after"), "last", "tails")
             both = own.join(head, "before").join(tail, "after")
