@@ -9,7 +9,10 @@ an installed copy of the repository.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable, Iterator
+import sys
+import types
+from collections.abc import Callable, Hashable, Iterable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -92,6 +95,18 @@ def record_batch(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
+def kept_in_process(key: Hashable, make: Callable[[], Any]) -> Any:
+    """``make()``, made once in a Python worker and kept for the tasks that it runs later.
+
+    The functions of this subpackage come anew with each task, so their module's own globals
+    don't last; a module of the process does.
+    """
+    held = sys.modules.setdefault("churnscope_kept", types.ModuleType("churnscope_kept")).__dict__
+    if key not in held:
+        held[key] = make()
+    return held[key]
+
+
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     """The column as str; null counts as empty."""
     return [t or "" for t in batch.column(name).to_pylist()]

@@ -22,13 +22,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnscope.llm.common import arrow_stage, in_slices, record_batch, table, texts_of
-from churnscope.llm.merges import MergeTrees, PieceCache, encode_texts, plain_pattern
+from churnscope.llm.common import arrow_stage, in_slices, kept_in_process, record_batch, table, texts_of
+from churnscope.llm.merges import MergeTrees
+from churnscope.llm.pieces import pieces_of
 
-#: Tokens of a sequence, documents of a group on average, tokens that one task packs at once.
-CAPACITY, GROUP_DOCS, GROUP_TOKENS = 4096, 1024, 1 << 24
-#: Characters that are tokenized at once.
-SLICE_CHARS = 3_000_000
+#: Tokens of a sequence, documents of a group on average, tokens and documents that one task packs at once.
+CAPACITY, GROUP_DOCS, GROUP_TOKENS, GROUP_ROWS = 4096, 1024, 1 << 24, 1 << 15
+#: Characters that are tokenized at once; pieces of either generation of the cache.
+SLICE_CHARS, CACHED = 2_000_000, 250_000
 
 Piece = tuple[int, int, int]  # item, start, length
 
@@ -114,8 +115,10 @@ _NORMAL = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replac
 class WordBPE:
     """Ids of texts by a tokenizer file: byte-level BPE with marked word ends, lower case, no white space.
 
-    Usual chunks of text are split and merged here; chunks with other characters go to the
-    ``tokenizers`` library.  Both give the library's ids.
+    Usual pieces are split and merged here; runs with other characters go to the
+    ``tokenizers`` library.  Both give the library's ids.  The ids of pieces are kept in two
+    generations: when the newer one is full it becomes the older, whose pieces come back as
+    they are met.
     """
 
     def __init__(self, path: str):
@@ -139,26 +142,54 @@ class WordBPE:
         others = iter(range(256, 512))
         symbols = [chr(b if b in printable else next(others)) for b in range(256)]
         self.trees = MergeTrees(pairs, (vocab[s] for s in symbols), (vocab[s + end] for s in symbols))
-        plain = plain_pattern(split.replace(r"[\p{L}]+", r"\p{L}+"))
-        self.cache = PieceCache(lambda chunk: plain.findall(chunk.lower()), self._by_library, self._encode_pieces)
+        self.newer: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.size = self.tokenizer.get_vocab_size()
 
-    def _by_library(self, chunk: str) -> bytes:
-        return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, np.int32).tobytes()
-
-    def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
-        return self.trees.encode([p.encode() for p in pieces])
+    def _by_library(self, run: str) -> bytes:
+        return np.array(self.tokenizer.encode(run, add_special_tokens=False).ids, np.int32).tobytes()
+
+    def _ids_of(self, pieces: list[bytes], marked: list[bool]) -> list[bytes]:
+        """The ids (int32, as bytes) of distinct pieces."""
+        out = list(map(self.newer.get, pieces))
+        unknown = [k for k, ids in enumerate(out) if ids is None]
+        fresh = []
+        for k in unknown:
+            out[k] = self.older.get(pieces[k])
+            if out[k] is None:
+                if marked[k]:
+                    out[k] = self._by_library(pieces[k].decode())
+                else:
+                    fresh.append(k)
+        for k, ids in zip(fresh, self.trees.encode([pieces[k] for k in fresh])):
+            out[k] = ids
+        if len(self.newer) + len(unknown) > CACHED:
+            self.newer, self.older = {}, self.newer
+        self.newer.update((pieces[k], out[k]) for k in unknown)
+        return out
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts one after the other, and where each text's ids end."""
-        return encode_texts(texts, self.cache.ids_of)
+        pieces, marked, piece_ends = pieces_of(texts)
+        coded = pieces.dictionary_encode()
+        place = coded.indices.to_numpy(zero_copy_only=False)
+        odd = np.zeros(len(coded.dictionary), bool)
+        odd[place[marked]] = True
+        ids = self._ids_of(coded.dictionary.to_pylist(), odd.tolist())
+        flat = np.frombuffer(b"".join(ids), np.int32)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        size = sizes.take(place)
+        ends = np.cumsum(size)
+        begin = (np.cumsum(sizes) - sizes).take(place)
+        out = flat.take(np.repeat(begin - ends + size, size) + np.arange(ends[-1] if len(ends) else 0))
+        return out, np.append(0, ends).take(piece_ends)
 
 
 def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
     """doc_id, part (the group's key), tokens long, ids binary: unsigned ids, ``end_id`` last."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordBPE(tokenizer_path)
+        words = kept_in_process(("word_bpe", tokenizer_path), lambda: WordBPE(tokenizer_path))
         dtype = np.dtype("<u2" if max(words.size, end_id + 1) <= 1 << 16 else "<u4")
         end = np.array([end_id], dtype).tobytes()
         for batch in batches:
@@ -180,11 +211,12 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int, capacity:
     """A row for each piece: doc_id, start, length, ids binary (little-endian unsigned 32-bit),
     doc_tokens, sequence_id, offset.
 
-    Groups are dealt by a hash of row and ``seed``; a group of more than GROUP_TOKENS tokens is
-    packed in parts of that size, which bounds a task's memory whatever a group holds.
+    Groups are dealt by a hash of ``seed`` and the row's number (its partition and its place
+    there), which copies and rows without an id don't share.  A group of more than GROUP_TOKENS
+    tokens or GROUP_ROWS documents is packed in parts of that size.
     """
     groups = max(1, -(-docs.count() // group_docs))
-    part = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(groups))
+    part = F.pmod(F.xxhash64(F.lit(seed), F.monotonically_increasing_id()), F.lit(groups))
     dealt = tokenized(docs.select("doc_id", "text", part.alias("part")), tokenizer_path, end_id)
     dealt = dealt.repartition("part").sortWithinPartitions("part", "doc_id")
 
@@ -218,7 +250,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int, capacity:
 
         for batch in batches:
             for doc_id, of, tokens, ids in zip(*(batch.column(n).to_pylist() for n in ("doc_id", "part", "tokens", "ids"))):
-                if rows and (of != part or held + tokens > GROUP_TOKENS):
+                if rows and (of != part or held + tokens > GROUP_TOKENS or len(rows) >= GROUP_ROWS):
                     yield from packed()
                 if of != part:
                     part, sequence = of, 0

@@ -11,6 +11,7 @@ DOCUMENTS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("
                           T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType())])
 SCHEMAS = {
     "documents": DOCUMENTS,
+    "benchmark": T.StructType([T.StructField("item_id", T.LongType()), T.StructField("text", T.StringType())]),
     "labels": T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("quality", T.IntegerType()), T.StructField("toxic", T.IntegerType())]),
     "pages": T.StructType([T.StructField("page_id", T.LongType()), T.StructField("url", T.StringType()), T.StructField("html", T.StringType())]),
     "embeddings": T.StructType([T.StructField("vec_id", T.LongType()), T.StructField("embedding", T.ArrayType(T.FloatType())), T.StructField("label", T.IntegerType())]),

@@ -16,7 +16,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from churnscope.llm import merges, op1_html, op4_onebit, op6_fixity, op8_packing, op10_bpe
+from churnscope.llm import merges, op1_html, op4_onebit, op6_fixity, op8_packing, op10_bpe, pieces
 from churnscope.llm.queries import queries
 from tests.llm.helpers import documents, put
 
@@ -275,6 +275,37 @@ def test_any_texts(bpe, word_bpe, texts):
         assert [ids[a:b].tolist() for a, b in zip(starts, starts[1:])] == [plain(library, t) for t in texts]
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text(st.sampled_from("''''stdmrevlaABÉé!.1 \n×œŸ")), max_size=4))
+def test_pieces_of_usual_texts(texts):
+    pattern = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|[^\s\w]+")
+    found, marked, ends = pieces.pieces_of(texts)
+    assert not marked[[k for k, p in enumerate(found.to_pylist()) if "×" not in p.decode()]].any()
+    usual = [t for t in texts if "×" not in t]
+    array, _, ends = pieces.pieces_of(usual)
+    got, places = array.to_pylist(), [0, *ends.tolist()]
+    assert [[p.decode() for p in got[a:b]] for a, b in zip(places, places[1:])] == [pattern.findall(t.lower()) for t in usual]
+
+
+def test_two_generations_of_pieces(word_bpe, monkeypatch):
+    monkeypatch.setattr(op8_packing, "CACHED", 7)
+    own, library = op8_packing.WordBPE(public_tokenizers.path("word_bpe_49k.json")), word_bpe[1]
+    rng = random.Random(3)
+    for _ in range(40):
+        text = " ".join(rng.choice(["the", "of", "Ünïcode", "x1y", "αβγ", f"word{rng.randrange(30)}"]) for _ in range(12))
+        assert own.encode([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
+    assert len(own.newer) <= 7 + 30
+
+
+def test_copies_share_no_group(spark, tmp_path):
+    """Empty texts without an id are dealt evenly, and a group is packed in parts of bounded rows."""
+    folder = documents(spark, tmp_path, [(None, None)] * 6000 + [(5, "the same text")] * 3000)
+    dealt = spark.read.parquet(f"{folder}/documents.parquet").repartition(6)
+    rows = op8_packing.pack_documents(dealt, public_tokenizers.path("word_bpe_49k.json"), 2, group_docs=500)
+    sizes = sorted(r["count"] for r in rows.groupBy(F.expr("sequence_id >> 32")).count().collect())
+    assert len(sizes) == 18 and sizes[-1] <= 2 * sizes[len(sizes) // 2] and sum(sizes) >= 9000
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.binary(min_size=2, max_size=300))
 def test_long_and_short_trees_agree(bpe, piece):
