@@ -7,9 +7,12 @@ its siblings that score well or are paragraphs of prose.  Elements that are neve
 (menus, forms, scripts and the like, by tag or role, or hidden) are taken out before.
 
 Classes and ids only name candidates (adverts, side bars, comments of readers and the like).
-A candidate goes unless it holds most of the page's paragraph points or its id is the anchor
-of an article's part; paragraphs and headings, and what stands inside their lines, never go
-by name, and if nothing would be left, names don't count.
+A candidate goes unless it holds most of the page's paragraph points, and either has a main
+heading or an article or leaves no prose outside, or its id is the anchor of an article's part
+that isn't made of readers' signed entries.  Adverts, comments and side bars go however long
+they are, if there is prose outside.  Paragraphs, headings, and what stands inside their
+lines, go only by the class of an advert (paragraphs also of a comment); if nothing would be
+left, names don't count.
 
 Inside a block, white space becomes one space; blocks are joined by a line feed.  A null or
 empty page, or one without text, gives the empty text.  Unclosed, misnested and cut-off
@@ -63,8 +66,17 @@ _TOPICS = frozenset(
     "recommended recommendations respond follow rail foot skip hidden menu menus widgets".split())
 #: Words of a class that say a block is a part of a text.
 _PARTS = frozenset("section subsection chapter".split())
+#: Classes and ids that are never a page's layout, and words that make them one; classes of adverts, which lines go by too.
+_ADVERTS = frozenset("ad ads adv advert adverts advertisement advertisements sponsor sponsored".split())
+_COMMENTS = frozenset("comment comments commentlist disqus".split())
+_ASIDES = _ADVERTS | _COMMENTS | frozenset("sidebar sidebars related recommended outbrain taboola newsletter".split())
+_LAYOUTS = frozenset("layout wrapper wrap container page main content body article post entry row grid column columns template theme site".split())
+#: Ids under which readers write too; points that make prose.
+_READERS, _PROSE = frozenset("discussion respond reply replies reactions".split()), 3.0
 #: Elements that don't go by name, nor does what stands inside their lines.
 _LINES = frozenset("p pre h1 h2 h3 h4 h5 h6".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_COPYRIGHT = re.compile(r"\s*(©|&copy;|\(c\) ?\d|copyright\b|all rights reserved)", re.I)
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar form".split())
 _MARK = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)"
                    r"|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(/?>|\Z)|<([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
@@ -113,17 +125,26 @@ def _words(names: str) -> set[str]:
 
 
 def _named(tag: str, attributes: str, parent: Element) -> str:
-    """What class and id make of an element: "" nothing, "topic" a candidate unless it is prose, "clutter" a candidate."""
-    if not attributes or tag in ("html", "body", "article", "main") or tag in _LINES or tag not in _BLOCK and parent.lines:
+    """What class and id make of an element.
+
+    "" nothing, "clutter" a candidate, "aside" one that is never a layout, "topic" a candidate
+    unless it is prose, "readers" one unless it is prose without signed entries.
+    """
+    if not attributes or tag in ("html", "body", "article", "main"):
         return ""
     words: dict[str, set[str]] = {"class": set(), "id": set()}
     for name, *values in _ATTRIBUTE.findall(attributes):
         if name.lower() in words:
             words[name.lower()] |= _words(values[0] or values[1] or values[2])
+    if tag in _LINES or tag not in _BLOCK and parent.lines:
+        return "line" if words["class"] & (_ADVERTS | _COMMENTS if tag == "p" else _ADVERTS) else ""
     overruled = _OVERRULED if (words["class"] | words["id"]) & _CONTENT or tag == "header" else frozenset()
     by_class, by_id = (words[k] & _NOT_CONTENT - overruled for k in ("class", "id"))
     if by_class or by_id - _TOPICS:
-        return "clutter"
+        both = words["class"] | words["id"]
+        return "aside" if both & _ASIDES and not both & _LAYOUTS else "clutter"
+    if by_id & _READERS:
+        return "readers"
     return ("topic" if tag == "section" or parent.article or words["class"] & _PARTS else "clutter") if by_id else ""
 
 
@@ -249,17 +270,57 @@ def drop_named(root: Element) -> bool:
     for node in reversed(order):
         if node.parent is not None:
             points[node.parent] += points[node]
+    whole = _prose_points(root, points)
     went, stack = False, [root]
     while stack:
         node = stack.pop()
-        prose = points[node] and node.link_chars < 0.25 * node.chars
-        if node.named and 2 * points[node] <= points[root] and not (node.named == "topic" and prose):
+        if node.named and _goes(node, points, whole):
             node.dropped = went = True
         else:
             stack.extend(c for c in node.children if c.__class__ is Element and not c.dropped)
     return went
 
 
+def _prose_points(node: Element, points: dict[Element, float]) -> float:
+    """The points under a node without those of candidates that are never a layout."""
+    if node.named in ("aside", "line"):
+        return 0.0
+    inner = [c for c in node.children if c.__class__ is Element and not c.dropped]
+    own = points[node] - sum(points[c] for c in inner)
+    return own + sum(_prose_points(c, points) for c in inner)
+
+
+def _goes(node: Element, points: dict[Element, float], whole: float) -> bool:
+    """Whether a candidate isn't content after all."""
+    root = node
+    while root.parent is not None:
+        root = root.parent
+    if node.named == "line":
+        return True
+    if node.named == "aside":
+        return 2 * points[node] <= points[root] or whole >= _PROSE
+    prose = points[node] and node.link_chars < 0.25 * node.chars
+    if node.named == "readers" and _signed(node):
+        return 2 * points[node] <= points[root] or points[root] - points[node] >= _PROSE
+    if node.named in ("topic", "readers") and prose:
+        return False
+    if 2 * points[node] <= points[root]:
+        return True
+    headed = any(n.tag in ("h1", "article", "main") for n in _walk(node))
+    return not headed and points[root] - points[node] >= _PROSE and whole - _prose_points(node, points) >= _PROSE
+
+
+def _signed(node: Element) -> bool:
+    """Whether most of the entries of a node (two at least, of one kind) begin with a short line without an end mark."""
+    entries = [c for c in _walk(node) if c is not node and c.tag in ("div", "li", "article", "section") and c.chars
+               and not any(x.__class__ is Element and x.tag in ("div", "li", "article", "section") for x in c.children)]
+    signed = 0
+    for entry in entries:
+        lines = blocks([entry])
+        signed += len(lines) > 1 and len(lines[0]) <= 40 and not re.search(r"[.!?:]$", lines[0])
+    return len(entries) > 1 and 2 * signed > len(entries)
+
+
 def main_elements(root: Element) -> list[Element]:
     """The best container and the siblings that are kept with it, in page order."""
     order = _measure(root)
@@ -284,20 +345,34 @@ def main_elements(root: Element) -> list[Element]:
     best = outer if outer is not None else best
     if best.parent is None:
         return [best]
-    least, kept = max(10.0, 0.2 * scored(best)), []
+    least, kept, seen = max(10.0, 0.2 * scored(best)), [], False
     for sibling in best.parent.children:
         if sibling is best:
             kept.append(best)
+            seen = True
         elif sibling.__class__ is Element and not sibling.dropped and sibling.chars:
             density = sibling.link_chars / sibling.chars
             prose = sibling.tag == "p" and density < 0.25 and (sibling.chars > 80 or re.search(r"[.!?]\s*$", _own_text(sibling)))
             if prose or sibling.tag not in _INLINE and density < 0.5 and scored(sibling) >= least:
                 kept.append(sibling)
-            elif sibling.tag in ("h1", "h2") and density < 0.25 and not kept:
+            elif sibling.tag in _HEADINGS and density < 0.25 and (not sibling.link_chars or sibling.tag in ("h1", "h2")) and not (seen and _nothing_after(sibling)):
                 kept.append(sibling)
+            elif kept and not sibling.link_chars and sibling.tag in _BLOCK - _HEADINGS and not _COPYRIGHT.match(" ".join(blocks([sibling]))):
+                kept.append(sibling)  # a short part without links, between or after the parts that are kept
     return kept
 
 
+def _nothing_after(node: Element) -> bool:
+    """Whether no sibling with text without links follows, so that a heading has nothing under it."""
+    after = False
+    for sibling in node.parent.children:
+        if sibling is node:
+            after = True
+        elif after and sibling.__class__ is Element and not sibling.dropped and sibling.chars > 2 * sibling.link_chars:
+            return False
+    return True
+
+
 def blocks(nodes: list[Element]) -> list[str]:
     """The text of each block under the nodes, in page order."""
     out: list[str] = []

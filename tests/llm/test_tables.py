@@ -86,6 +86,27 @@ def test_names_dont_drop_parts_of_an_article(around, part, text):
     assert op1_html.main_text("<body>" + around.format(ARTICLE + part) + "</body>") == PLAIN + "\n" + text
 
 
+LONG_NOISE = NOISE * 20
+
+
+@pytest.mark.parametrize("around", [
+    "<div class=post>{a}</div><div id=comments>{n}</div>", "<article>{a}<div class='comments'>{n}</div></article>", "<article>{a}</article><section class='comments'>{n}</section>",
+    "<div class=post>{a}</div><div class='sidebar'>{n}</div>", "<div>{a}</div><div class='comments'><h2>Readers</h2>{n}</div>", "<div class='advert'>{n}</div><div>{a}</div>",
+    "<div>{a}<p class='advert'>Buy, now, at once, and all of it.</p></div>", "<div>{a}<p class='ad'>Buy.</p></div>", "<div>{a}<p class='comment'>Me, too.</p></div>",
+    "<article>{a}<div id='discussion'><div><b>Ann</b><p>I, too, think so, and more.</p></div><div><b>Bo</b><p>Not I, not at all, never.</p></div></div></article>"])
+def test_long_clutter_goes(around):
+    assert op1_html.main_text("<html><body>" + around.format(a=ARTICLE, n=LONG_NOISE) + "</body></html>") == PLAIN
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<body><div>{a}</div><div><p>Ok</p></div></body>", PLAIN + "\nOk"), ("<body><h3>Kicker</h3><div>{a}</div></body>", "Kicker\n" + PLAIN),
+    ("<body><div>{a}</div><div>&copy; 2020 Someone</div></body>", PLAIN), ("<body><div>{a}</div><h3>More</h3><ul><li><a href=x>one</a></ul></body>", PLAIN),
+    ("<body><div>{a}<p>A <span class='advert'>bought</span> word.</p></div></body>", PLAIN + "\nA word."),
+    ("<body><div>{a}<pre>x <span class='comment'># code</span></pre></div></body>", PLAIN + "\nx # code")])
+def test_short_parts_stay(page, text):
+    assert op1_html.main_text(page.format(a=ARTICLE)) == text
+
+
 def test_names_dont_count_if_nothing_is_left():
     assert op1_html.main_text("<div class='sidebar'><span>all</span> <a href=x>there is</a></div>") == "all there is"
     assert op1_html.main_text("<div class='promo'><a href=x>one</a></div><div class='menu'><a href=y>two</a></div>") != ""
