@@ -51,8 +51,9 @@ _SEPARATOR = byte_class(PIECE)
 _WORD = ~(_SEPARATOR | byte_class(" \t"))
 
 #: A level's rows: of each block one with the relation, and the packed phrases of each lang (level 1) and bucket.
+#: A block numbers its phrases by lang and bucket, so those of a row are numbered on from ``first``.
 _LEVEL = pa.schema([("block", pa.int64()), ("own", pa.int32()), ("relation", pa.binary()), ("bucket", pa.int32()),
-                    ("lang", pa.string()), ("n", pa.int64()), ("packed", pa.binary())])
+                    ("first", pa.int32()), ("lang", pa.string()), ("n", pa.int64()), ("packed", pa.binary())])
 #: Counted rows: of each block its frequent phrases (packed), and each frequent phrase itself.
 _COUNTED = "block long, packed binary, gid long, lang string, word string, before long, after long, f long"
 
@@ -66,8 +67,8 @@ def _ddl(schema: pa.Schema) -> str:
 
 
 def pack(*arrays: np.ndarray) -> bytes:
-    """Arrays of one length, or one after the other, compressed."""
-    raw = b"".join(a.tobytes() for a in arrays)
+    """Arrays one after the other, the first bytes of all numbers before the second ones and so on, compressed."""
+    raw = b"".join(a.view(np.uint8).reshape(len(a), -1).T.tobytes() for a in arrays)
     return len(raw).to_bytes(4, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
 
@@ -75,39 +76,42 @@ def _raw(packed: bytes) -> bytes:
     return pa.decompress(packed[4:], decompressed_size=int.from_bytes(packed[:4], "little"), codec="zstd", asbytes=True)
 
 
+def _column(raw: bytes, dtype: str, count: int, at: int) -> np.ndarray:
+    size = np.dtype(dtype).itemsize
+    return np.frombuffer(raw, np.uint8, count * size, at).reshape(size, count).T.copy().view(dtype).reshape(count)
+
+
 def unpack(packed: bytes, *dtypes: str) -> list[np.ndarray]:
-    """The arrays of one length and of these dtypes, as views."""
+    """The arrays of one length and of these dtypes."""
     raw, out, at = _raw(packed), [], 0
     count = len(raw) // sum(np.dtype(d).itemsize for d in dtypes)
     for d in dtypes:
-        out.append(np.frombuffer(raw, d, count, at))
+        out.append(_column(raw, d, count, at))
         at += count * np.dtype(d).itemsize
     return out
 
 
-def pack_words(code: np.ndarray, n: np.ndarray, offsets: np.ndarray, data: np.ndarray) -> bytes:
-    """Numbers, counts and spellings of words; ``offsets`` say where each word lies in ``data``."""
-    count = np.array([len(code)], np.int32)
-    return pack(count, code.astype(np.int32), n.astype(np.int32), np.diff(offsets).astype(np.int32), data[offsets[0] : offsets[-1]])
+def pack_words(n: np.ndarray, offsets: np.ndarray, data: np.ndarray) -> bytes:
+    """Counts and spellings of words; ``offsets`` say where each word lies in ``data``."""
+    return pack(np.array([len(n)], "<i4"), n.astype("<i4"), np.diff(offsets).astype("<i4"), data[offsets[0] : offsets[-1]])
 
 
-def unpack_words(packed: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, bytes]:
-    """code, n, lengths of the words, and the words end to end."""
+def unpack_words(packed: bytes) -> tuple[np.ndarray, np.ndarray, bytes]:
+    """n, lengths of the words, and the words end to end."""
     raw = _raw(packed)
-    count = int(np.frombuffer(raw, np.int32, 1)[0])
-    code, n, lengths = (np.frombuffer(raw, np.int32, count, 4 + 4 * count * k) for k in range(3))
-    return code, n, lengths, raw[4 + 12 * count :]
+    count = int(_column(raw, "<i4", 1, 0)[0])
+    return _column(raw, "<i4", count, 4), _column(raw, "<i4", count, 4 + 4 * count), raw[4 + 8 * count :]
 
 
-def pack_pairs(code: np.ndarray, n: np.ndarray, before: np.ndarray, after: np.ndarray) -> bytes:
-    """Numbers, counts and parts of phrases; codes and first parts rise and are held as differences."""
-    return pack(np.diff(before, prepend=0), after, np.diff(code, prepend=0).astype(np.int32), n.astype(np.int32))
+def pack_pairs(n: np.ndarray, before: np.ndarray, after: np.ndarray) -> bytes:
+    """Counts and parts of phrases; first parts rise and are held as differences."""
+    return pack(np.diff(before, prepend=0).astype("<i8"), after.astype("<i8"), n.astype("<i4"))
 
 
-def unpack_pairs(packed: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """code, n, before, after."""
-    before, after, code, n = unpack(packed, "<i8", "<i8", "<i4", "<i4")
-    return np.cumsum(code), n, np.cumsum(before), after
+def unpack_pairs(packed: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """n, before, after."""
+    before, after, n = unpack(packed, "<i8", "<i8", "<i4")
+    return n, np.cumsum(before), after
 
 
 def _slices(buckets: np.ndarray) -> tuple[np.ndarray, Iterator[tuple[int, int, int]]]:
@@ -118,6 +122,13 @@ def _slices(buckets: np.ndarray) -> tuple[np.ndarray, Iterator[tuple[int, int, i
     return order, zip(sorted_[cuts].tolist(), cuts.tolist(), [*cuts[1:].tolist(), len(order)])
 
 
+def _numbered_by(order: np.ndarray, relation: np.ndarray) -> bytes:
+    """The relation with its phrases numbered by their places in ``order``, packed."""
+    place = np.full(len(order) + 1, -1, "<i4")  # the last entry is for -1
+    place[order] = np.arange(len(order))
+    return pack(place[relation])
+
+
 # -- relations -----------------------------------------------------------------------------
 
 
@@ -174,10 +185,10 @@ def word_relation(docs: DataFrame, buckets: int, block_bytes: int = BLOCK_BYTES,
                 order, slices = _slices(of_lang * buckets + bucket_of[of_word])
                 spelled = spelling.take(pa.array(of_word[order]))
                 offsets, data = np.frombuffer(spelled.buffers()[1], np.int64), np.frombuffer(spelled.buffers()[2] or b"", np.uint8)
-                rows = [(number, own, relation.tobytes(), None, None, None, None)]
+                rows = [(number, own, _numbered_by(order, relation), None, None, None, None, None)]
                 for both, lo, hi in slices:
                     n = counts[order[lo:hi]]
-                    rows.append((number, own, None, both % buckets, names[both // buckets], int(n.sum()), pack_words(order[lo:hi], n, offsets[lo : hi + 1], data)))
+                    rows.append((number, own, None, both % buckets, lo, names[both // buckets], int(n.sum()), pack_words(n, offsets[lo : hi + 1], data)))
                 yield _level(rows)
                 number += 1
 
@@ -209,15 +220,15 @@ def next_relation(blocks: DataFrame, counted: DataFrame, buckets: int, persist:
         gid, code = (np.concatenate(x) for x in zip(*parts))
         order = np.argsort(gid)  # so that equal first parts of a phrase come together, with rising numbers
         gid, code = gid[order], code[order]
-        keys = extended(np.frombuffer(left["relation"][0].as_py(), np.int32), code)
+        keys = extended(unpack(left["relation"][0].as_py(), "<i4")[0], code)
         distinct, counts, relation = grouped(keys, own)
         first, second = np.divmod(distinct, len(gid))
         before, after = gid[first], gid[second]
         order, slices = _slices((mixed(mixed(before.astype(np.uint64)) + after.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64))
-        rows = [(block, own, relation.tobytes(), None, None, None, None)] if persist else []
+        rows = [(block, own, _numbered_by(order, relation), None, None, None, None, None)] if persist else []
         for bucket, lo, hi in slices:
             at = order[lo:hi]
-            rows.append((block, own, None, bucket, None, None, pack_pairs(at, counts[at], before[at], after[at])))
+            rows.append((block, own, None, bucket, lo, None, None, pack_pairs(counts[at], before[at], after[at])))
         return pa.Table.from_batches([_level(rows)] if rows else [], schema=_LEVEL)
 
     left = blocks.where(F.col("relation").isNotNull()).select("block", "own", "relation")
@@ -231,8 +242,8 @@ def next_relation(blocks: DataFrame, counted: DataFrame, buckets: int, persist:
 def _counter(keys_of: Callable[[list[bytes]], tuple], least: int) -> Callable[[dict], dict | None]:
     """The function that counts one bucket.
 
-    ``keys_of`` unpacks its rows: (code, n, keys as an Arrow array, row of each entry, and the
-    columns of the keys that are wanted).
+    ``keys_of`` unpacks its rows: (n, keys as an Arrow array, row of each entry, and the columns
+    of the keys that are wanted).
     """
     given = [0]  # numbers that this task has given; a task writes one part, so they are unique with its partition
 
@@ -240,7 +251,7 @@ def _counter(keys_of: Callable[[list[bytes]], tuple], least: int) -> Callable[[d
         out: dict[str, list] = {name.split(" ")[0]: [] for name in _COUNTED.split(", ")}
         for lang in sorted({*rows["lang"]}, key=str):  # one, None, beyond level 1
             mine = [k for k, x in enumerate(rows["lang"]) if x == lang]
-            code, n, keys, row, columns = keys_of([rows["packed"][k] for k in mine])
+            n, keys, row, columns = keys_of([rows["packed"][k] for k in mine])
             coded = keys.dictionary_encode()
             place = coded.indices.to_numpy(zero_copy_only=False)
             total = np.zeros(len(coded.dictionary), np.int64)
@@ -250,10 +261,10 @@ def _counter(keys_of: Callable[[list[bytes]], tuple], least: int) -> Callable[[d
             gid[chosen] = (TaskContext.get().partitionId() << 40) + given[0] + np.arange(len(chosen))
             given[0] += len(chosen)
             own = gid[place]
-            for k, at in enumerate(np.split(np.arange(len(own)), np.searchsorted(row, np.arange(1, len(mine))))):
-                at = at[own[at] >= 0]
+            for k, part in zip(mine, np.split(own, np.searchsorted(row, np.arange(1, len(mine))))):
+                at = np.flatnonzero(part >= 0)
                 if len(at):
-                    _append(out, block=rows["block"][mine[k]], packed=pack(own[at], code[at].astype(np.int32)))
+                    _append(out, block=rows["block"][k], packed=pack(part[at].astype("<i8"), (rows["first"][k] + at).astype("<i4")))
             for g, f, key in zip(gid[chosen].tolist(), total[chosen].tolist(), columns(coded.dictionary.take(pa.array(chosen)))):
                 _append(out, block=g, gid=g, lang=lang, f=f, **key)
         types = {"packed": pa.binary(), "lang": pa.string(), "word": pa.string()}
@@ -268,28 +279,28 @@ def _append(out: dict[str, list], **row) -> None:
 
 
 def _words_of(packed: list[bytes]) -> tuple:
-    code, n, lengths, data = zip(*map(unpack_words, packed))
-    row = np.repeat(np.arange(len(code)), list(map(len, code)))
+    n, lengths, data = zip(*map(unpack_words, packed))
+    row = np.repeat(np.arange(len(n)), list(map(len, n)))
     offsets = np.append(0, np.cumsum(np.concatenate(lengths), dtype=np.int64))
     keys = pa.Array.from_buffers(pa.large_binary(), len(row), [None, pa.py_buffer(offsets), pa.py_buffer(b"".join(data))])
-    return np.concatenate(code), np.concatenate(n), keys, row, lambda chosen: [{"word": w.decode()} for w in chosen.to_pylist()]
+    return np.concatenate(n), keys, row, lambda chosen: [{"word": w.decode()} for w in chosen.to_pylist()]
 
 
 def _pairs_of(packed: list[bytes]) -> tuple:
-    code, n, before, after = zip(*map(unpack_pairs, packed))
-    row = np.repeat(np.arange(len(code)), list(map(len, code)))
+    n, before, after = zip(*map(unpack_pairs, packed))
+    row = np.repeat(np.arange(len(n)), list(map(len, n)))
     both = np.stack([np.concatenate(before), np.concatenate(after)], axis=1)
     keys = pa.Array.from_buffers(pa.binary(16), len(row), [None, pa.py_buffer(both.tobytes())])
 
     def columns(chosen: pa.Array) -> list[dict]:
         return [{"before": int.from_bytes(k[:8], "little", signed=True), "after": int.from_bytes(k[8:], "little", signed=True)} for k in chosen.to_pylist()]
 
-    return np.concatenate(code), np.concatenate(n), keys, row, columns
+    return np.concatenate(n), keys, row, columns
 
 
 def counted_phrases(blocks: DataFrame, first: bool, least: int) -> DataFrame:
     """The frequent phrases (gid, f and their parts), and those of each block, packed."""
-    rows = blocks.where(F.col("packed").isNotNull()).select("bucket", "block", "lang", "packed")
+    rows = blocks.where(F.col("packed").isNotNull()).select("bucket", "block", "first", "lang", "packed")
     return by_group(rows, ["bucket"], ["block"], _counter(_words_of if first else _pairs_of, least), _COUNTED)
 
 
