@@ -43,7 +43,7 @@ KEEP = 0.5
 #: Hashed weights (as bits), lengths of byte n-grams; documents and characters of one that training may use; passes, rate, decay.
 BITS, CHAR_GRAMS, SAMPLE_DOCS, SAMPLE_CHARS, EPOCHS, RATE, DECAY = 18, (2, 3, 4), 4000, 3000, 6, 0.5, 1e-6
 #: Bytes of text of a slice; bytes of a text whose n-grams are held at once.
-SLICE_BYTES, CHUNK = 4 << 20, 1 << 22
+SLICE_BYTES, CHUNK = 1 << 20, 1 << 20
 _BLANK = byte_class(" \t\n\x0b\x0c\r")
 _SYMBOL = byte_class(SYMBOLS)
 _GROUPS = len(CHAR_GRAMS) + 2
@@ -175,7 +175,7 @@ def logits(texts: Texts, weights: np.ndarray, bias: float) -> np.ndarray:
     for group, doc, slot in gram_slots(texts):
         if len(doc):
             first = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
-            total[group, doc[first]] += np.add.reduceat(weights[group][slot].astype(np.float64), first)
+            total[group, doc[first]] += np.add.reduceat(weights[group][slot], first, dtype=np.float64)
             count[group, doc[first]] += np.diff(np.append(first, len(doc)))
     return bias + (total / np.maximum(count, 1)).sum(axis=0)
 
