@@ -1,13 +1,12 @@
-"""Trained churn models with pyspark.ml, their evaluation and attribution.
+"""Trained churn models, their evaluation and attribution.
 
 Preparation (winsorise, stratified split, median impute, population
 scaling, one-hot dropping the first level) comes from ``prep`` and is fitted
 on the training rows only; the fitted model and the prepared columns are
 re-used for scoring, so train and serve see the same transformation.
 
-* Logistic regression: L2 with weight 1/(C * sum of weights) per the
-  usual C=1 formulation, balanced class weights, no internal
-  standardisation (inputs are already scaled).
+* Logistic regression: L2 with C = 1, the intercept penalised like a weight, balanced
+  class weights; damped Newton steps (``logistic.py``), scored as one expression.
 * Random forest: 200 trees, depth 8, min 100 rows per leaf, sqrt feature
   subsets, balanced class weights, seed 42 (all parameters).
 """
@@ -17,7 +16,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -25,14 +24,24 @@ from pyspark.sql import functions as F
 
 from churnscope import config as C
 from churnscope.functions.columns import round6
-from churnscope.operators import prep
+from churnscope.operators import logistic, permute, prep
 from churnscope.operators.scoring import precision_at_top, roc_auc
 from churnscope.session import materialize
 
 
+Model = PipelineModel | logistic.LinearModel
+
+
+def with_score(model: Model, rows: DataFrame, name: str) -> DataFrame:
+    """``rows`` with prepared columns plus the model's probability of churn."""
+    if isinstance(model, logistic.LinearModel):
+        return rows.withColumn(name, model.probability())
+    return model.transform(rows).withColumn(name, vector_to_array("probability")[1]).drop("x", "rawPrediction", "probability", "prediction")
+
+
 @dataclass
 class Trained:
-    model: PipelineModel
+    model: Model
     features: list[str]
     frame: DataFrame  # labelled rows with split, class_weight and prepared columns
     score_col: str
@@ -43,14 +52,13 @@ class Trained:
 class Scorer:
     """A model with its fitted preparation: scores feature tables as they are."""
 
-    model: PipelineModel
+    model: Model
     prep: prep.FittedPrep
 
     def score(self, features: DataFrame) -> DataFrame:
         """The labelled customers of a feature table with flags and churn_risk_score, ready for targeting."""
         base = prep.model_base(features)
-        scored = self.model.transform(self.prep.apply(base))
-        return scored.select(*base.columns, vector_to_array("probability")[1].alias("churn_risk_score"))
+        return with_score(self.model, self.prep.apply(base), "churn_risk_score").select(*base.columns, "churn_risk_score")
 
 
 def prepare_for_models(features: DataFrame) -> tuple[DataFrame, prep.FittedPrep]:
@@ -69,12 +77,7 @@ def train_logistic(features: DataFrame, prepared=None) -> Trained:
     frame, fitted = prepared or prepare_for_models(features)
     cols = [c for c in fitted.features if c not in C.FLAG_FEATURES]
     train = frame.where(F.col("split") == "train")
-    n_train = train.count()
-    lr = LogisticRegression(featuresCol="x", labelCol="churn_label", weightCol="class_weight",
-                            regParam=1.0 / max(n_train, 1), elasticNetParam=0.0,
-                            standardization=False, maxIter=1000, tol=1e-8)
-    model = Pipeline(stages=[_assembler(cols), lr]).fit(
-        train.withColumn("churn_label", F.col("churn_label").cast("double")))
+    model = logistic.fit(train, [f"x_{c}" for c in cols], "churn_label", "class_weight")
     return Trained(model, cols, frame, "lr_score", fitted)
 
 
@@ -94,9 +97,7 @@ def train_forest(features: DataFrame, num_trees: int = 200, max_depth: int = 8,
 
 def scores(t: Trained, split: str | None = "test") -> DataFrame:
     rows = t.frame if split is None else t.frame.where(F.col("split") == split)
-    out = t.model.transform(rows)
-    return out.select("customer_id", "churn_label", "split",
-                      vector_to_array("probability")[1].alias(t.score_col))
+    return with_score(t.model, rows, t.score_col).select("customer_id", "churn_label", "split", t.score_col)
 
 
 def evaluation(t: Trained, name: str) -> DataFrame:
@@ -108,10 +109,8 @@ def evaluation(t: Trained, name: str) -> DataFrame:
 
 def lr_drivers(t: Trained, top: int = 10) -> DataFrame:
     """Top positive and negative coefficients by magnitude."""
-    coefs = t.model.stages[-1].coefficients.toArray().tolist()
     spark = t.frame.sparkSession
-    df = spark.createDataFrame(list(zip(t.features, [float(c) for c in coefs])),
-                               "feature string, coefficient double")
+    df = spark.createDataFrame(list(zip(t.features, t.model.coefficients)), "feature string, coefficient double")
     pos = (df.where("coefficient > 0").orderBy(F.desc(F.abs("coefficient")), "feature").limit(top)
            .select(F.lit("positive").alias("direction"), "feature", round6("coefficient").alias("coefficient")))
     neg = (df.where("coefficient < 0").orderBy(F.desc(F.abs("coefficient")), "feature").limit(top)
@@ -129,7 +128,7 @@ def forest_importance(t: Trained) -> DataFrame:
 
 def linear_attribution(t: Trained) -> DataFrame:
     """Exact linear attribution mean |w_j * (x_j - mean_j)| over the test rows, one pass."""
-    coefs = t.model.stages[-1].coefficients.toArray().tolist()
+    coefs = t.model.coefficients
     test = t.frame.where(F.col("split") == "test")
     means = t.frame.where(F.col("split") == "train").agg(
         *[F.avg(f"x_{c}").alias(f"_mu_{c}") for c in t.features])
@@ -143,55 +142,42 @@ def linear_attribution(t: Trained) -> DataFrame:
             .orderBy(F.desc("mean_abs_attribution"), "feature"))
 
 
-def permutation_importance(t: Trained, seed: int = C.SPLIT_SEED, block: int = 64) -> DataFrame:
-    """AUC drop when one feature's values are permuted across test rows.
-
-    The permutation is a cyclic shift inside hash buckets of about ``block``
-    rows (bucket and order both from the key hash), so every window holds
-    one bucket and the same permutation comes out of any partitioning.
-    Returns (feature, base_auc, permuted_auc, auc_drop) sorted by drop.
-    """
-    from pyspark.sql import Window
-
-    from churnscope.functions.columns import key_hash
-
+def permutation_importance(t: Trained, seed: int = C.SPLIT_SEED) -> DataFrame:
+    """AUC drop when one feature's values are permuted over all test rows (``permute.importance``)."""
     test = t.frame.where(F.col("split") == "test")
-    buckets = max(1, test.count() // block)
-    own = F.struct(*[F.col(f"x_{c}") for c in t.features])
-    w = Window.partitionBy("_b").orderBy("_h", "customer_id")
-    donor = F.coalesce(F.lead(own).over(w), F.first(own).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-    keyed = (test.withColumn("_b", F.pmod(key_hash("customer_id", seed), F.lit(buckets)))
-             .withColumn("_h", key_hash("customer_id", seed + 1)).withColumn("_donor", donor))
-    # one row for each row and permuted feature, and the rows as they are under the empty name
-    long = keyed.withColumn("feature", F.explode(F.array(F.lit(""), *map(F.lit, t.features))))
-    for c in t.features:
-        long = long.withColumn(f"x_{c}", F.when(F.col("feature") == c, F.col(f"_donor.x_{c}")).otherwise(F.col(f"x_{c}")))
-    scored = t.model.transform(long).select("feature", "churn_label", vector_to_array("probability")[1].alias("churn_risk_score"))
-    aucs = materialize(roc_auc(scored, by=["feature"]).select("feature", "roc_auc"))  # a row for each feature
-    base = aucs.where("feature = ''").select(F.col("roc_auc").alias("base_auc"))
-    return (aucs.where("feature <> ''").withColumnRenamed("roc_auc", "permuted_auc").crossJoin(F.broadcast(base))
-            .select("feature", "base_auc", "permuted_auc",
-                    round6(F.col("base_auc") - F.col("permuted_auc")).alias("auc_drop"))
-            .orderBy(F.desc("auc_drop"), "feature"))
+    return permute.importance(test, "customer_id", t.features, lambda rows: with_score(t.model, rows, "churn_risk_score"), seed, prefix="x_")
 
 
 class MissingModelError(FileNotFoundError):
     pass
 
 
+def _write_text(spark, text: str, path: str) -> None:
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
 def save_model(t: Trained, path: str) -> None:
-    """The model and its fitted preparation, under one folder."""
-    t.model.write().overwrite().save(f"{path}/model")
+    """The model and its fitted preparation, under one folder (``model`` or, of a linear one, ``linear``)."""
     spark = t.frame.sparkSession
-    spark.createDataFrame([(t.prep.to_json(),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/prep")
+    if isinstance(t.model, logistic.LinearModel):
+        _write_text(spark, t.model.to_json(), f"{path}/linear")
+    else:
+        t.model.write().overwrite().save(f"{path}/model")
+    _write_text(spark, t.prep.to_json(), f"{path}/prep")
 
 
 def load_model(spark, path: str) -> Scorer:
     """Load a saved model with its preparation; a named error (before any job) when it is absent."""
     jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(f"{path}/model")
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hpath):
+
+    def exists(name: str) -> bool:
+        hpath = jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
+        return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
+
+    linear = exists("linear")
+    if not linear and not exists("model"):
         raise MissingModelError(f"no model at {path}; train and save it first")
     fitted = prep.FittedPrep.from_json(spark.read.text(f"{path}/prep").first().value)
+    if linear:
+        return Scorer(logistic.LinearModel.from_json(spark.read.text(f"{path}/linear").first().value), fitted)
     return Scorer(PipelineModel.load(f"{path}/model"), fitted)

@@ -58,9 +58,8 @@ def roc_auc(df: DataFrame, score_col: str = "churn_risk_score",
                .groupBy(*by, F.col(score_col).cast("double").alias("s"))
                .agg(F.sum(F.col(label_col).cast("long")).alias("pos"),
                     F.sum((1 - F.col(label_col)).cast("long")).alias("neg")))
-    key, (high, middle, _) = order_key(counted, "s")
-    per = counted.select(*by, "pos", "neg", key.alias("k")).select(
-        "*", F.shiftright("k", high).alias("d1"), F.shiftright("k", middle).alias("d2"))
+    per = counted.select(*by, "pos", "neg", order_key(counted, "s").alias("k")).select(
+        "*", F.shiftright("k", 42).alias("d1"), F.shiftright("k", 21).alias("d2"))
 
     def below(rows: DataFrame, digit: str, above: list[str], name: str) -> DataFrame:
         w = Window.partitionBy(*by, *above).orderBy(digit).rowsBetween(Window.unboundedPreceding, -1)
@@ -105,3 +104,22 @@ def precision_at_top(df: DataFrame, fraction: float = C.TOP_FRACTION,
                .otherwise(F.lit(0.0))).alias("precision_at_k"),
         round6(F.when(F.col("k") > 0, F.col("positives_in_top") / F.col("k"))
                .otherwise(F.lit(0.0))).alias("hit_rate_at_k"))
+
+
+def scorecard_attribution(df: DataFrame) -> DataFrame:
+    """(feature, mean_abs_attribution): mean |coefficient * (x - mean x)| of each scorecard column, largest first."""
+    names = [c for c, _ in C.SCORECARD_COEFFICIENTS]
+    x = df.select(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in names])
+    means = x.agg(*[F.avg(c).alias(f"_mu_{c}") for c in names])
+    agg = x.crossJoin(F.broadcast(means)).agg(*[F.avg(F.abs(F.lit(w) * (F.col(c) - F.col(f"_mu_{c}")))).alias(c) for c, w in C.SCORECARD_COEFFICIENTS])
+    rows = F.array(*[F.struct(F.lit(c).alias("feature"), round6(c).alias("mean_abs_attribution")) for c in names])
+    return agg.select(F.inline(rows)).orderBy(F.desc("mean_abs_attribution"), "feature")
+
+
+def comparison(parts: dict[str, DataFrame]) -> DataFrame:
+    """(model, roc_auc, precision_at_k, hit_rate_at_k) of each named set of scored rows."""
+    out = None
+    for name, rows in parts.items():
+        one = roc_auc(rows).select("roc_auc").crossJoin(precision_at_top(rows).select("precision_at_k", "hit_rate_at_k")).select(F.lit(name).alias("model"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
