@@ -108,6 +108,12 @@ def round6(c: str | Column) -> Column:
     return F.round(col(c), C.SCORE_DECIMALS)
 
 
+def half_even(c: str | Column, decimals: int) -> Column:
+    """The value for display: scaled, rounded half to even, scaled back."""
+    scale = float(10**decimals)
+    return F.rint(col(c) * F.lit(scale)) / F.lit(scale)
+
+
 def fixed(c: str | Column, decimals: int) -> Column:
     """Fixed-point text like printf("%.<d>f"): half-even on the exact binary value."""
     return F.regexp_replace(F.format_number(col(c), decimals), ",", "")

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnscope import config as C
-from churnscope.functions.columns import pct, plan_revenue, ratio, round6
+from churnscope.functions.columns import half_even, pct, plan_revenue, ratio, round6
 from churnscope.functions.quantiles import rank_cutoff
 
 
@@ -175,7 +175,8 @@ def plan_contribution(cohort: DataFrame) -> DataFrame:
     tot = cohort.agg(F.sum("churn_risk_score").alias("_tot"))
     return (per.crossJoin(F.broadcast(tot))
             .select("plan", round6("expected_churn").alias("expected_churn"),
-                    round6(ratio(F.col("expected_churn") * 100, F.col("_tot"))).alias("contribution_pct"))
+                    round6(ratio(F.col("expected_churn") * 100, F.col("_tot"))).alias("contribution_pct"),
+                    half_even(ratio(F.col("expected_churn") * 100, F.col("_tot")), 1).alias("contribution_pct_1"))
             .orderBy(F.desc("expected_churn"), "plan"))
 
 

@@ -16,8 +16,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from churnscope import config as C
-from churnscope.functions.columns import churn_status, fixed, lifecycle_stage, pct, round6
-from churnscope.functions.quantiles import exact_percentiles, wide_percentiles
+from churnscope.functions.columns import churn_status, fixed, half_even, lifecycle_stage, pct, round6
+from churnscope.functions.quantiles import Wanted, percentiles_of, wide_percentiles
+from churnscope.session import materialize
 
 DESCRIBE_COLUMNS = [
     "active_days", "avg_sessions", "avg_usage_minutes", "avg_usage_last_30d",
@@ -144,42 +145,71 @@ def at_risk_by_plan(features: DataFrame) -> DataFrame:
 
 # ----------------------------------------------------- robust summaries ----
 
-def key_medians(features: DataFrame, include_soft_churn: bool = False) -> DataFrame:
-    """Exact medians of the reported columns: one unpivoted grouped pass."""
-    long = _long(labelled(features, include_soft_churn), C.KEY_MEDIAN_COLUMNS)
-    med = exact_percentiles(long, "value", [0.5], by=["feature"])
+QUARTILES = (0.25, 0.5, 0.75)
+STATUS_COLUMNS = ("usage_trend_30d", "recency_days", "total_tickets")
+
+
+def quartiles(features: DataFrame, columns: Sequence[str] = DESCRIBE_COLUMNS, status_columns: Sequence[str] = STATUS_COLUMNS,
+              include_soft_churn: bool = False) -> DataFrame:
+    """(column, grouping, of, p, value): the quartiles of the columns, over all rows and by churn status, in one selection.
+
+    The summaries below take this frame as ``selected``, so that a report selects once.
+    """
+    wanted = [Wanted(c, QUARTILES) for c in columns] + [Wanted(c, QUARTILES, "churn_status") for c in status_columns]
+    return materialize(percentiles_of(labelled(features, include_soft_churn), wanted))  # a row for each percentile
+
+
+def _by_status(selected: DataFrame, columns: Sequence[str]) -> DataFrame:
+    rows = selected.where((F.col("grouping") == "churn_status") & F.col("column").isin(*columns))
+    return rows.select(F.col("of").alias("churn_status"), F.col("column").alias("feature"), "p", "value")
+
+
+def _overall(selected: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return selected.where((F.col("grouping") == "") & F.col("column").isin(*columns)).select(F.col("column").alias("feature"), "p", "value")
+
+
+def key_medians(features: DataFrame, include_soft_churn: bool = False, selected: DataFrame | None = None) -> DataFrame:
+    """Exact medians of the reported columns."""
+    if selected is None:
+        selected = quartiles(features, C.KEY_MEDIAN_COLUMNS, (), include_soft_churn)
+    med = _overall(selected, C.KEY_MEDIAN_COLUMNS).where(F.col("p") == 0.5)
     return med.select("feature", round6("value").alias("median"))
 
 
-def medians_by_status(features: DataFrame,
-                      columns: Sequence[str] = ("usage_trend_30d", "recency_days",
-                                                "total_tickets"),
-                      include_soft_churn: bool = False) -> DataFrame:
-    long = _long(labelled(features, include_soft_churn), columns, keep=["churn_status"])
-    med = exact_percentiles(long, "value", [0.5], by=["churn_status", "feature"])
+def medians_by_status(features: DataFrame, columns: Sequence[str] = STATUS_COLUMNS, include_soft_churn: bool = False,
+                      selected: DataFrame | None = None) -> DataFrame:
+    if selected is None:
+        selected = quartiles(features, (), columns, include_soft_churn)
+    med = _by_status(selected, columns).where(F.col("p") == 0.5)
     return med.select("churn_status", "feature", round6("value").alias("median"))
 
 
 def numeric_describe(features: DataFrame, columns: Sequence[str] = DESCRIBE_COLUMNS,
-                     include_soft_churn: bool = False) -> DataFrame:
-    """count, mean, std (n-1), min, quartiles, max per column, one long pass."""
+                     include_soft_churn: bool = False, selected: DataFrame | None = None) -> DataFrame:
+    """count, mean, std (n-1), min, quartiles, max per column, one long pass.
+
+    The ``_2`` columns are the values as displayed, rounded half to even to 2 decimals.
+    """
+    if selected is None:
+        selected = quartiles(features, columns, (), include_soft_churn)
     long = _long(labelled(features, include_soft_churn), columns).where(F.col("value").isNotNull())
     moments = long.groupBy("feature").agg(
         F.count(F.lit(1)).alias("count"), F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
         F.max("value").alias("max"))
-    q = exact_percentiles(long, "value", [0.25, 0.5, 0.75], by=["feature"])
-    qw = wide_percentiles(q, ["feature"], {0.25: "p25", 0.5: "p50", 0.75: "p75"})
+    qw = wide_percentiles(_overall(selected, columns), ["feature"], {0.25: "p25", 0.5: "p50", 0.75: "p75"})
     out = moments.join(qw, "feature", "left")
-    return out.select("feature", "count", *[round6(c).alias(c) for c in
-                                           ["mean", "std", "min", "p25", "p50", "p75", "max"]])
+    shown = ["mean", "std", "min", "p25", "p50", "p75", "max"]
+    return out.select("feature", "count", *[round6(c).alias(c) for c in shown],
+                      *[half_even(c, 2).alias(f"{c}_2") for c in shown])
 
 
-def box_summary(features: DataFrame, column: str, include_soft_churn: bool = False) -> DataFrame:
+def box_summary(features: DataFrame, column: str, include_soft_churn: bool = False, selected: DataFrame | None = None) -> DataFrame:
     """Box-plot numbers by churn status: quartiles, 1.5 IQR whiskers, outliers."""
+    if selected is None:
+        selected = quartiles(features, (), (column,), include_soft_churn)
     lab = labelled(features, include_soft_churn).where(F.col(column).isNotNull())
-    q = exact_percentiles(lab, column, [0.25, 0.5, 0.75], by=["churn_status"])
-    qw = wide_percentiles(q, ["churn_status"], {0.25: "q1", 0.5: "median", 0.75: "q3"})
+    qw = wide_percentiles(_by_status(selected, [column]), ["churn_status"], {0.25: "q1", 0.5: "median", 0.75: "q3"})
     qw = qw.withColumn("iqr", F.col("q3") - F.col("q1"))
     lo = F.col("q1") - 1.5 * F.col("iqr")
     hi = F.col("q3") + 1.5 * F.col("iqr")
@@ -233,6 +263,60 @@ def recency_kde(features: DataFrame) -> DataFrame:
     return kde_by_group(with_stage(features), "recency_days", "lifecycle_stage")
 
 
+def density_by_group(df: DataFrame, column: str, group: str, gridsize: int = 200, cut: float = 0.0,
+                     per_bandwidth: int = 16, reach: float = 5.0) -> DataFrame:
+    """Gaussian KDE of a continuous column per group (Scott bandwidth, each group normalised to 1).
+
+    Linear binning: each row is shared between the two nearest points of a fine grid, a
+    ``per_bandwidth``-th of the bandwidth apart, in proportion to its nearness.  So the kernel
+    sum runs over fine grid points, at most per_bandwidth * range / bandwidth of them, however
+    many rows there are, and each meets the output grid only within ``reach`` bandwidths.
+    Groups with < 2 rows or zero spread are skipped.
+    """
+    base = df.where(F.col(column).isNotNull()).select(group, F.col(column).cast("double").alias("x"))
+    stats = base.groupBy(group).agg(
+        F.count(F.lit(1)).alias("n"), F.stddev_samp("x").alias("sd"),
+        F.min("x").alias("lo"), F.max("x").alias("hi"))
+    stats = stats.where((F.col("n") >= 2) & (F.col("sd") > 0)).withColumn(
+        "bw", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
+    stats = stats.select(group, "n", "bw", "lo", (F.col("bw") / per_bandwidth).alias("delta"),
+                         (F.col("lo") - F.col("bw") * cut).alias("g0"),
+                         ((F.col("hi") - F.col("lo") + 2 * F.col("bw") * cut) / (gridsize - 1)).alias("step"))
+    place = (F.col("x") - F.col("lo")) / F.col("delta")
+    placed = base.join(F.broadcast(stats.select(group, "lo", "delta")), group).select(group, F.floor(place).alias("j"), (place - F.floor(place)).alias("f"))
+    sides = placed.groupBy(group, "j").agg(F.sum(1 - F.col("f")).alias("near"), F.sum("f").alias("far"))
+    points = sides.select(group, F.inline(F.array(F.struct(F.col("j"), F.col("near").alias("w")), F.struct((F.col("j") + 1).alias("j"), F.col("far").alias("w")))))
+    points = points.groupBy(group, "j").agg(F.sum("w").alias("w")).join(F.broadcast(stats), group)
+    points = points.withColumn("centre", F.col("lo") + F.col("j") * F.col("delta"))
+    first = F.greatest(F.ceil((F.col("centre") - F.col("bw") * reach - F.col("g0")) / F.col("step")), F.lit(0))
+    last = F.least(F.floor((F.col("centre") + F.col("bw") * reach - F.col("g0")) / F.col("step")), F.lit(gridsize - 1))
+    near = points.withColumn("first", first).withColumn("last", last).where("first <= last").withColumn("grid_idx", F.explode(F.sequence("first", "last")))
+    z = (F.col("g0") + F.col("grid_idx") * F.col("step") - F.col("centre")) / F.col("bw")
+    sums = near.groupBy(group, "grid_idx").agg(F.sum(F.col("w") * F.exp(-0.5 * z * z)).alias("s"))
+    grid = stats.withColumn("grid_idx", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(gridsize - 1).cast("bigint"))))
+    out = grid.join(sums, [group, "grid_idx"], "left")
+    return out.select(group, F.col("grid_idx").cast("int").alias("grid_idx"), round6(F.col("g0") + F.col("grid_idx") * F.col("step")).alias("grid_x"),
+                      round6(F.coalesce("s", F.lit(0.0)) / (F.col("n") * F.col("bw") * math.sqrt(2 * math.pi))).alias("density"))
+
+
+def usage_minutes_density(features: DataFrame, include_soft_churn: bool = False) -> DataFrame:
+    """The density curve over the mean daily minutes, by status."""
+    return density_by_group(labelled(features, include_soft_churn), "avg_usage_minutes", "churn_status")
+
+
+def usage_trend_density(features: DataFrame, least: int = 100, include_soft_churn: bool = False) -> DataFrame:
+    """The density curve over the usage-trend histogram, by status.
+
+    Drawn only for at least ``least`` customers with a trend, and if both statuses occur;
+    otherwise there are no rows.
+    """
+    lab = labelled(features, include_soft_churn)
+    known = lab.where(F.col("usage_trend_30d").isNotNull())
+    drawn = known.agg(F.count(F.lit(1)).alias("_n"), F.count_distinct("churn_status").alias("_statuses"))
+    drawn = drawn.where((F.col("_n") >= least) & (F.col("_statuses") > 1)).select(F.lit(True).alias("_drawn"))
+    return density_by_group(known, "usage_trend_30d", "churn_status").crossJoin(F.broadcast(drawn)).drop("_drawn")
+
+
 def histogram(df: DataFrame, column: str, bins: int, by: Sequence[str] = (),
               value_range: tuple[float, float] | None = None) -> DataFrame:
     """Equal-width bins shared by all groups; last bin closed on the right.
@@ -275,7 +359,7 @@ def usage_trend_histogram(features: DataFrame, bins: int = 50, include_soft_chur
 
 # ------------------------------------------------------------- insights ----
 
-def key_insights(features: DataFrame) -> DataFrame:
+def key_insights(features: DataFrame, selected: DataFrame | None = None) -> DataFrame:
     """The eight findings as (insight_id, value, text) rows."""
     lab = labelled(features)
     rate = lambda key: lab.groupBy(key).agg(*_rate_aggs())
@@ -299,7 +383,7 @@ def key_insights(features: DataFrame) -> DataFrame:
         F.col("plan").alias("ap"), F.col("at_risk_pct").alias("apct"))
     overall = lab.agg(*_rate_aggs()).select(
         F.col("churned").alias("oc"), F.col("active").alias("oa"), F.col("churn_rate").alias("orate"))
-    med = medians_by_status(features).groupBy().pivot("feature").agg(
+    med = medians_by_status(features, selected=selected).groupBy().pivot("feature").agg(
         *[F.first(F.when(F.col("churn_status") == s, F.col("median")), ignorenulls=True)
           .alias(s) for s in (C.STATUS_CHURNED, C.STATUS_ACTIVE)])
     one = (hi_plan.crossJoin(lo_plan).crossJoin(hi_region).crossJoin(funnel)
@@ -344,7 +428,8 @@ def key_insights(features: DataFrame) -> DataFrame:
 
 
 def report(features: DataFrame) -> dict[str, DataFrame]:
-    """Every exploration table, keyed by name (compute them together)."""
+    """Every exploration table, keyed by name (compute them together); all quartiles come from one selection."""
+    selected = quartiles(features)
     return {
         "lifecycle_distribution": lifecycle_distribution(features),
         "lifecycle_by_plan": lifecycle_by_plan(features),
@@ -353,14 +438,15 @@ def report(features: DataFrame) -> dict[str, DataFrame]:
         "churn_rate_overall": churn_rate_overall(features),
         "churn_by_plan": churn_by(features, "plan"),
         "churn_by_region": churn_by(features, "region"),
-        "key_medians": key_medians(features),
-        "medians_by_status": medians_by_status(features),
-        "numeric_describe": numeric_describe(features),
-        "recency_box": box_summary(features, "recency_days"),
-        "tickets_box": box_summary(features, "total_tickets"),
+        "key_medians": key_medians(features, selected=selected),
+        "medians_by_status": medians_by_status(features, selected=selected),
+        "numeric_describe": numeric_describe(features, selected=selected),
+        "recency_box": box_summary(features, "recency_days", selected=selected),
+        "tickets_box": box_summary(features, "total_tickets", selected=selected),
         "recency_kde": recency_kde(features),
         "usage_trend_histogram": usage_trend_histogram(features),
-        "key_insights": key_insights(features),
+        "usage_trend_density": usage_trend_density(features),
+        "key_insights": key_insights(features, selected),
     }
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from churnscope import config as C
 from churnscope.functions.columns import clip, key_hash
-from churnscope.functions.quantiles import exact_percentiles, rank_cutoff, wide_percentiles
+from churnscope.functions.quantiles import Wanted, percentiles_of, rank_cutoff, wide_percentiles
 from churnscope.operators.features import risk_flags
 from churnscope.session import materialize
 
@@ -31,11 +31,9 @@ def model_base(features: DataFrame) -> DataFrame:
 
 
 def winsor_bounds(base: DataFrame, columns: Sequence[str] = C.WINSORIZE_FEATURES) -> DataFrame:
-    """Exact p1/p99 per column over all labelled rows: (feature, p1, p99), one grouped pass."""
-    long = base.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value"))
-        for c in columns])))
-    q = exact_percentiles(long, "value", [C.WINSOR_LOWER, C.WINSOR_UPPER], by=["feature"])
+    """Exact p1/p99 per column over all labelled rows: (feature, p1, p99), in one selection."""
+    q = percentiles_of(base, [Wanted(c, (C.WINSOR_LOWER, C.WINSOR_UPPER)) for c in columns])
+    q = q.select(F.col("column").alias("feature"), "p", "value")
     return wide_percentiles(q, ["feature"], {C.WINSOR_LOWER: "p1", C.WINSOR_UPPER: "p99"}).select(
         "feature", "p1", "p99")
 
@@ -93,11 +91,8 @@ def stratified_split(base: DataFrame, seed: int = C.SPLIT_SEED,
 
 def fit_medians(train: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row: exact median per column (computed on the training rows)."""
-    long = train.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value"))
-        for c in columns])))
-    med = exact_percentiles(long, "value", [0.5], by=["feature"])
-    return med.agg(*[F.first(F.when(F.col("feature") == c, F.col("value")), ignorenulls=True)
+    med = percentiles_of(train, [Wanted(c, (0.5,)) for c in columns])
+    return med.agg(*[F.first(F.when(F.col("column") == c, F.col("value")), ignorenulls=True)
                      .alias(c) for c in columns])
 
 
