@@ -23,7 +23,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
@@ -42,7 +41,7 @@ def main() -> None:
     from churnscope.operators import prep, scenario, scoring
     from churnscope.plans.layers import read_layer, run_pipeline
     from churnscope.plans.runner import force_all
-    from churnscope.session import drop_scratch, ensure_checkpoint_dir, local_session, materialize
+    from churnscope.session import drop_scratch, ensure_checkpoint_dir, local_session, materialize, shared_path
 
     spark = local_session(cpus, shuffle_partitions=int(cpus) * 2)
     ensure_checkpoint_dir(spark)
@@ -62,7 +61,7 @@ def main() -> None:
           .groupBy("r_name").agg(F.count(F.lit(1))))
 
     def workloads(timings: dict[str, float]) -> None:
-        out_root = tempfile.mkdtemp(prefix="churnscope-bench-")
+        out_root = shared_path(spark, "bench")
         result = {}
         timed(timings, "build_layers",
               lambda: result.setdefault("p", run_pipeline(spark, sf_dir, out_root)))

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from churnscope import config as C
+from churnscope.session import materialize
 from churnscope.functions.columns import churn_label, days_between, flag, ratio, round_to_int
 
 FEATURE_COLUMNS = [
@@ -112,7 +113,11 @@ def usage_customer_day(clean: DataFrame) -> DataFrame:
 
 def usage_features(usage: DataFrame, stats: UsageStats) -> DataFrame:
     """usage_agg + usage_trends in one grouped pass (same key)."""
-    daily = usage_customer_day(usage_clean(usage, stats))
+    return usage_from_days(usage_customer_day(usage_clean(usage, stats)), stats)
+
+
+def usage_from_days(daily: DataFrame, stats: UsageStats) -> DataFrame:
+    """Level 2: the usage features of each customer, from its days."""
     d = F.col("date")
     recent = d >= F.date_sub(stats.max_date, C.TREND_RECENT_DAYS)
     prior = (d >= F.date_sub(stats.max_date, C.TREND_PRIOR_DAYS)) & \
@@ -171,6 +176,26 @@ def billing_agg(billing: DataFrame, stats: UsageStats) -> DataFrame:
     )
 
 
+def billing_customer_day(billing: DataFrame) -> DataFrame:
+    """(customer, day) counts of distinct bills with an issue, failed ones and zero-paid ones."""
+    st = F.col("payment_status")
+    return billing_clean(billing).groupBy("customer_id", "bill_date").agg(
+        F.sum(F.when(st.isin("late", "failed"), 1).otherwise(0)).alias("n_issues"),
+        F.sum(F.when(st == "failed", 1).otherwise(0)).alias("n_failed"),
+        F.sum("is_zero_paid_flag").alias("n_zero_paid"),
+    )
+
+
+def billing_from_days(daily: DataFrame, stats: UsageStats) -> DataFrame:
+    """billing_agg from the days of each customer."""
+    recent = F.col("bill_date") >= F.date_sub(stats.max_date, C.TREND_RECENT_DAYS)
+    return daily.groupBy("customer_id").agg(
+        F.sum("n_issues").alias("total_payment_issues"),
+        F.sum(F.when(recent, F.col("n_failed")).otherwise(0)).alias("failed_payments_30d"),
+        F.sum("n_zero_paid").alias("zero_paid_anomalies"),
+    )
+
+
 # -------------------------------------------------------------- support ----
 
 def support_customer_day(support: DataFrame) -> DataFrame:
@@ -190,15 +215,56 @@ def _with_signup(daily: DataFrame, customers: DataFrame) -> DataFrame:
                         F.col("ticket_date").cast("timestamp_ntz") < F.col("signup_date")))
 
 
+#: Copies of a heavy hitter's customer row, and so the parts its tickets are dealt into.
+TICKET_SALTS = 64
+
+
+def heavy_hitters(tickets: DataFrame, parts: int) -> DataFrame:
+    """(customer_id, _heavy) of customers with more than a quarter of a task's even share of the rows.
+
+    Counted exactly, with map-side sums.  Of n rows over ``parts`` tasks these are fewer than
+    4 * parts customers, so the result may be broadcast.
+    """
+    counts = tickets.groupBy("customer_id").agg(F.count(F.lit(1)).alias("_c"))
+    total = counts.agg(F.sum("_c").alias("_n"))
+    heavy = counts.crossJoin(F.broadcast(total)).where(F.col("_c") * (4 * parts) > F.col("_n"))
+    return heavy.where(F.col("customer_id").isNotNull()).select("customer_id", F.lit(True).alias("_heavy"))
+
+
+def salted_tickets(tickets: DataFrame, heavy: DataFrame, salts: int = TICKET_SALTS) -> DataFrame:
+    """``tickets`` with ``_salt``: 0, or for heavy hitters a number below ``salts`` by the row's place."""
+    place = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(salts)).cast("int")
+    marked = tickets.join(F.broadcast(heavy), "customer_id", "left")
+    return marked.withColumn("_salt", F.when(F.col("_heavy"), place).otherwise(F.lit(0))).drop("_heavy")
+
+
+def join_customers_salted(tickets: DataFrame, customers: DataFrame, salts: int = TICKET_SALTS) -> DataFrame:
+    """Inner join of tickets with their customer's row; a heavy hitter's row is copied once for each salt.
+
+    The other customers' tickets join as they are, so no task gets more than a
+    ``salts``-th of one customer's tickets, whatever its share of all rows.
+    """
+    parts = int(tickets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    heavy = materialize(heavy_hitters(tickets, parts))
+    copies = F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    right = customers.join(F.broadcast(heavy), "customer_id", "left").withColumn("_salt", F.explode(copies)).drop("_heavy")
+    return salted_tickets(tickets, heavy, salts).join(right, ["customer_id", "_salt"]).drop("_salt")
+
+
 def support_clean(support: DataFrame, customers: DataFrame) -> DataFrame:
     signup = customers.select("customer_id", "signup_date")
-    return (support.join(signup, "customer_id", "inner")
+    return (join_customers_salted(support, signup)
             .where(F.col("ticket_date").cast("timestamp_ntz") >= F.col("signup_date"))
             .select("customer_id", "ticket_date", "category", "priority"))
 
 
 def support_agg(support: DataFrame, customers: DataFrame) -> DataFrame:
-    kept = _with_signup(support_customer_day(support), customers).where(~F.col("_pre_signup"))
+    return support_from_days(support_customer_day(support), customers)
+
+
+def support_from_days(daily: DataFrame, customers: DataFrame) -> DataFrame:
+    """support_agg from the days of each customer."""
+    kept = _with_signup(daily, customers).where(~F.col("_pre_signup"))
     return kept.groupBy("customer_id").agg(
         F.sum("n_tickets").alias("total_tickets"),
         F.sum("n_high").alias("high_priority_tickets"),
@@ -229,6 +295,32 @@ def churn_features(tables: dict[str, DataFrame], stats: UsageStats | None = None
     uf = usage_features(usage, stats)
     ba = billing_agg(tables["billing"], stats)
     sa = support_agg(tables["support"], customers)
+    return _assembled(customers, uf, ba, sa, stats)
+
+
+def churn_features_from_days(days: dict[str, DataFrame], stats: UsageStats) -> DataFrame:
+    """The same table from the (customer, day) roll-ups ``usage``, ``billing`` and ``support`` and ``customers``.
+
+    Over layers that are bucketed by customer_id no aggregate and no join needs a shuffle.
+    """
+    customers = days["customers"]
+    return _assembled(customers, usage_from_days(days["usage"], stats), billing_from_days(days["billing"], stats),
+                      support_from_days(days["support"], customers), stats)
+
+
+def recent_trends(customers: DataFrame, months: DataFrame, stats: UsageStats) -> DataFrame:
+    """usage_trends of every customer, from the roll-up by month: only the months of the last 60 days are read.
+
+    ``stats`` should be resolved, so that the bounds are literals and prune partitions.
+    """
+    first = F.date_sub(stats.max_date, C.TREND_PRIOR_DAYS)
+    recent = months.where((F.col("month") >= F.date_format(first, "yyyyMM").cast("int")) & (F.col("date") >= first))
+    trends = usage_from_days(recent, stats).select("customer_id", "avg_usage_last_30d", "avg_usage_prev_30d")
+    return customers.select("customer_id").join(trends, "customer_id", "left").withColumn(
+        "usage_trend_30d", F.col("avg_usage_last_30d") - F.col("avg_usage_prev_30d"))
+
+
+def _assembled(customers: DataFrame, uf: DataFrame, ba: DataFrame, sa: DataFrame, stats: UsageStats) -> DataFrame:
     rec = days_between(F.col("last_active_date"), stats.max_date)
     joined = (customers
               .join(uf, "customer_id", "left")

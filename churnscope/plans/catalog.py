@@ -158,6 +158,8 @@ for _name, _fn in {
     "numeric_describe": ex.numeric_describe,
     "recency_kde": ex.recency_kde,
     "usage_trend_histogram": ex.usage_trend_histogram,
+    "usage_trend_density": ex.usage_trend_density,
+    "usage_minutes_density": ex.usage_minutes_density,
     "key_insights": ex.key_insights,
 }.items():
     query(_name)((lambda fn, once: lambda t: fn(feat.churn_features(t) if once else _features(t)))(_fn, _name in _ONE_SCAN))
@@ -549,8 +551,45 @@ def _export_churn_features(spark, sf_dir: str) -> DataFrame:
     return pl.read_layer(spark, path)
 
 
+def _rebuilt(spark, sf_dir: str) -> pl.Layers:
+    """All layers, built under the shared folder."""
+    root = shared_path(spark, "layers")
+    pl.run_pipeline(spark, sf_dir, root)
+    return pl.Layers(spark, root)
+
+
+@raw_query("layer_profile")
+def _layer_profile(spark, sf_dir: str) -> DataFrame:
+    """Row counts of the rebuilt staging and analytics layers, from their file footers."""
+    found = _rebuilt(spark, sf_dir).info()
+    return pl.footer_counts(spark, {name: x.path for name, x in found.items() if name.split(".")[0] in ("staging", "analytics")})
+
+
+@raw_query("layer_usage_range")
+def _layer_usage_range(spark, sf_dir: str) -> DataFrame:
+    """First and last usage date of the rebuilt staging layer, from its file footers."""
+    return pl.footer_range(spark, _rebuilt(spark, sf_dir).info()["staging.usage_daily"].path, "date")
+
+
+@raw_query("layer_churn_features")
+def _layer_churn_features(spark, sf_dir: str) -> DataFrame:
+    """The feature table from the bucketed roll-ups of a rebuild, without a shuffle."""
+    layers = _rebuilt(spark, sf_dir)
+    stats = feat.UsageStats.resolved(layers.read("staging.usage_daily"))
+    return feat.churn_features_from_days({name: layers.read(f"days.{name}") for name in pl.DAYS}, stats)
+
+
+@raw_query("recent_trends")
+def _recent_trends(spark, sf_dir: str) -> DataFrame:
+    """The usage trend of every customer, from the last months of the roll-up by month."""
+    layers = _rebuilt(spark, sf_dir)
+    stats = feat.UsageStats.resolved(layers.read("staging.usage_daily"))
+    return feat.recent_trends(layers.read("staging.customers"), layers.read("months.usage"), stats)
+
+
 # --------------------------------------------------------------- models ----
 
+from churnscope.operators import forest, permute  # noqa: E402
 from churnscope.operators import models as ml  # noqa: E402
 
 
@@ -616,6 +655,32 @@ def _linear_attribution(spark, sf_dir: str) -> DataFrame:
     return ml.linear_attribution(_trained(spark, sf_dir, "lr")[0])
 
 
+@raw_query("forest_attribution")
+def _forest_attribution(spark, sf_dir: str) -> DataFrame:
+    """Mean absolute Shapley value of each feature of the forest over the first 1000 test rows."""
+    return forest.forest_attribution(_trained(spark, sf_dir, "rf")[0])
+
+
+@query("scorecard_permutation")
+def _scorecard_permutation(t: Tables) -> DataFrame:
+    """The permutation importance of the scorecard's columns over all labelled customers."""
+    columns = ["plan", *(c for c, _ in C.SCORECARD_COEFFICIENTS)]
+    return permute.importance(_scored(t), "customer_id", columns, scoring.score)
+
+
+@query("scorecard_attribution")
+def _scorecard_attribution(t: Tables) -> DataFrame:
+    """Exact linear attribution of the scorecard: mean |w * (x - mean)| of each feature."""
+    return scoring.scorecard_attribution(_scored(t))
+
+
+@query("scorecard_comparison")
+def _scorecard_comparison(t: Tables) -> DataFrame:
+    """The model comparison table for the scorecard on the test and on the training rows."""
+    split = materialize(prep.stratified_split(_scored(t)))
+    return scoring.comparison({name: split.where(F.col("split") == name) for name in ("test", "train")})
+
+
 @query("cohort_insights")
 def _cohort_insights(t: Tables) -> DataFrame:
     s = _scored(t)

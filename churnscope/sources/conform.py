@@ -73,24 +73,23 @@ def conform_customers(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def _lines_with_customer(spark: SparkSession, root: str, line_cols: list[str],
-                         order_cols: list[str], line_filter: Column | None = None,
-                         order_filter: Column | None = None) -> DataFrame:
-    lines = read_table(spark, root, "lineitem").select("l_orderkey", *line_cols)
-    if line_filter is not None:
-        lines = lines.where(line_filter)
-    orders = read_table(spark, root, "orders").select("o_orderkey", "o_custkey", *order_cols)
-    if order_filter is not None:
-        orders = orders.where(order_filter)
-    return lines.join(orders, lines.l_orderkey == orders.o_orderkey, "inner")
-
-
-def conform_usage(spark: SparkSession, root: str) -> DataFrame:
+_LINE_COLUMNS = ["l_shipdate", "l_linenumber", "l_extendedprice", "l_quantity", "l_returnflag", "l_linestatus"]
+
+
+def customer_lines(spark: SparkSession, root: str) -> DataFrame:
+    """The order lines with their customer and priority: what usage and support have in common.
+
+    Each query reads the columns that it needs of it.  A rebuild of both tables writes it out
+    once, so that the join runs once.
+    """
+    lines = read_table(spark, root, "lineitem").select("l_orderkey", *_LINE_COLUMNS)
+    orders = read_table(spark, root, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    return lines.join(orders, lines.l_orderkey == orders.o_orderkey, "inner").drop("l_orderkey", "o_orderkey")
+
+
+def conform_usage(spark: SparkSession, root: str, lines: DataFrame | None = None) -> DataFrame:
     """usage_daily; several rows per customer-day are possible by design."""
-    joined = _lines_with_customer(
-        spark, root,
-        ["l_shipdate", "l_linenumber", "l_extendedprice", "l_quantity"], [],
-    )
+    joined = customer_lines(spark, root) if lines is None else lines
     return joined.select(
         F.col("o_custkey").alias("customer_id"),
         F.col("l_shipdate").cast("date").alias("date"),
@@ -126,11 +125,9 @@ def conform_billing(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def conform_support(spark: SparkSession, root: str) -> DataFrame:
-    joined = _lines_with_customer(
-        spark, root, ["l_shipdate", "l_linenumber"], ["o_orderpriority"],
-        line_filter=(F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F"),
-    )
+def conform_support(spark: SparkSession, root: str, lines: DataFrame | None = None) -> DataFrame:
+    joined = customer_lines(spark, root) if lines is None else lines
+    joined = joined.where((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F"))
     category = (F.when(F.col("l_linenumber") == 1, F.lit("billing"))
                 .when(F.col("l_linenumber") <= 3, F.lit("technical"))
                 .otherwise(F.lit("onboarding")))
@@ -145,11 +142,11 @@ def conform_support(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def conformed_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """The four raw input tables as lazy DataFrames."""
+def conformed_tables(spark: SparkSession, root: str, lines: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The four raw input tables as lazy DataFrames; ``lines``: customer_lines, if they are written out."""
     return {
         "customers": conform_customers(spark, root),
-        "usage_daily": conform_usage(spark, root),
+        "usage_daily": conform_usage(spark, root, lines),
         "billing": conform_billing(spark, root),
-        "support": conform_support(spark, root),
+        "support": conform_support(spark, root, lines),
     }

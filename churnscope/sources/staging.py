@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from churnscope.config import STAGING_SCHEMAS
-from churnscope.sources.conform import conformed_tables
+from churnscope.session import materialize
+from churnscope.sources.conform import conformed_tables, customer_lines
 
 
 class SchemaDriftError(ValueError):
@@ -30,6 +31,9 @@ def stage_all(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {name: stage_table(raw[name], schema) for name, schema in STAGING_SCHEMAS.items()}
 
 
-def staged_from_root(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """Conform the test tables found under ``root`` and stage them."""
-    return stage_all(conformed_tables(spark, root))
+def staged_from_root(spark: SparkSession, root: str, all_at_once: bool = False) -> dict[str, DataFrame]:
+    """Conform the test tables found under ``root`` and stage them.
+
+    ``all_at_once``: the caller computes all of them, so what several share is written out first.
+    """
+    return stage_all(conformed_tables(spark, root, materialize(customer_lines(spark, root)) if all_at_once else None))

@@ -36,7 +36,7 @@ def test_every_key_has_a_callable_and_oracles_are_keys(spark):
     rows_only = set(q) - set(o)
     assert rows_only == {"lr_scores", "rf_scores", "risk_scores", "model_comparison",
                          "lr_top_drivers", "rf_importance", "linear_attribution",
-                         "permutation_importance", "forest_target_cohort", "forest_business_summary"}
+                         "permutation_importance", "forest_target_cohort", "forest_business_summary", "forest_attribution"}
 
 
 def test_invariants(spark, tables):
@@ -81,9 +81,9 @@ def test_pipeline_writes_layers(spark, tmp_path):
     assert len(dq) == 6
     for name, check in CHECK_TABLES.items():
         assert [(r.check_name, r.table_name) for r in read_layer(spark, res.paths[f"dq.{name}"]).collect()] == [check]
-    # rerun is an idempotent overwrite
+    # a rerun is a full rebuild with the same rows
     res2 = run_pipeline(spark, SF_SMALL, str(tmp_path))
-    assert res2.counts == res.counts
+    assert res2.counts == res.counts and res2.version != res.version
     with pytest.raises(MissingLayerError):
         read_layer(spark, str(tmp_path / "nope"))
     from churnscope.plans.layers import write_report
@@ -93,9 +93,90 @@ def test_pipeline_writes_layers(spark, tmp_path):
     assert read_layer(spark, paths["lifecycle_distribution"]).count() == 3
 
 
+@pytest.fixture(scope="module")
+def built(spark, tmp_path_factory):
+    from churnscope.plans.layers import Layers, run_pipeline
+    root = str(tmp_path_factory.mktemp("built"))
+    run_pipeline(spark, SF_SMALL, root)
+    return Layers(spark, root)
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_failed_rebuild_leaves_the_old_layers(spark, built, monkeypatch):
+    from churnscope.plans import layers as pl
+    before = {name: (x.path, built.read(name).count()) for name, x in built.info().items()}
+
+    def broken(*args):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(pl, "churn_features_from_days", broken)  # after staging, quality and roll-ups
+    with pytest.raises(RuntimeError):
+        pl.run_pipeline(spark, SF_SMALL, built.root)
+    assert {name: (x.path, built.read(name).count()) for name, x in built.info().items()} == before
+    assert before["analytics.churn_features"][1] == 150
+    with pytest.raises(pl.MissingLayerError):
+        built.read("analytics.unknown")
+    with pytest.raises(pl.MissingLayerError):
+        pl.Layers(spark, built.root + "/nowhere").read("staging.customers")
+
+
+def test_only_the_version_before_is_kept(spark, tmp_path):
+    from churnscope.plans.layers import LayerInfo, Layers
+    layers = Layers(spark, str(tmp_path))
+    for version in ("a", "b", "c", "d"):
+        path = f"{layers.folder(version)}/x"
+        spark.range(ord(version)).write.parquet(path)
+        layers.publish(version, {"x": LayerInfo(path)})
+        if version == "a":  # a layer of an older version that stays in use
+            layers.publish("a", {"kept": LayerInfo(path)})
+    assert layers.read("x").count() == ord("d") and layers.read("kept").count() == ord("a")
+    assert sorted(os.listdir(tmp_path / "versions")) == ["a", "c", "d"]
+
+
+def test_feature_table_of_bucketed_days_has_no_shuffle(spark, built, tables):
+    from churnscope.operators import features as feat
+    from churnscope.plans.layers import DAYS
+    stats = feat.UsageStats.resolved(tables["usage_daily"])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with large tables
+    try:
+        df = feat.churn_features_from_days({name: built.read(f"days.{name}") for name in DAYS}, stats)
+        rows = df.collect()
+        assert "Exchange" not in _plan(df) and "SortMergeJoin" in _plan(df)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    rounded = lambda r: tuple(round(v, 9) if isinstance(v, float) else v for v in r)
+    assert sorted(map(rounded, rows), key=str) == sorted(map(rounded, feat.churn_features(tables).collect()))
+
+
+def test_counts_come_from_footers(spark, built, tables):
+    from churnscope.plans.layers import footer_counts, footer_range
+    paths = {name: built.info()[f"staging.{name}"].path for name in tables}
+    counts = footer_counts(spark, paths)
+    assert {r.table_name: r.row_count for r in counts.collect()} == {name: df.count() for name, df in tables.items()}
+    assert _plan(counts).count("PushedAggregation: [COUNT(") == 4
+    dates = footer_range(spark, paths["usage_daily"], "date")
+    assert tuple(dates.first()) == tuple(tables["usage_daily"].agg(F.min("date"), F.max("date")).first())
+    assert "PushedAggregation: [MIN(date), MAX(date)]" in _plan(dates)
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") != ""  # the caller's session is as it was
+
+
+def test_recent_trends_read_the_last_months_only(spark, built, tables):
+    from churnscope.operators import features as feat
+    stats = feat.UsageStats.resolved(tables["usage_daily"])
+    df = feat.recent_trends(tables["customers"], built.read("months.usage"), stats)
+    want = {r.customer_id: r.usage_trend_30d for r in feat.churn_features(tables).collect()}
+    assert {r.customer_id: r.usage_trend_30d for r in df.collect()} == pytest.approx(want)
+    plan = _plan(df)
+    scan = next(line for line in plan.splitlines() if "month" in line and "PartitionFilters" in line)
+    assert ">=" in scan.split("PartitionFilters")[1].split("]")[0]
+
+
 ORACLE_SAMPLE = [
     "churn_features", "dq_summary", "lifecycle_distribution", "churn_by_plan", "key_medians",
-    "numeric_describe", "recency_kde", "usage_trend_histogram", "stratified_split", "roc_auc",
+    "numeric_describe", "recency_kde", "usage_trend_histogram", "usage_minutes_density", "scorecard_permutation", "stratified_split", "roc_auc",
     "precision_at_k", "target_cohort", "cohort_drivers", "business_summary", "scenario_grid",
     "calendar_spine", "schedule_expand", "bill_sequence", "hash_sample", "churn_lift_by_flag",
 ]

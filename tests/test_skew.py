@@ -90,6 +90,29 @@ def test_auc_of_crowded_scores(spark):
         assert r.roc_auc == pytest.approx(plain(score[at], label[at]), abs=1e-6)
 
 
+def test_hot_customer_tickets(spark):
+    """A third of the tickets on one customer: the join's rows as by pandas, its tasks even."""
+    from churnscope.operators import features as feat
+    from pyspark.sql import functions as F
+    rng = np.random.default_rng(8)
+    base, n = dt.date(2024, 1, 1), 24_000
+    ids = np.where(rng.random(n) < 1 / 3, 7, rng.integers(1, 4001, n))
+    tickets = [(int(c), base + dt.timedelta(int(d)), "billing", "low") for c, d in zip(ids, rng.integers(0, 90, n))]
+    tickets += [(None, base, "billing", "low"), (99_999, base, "billing", "low")]
+    customers = [(c, dt.datetime(2024, 1, 1 + c % 28), "Pro", "EU") for c in range(1, 4001)]
+    support = spark.createDataFrame(tickets, "customer_id long, ticket_date date, category string, priority string")
+    people = spark.createDataFrame(customers, "customer_id long, signup_date timestamp_ntz, plan string, region string")
+    signup = {c: s.date() for c, s, *_ in customers}
+    got = sorted((r.customer_id, r.ticket_date) for r in feat.support_clean(support, people).collect())
+    assert got == sorted((c, d) for c, d, *_ in tickets if c in signup and d >= signup[c])
+    heavy = feat.heavy_hitters(support, 8)
+    assert [r.customer_id for r in heavy.collect()] == [7]
+    parts = feat.salted_tickets(support, heavy).repartition(16, "customer_id", "_salt")
+    sizes = sorted(r["count"] for r in parts.groupBy(F.spark_partition_id()).count().collect())
+    plain = [r["count"] for r in support.repartition(16, "customer_id").groupBy(F.spark_partition_id()).count().collect()]
+    assert sizes[-1] <= 4 * sizes[len(sizes) // 2] and max(plain) > 6 * sizes[len(sizes) // 2]
+
+
 def test_key_hash_seeds_are_independent(spark):
     from churnscope.functions.columns import key_uniform
     from pyspark.sql import functions as F
