@@ -148,7 +148,7 @@ def test_feature_table_of_bucketed_days_has_no_shuffle(spark, built, tables):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     rounded = lambda r: tuple(round(v, 9) if isinstance(v, float) else v for v in r)
-    assert sorted(map(rounded, rows), key=str) == sorted(map(rounded, feat.churn_features(tables).collect()))
+    assert sorted(map(rounded, rows), key=str) == sorted(map(rounded, feat.churn_features(tables).collect()), key=str)
 
 
 def test_counts_come_from_footers(spark, built, tables):
@@ -156,7 +156,7 @@ def test_counts_come_from_footers(spark, built, tables):
     paths = {name: built.info()[f"staging.{name}"].path for name in tables}
     counts = footer_counts(spark, paths)
     assert {r.table_name: r.row_count for r in counts.collect()} == {name: df.count() for name, df in tables.items()}
-    assert _plan(counts).count("PushedAggregation: [COUNT(") == 4
+    assert _plan(counts).count("PushedAggregation: [COUNT(") in (4, 8)  # the final plan, and the initial one if it is shown
     dates = footer_range(spark, paths["usage_daily"], "date")
     assert tuple(dates.first()) == tuple(tables["usage_daily"].agg(F.min("date"), F.max("date")).first())
     assert "PushedAggregation: [MIN(date), MAX(date)]" in _plan(dates)
