@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from churnscope.llm.common import in_slices
+from churnscope.llm.common import in_slices, trim
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -48,6 +48,7 @@ def text_slices(batches: Iterator[pa.RecordBatch], most: int, name: str = "text"
             size += part
     if held:
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+    trim()
 
 
 class Words:

@@ -8,6 +8,7 @@ an installed copy of the repository.
 
 from __future__ import annotations
 
+import ctypes
 import re
 import sys
 import types
@@ -107,6 +108,14 @@ def kept_in_process(key: Hashable, make: Callable[[], Any]) -> Any:
     return held[key]
 
 
+def trim() -> None:
+    """Give freed memory back, so that a Python worker that waits for its next task holds little."""
+    pa.default_memory_pool().release_unused()
+    give_back = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library only
+    if give_back is not None:
+        give_back(0)
+
+
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     """The column as str; null counts as empty."""
     return [t or "" for t in batch.column(name).to_pylist()]

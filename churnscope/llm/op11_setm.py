@@ -38,14 +38,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from churnscope.llm.bytewords import Words, byte_class, first_after, numbered, text_slices, utf8
-from churnscope.llm.common import arrow_stage, by_group, cut, mixed, record_batch, scratch, table
+from churnscope.llm.common import arrow_stage, by_group, cut, mixed, scratch, table, trim
 
 #: Words of a phrase, at most; its least number of occurrences; share of a phrase's count that a longer one must have to replace it.
 LONGEST, LEAST, COVER = 4, 30, (80, 100)
 #: Phrases reported of a lang; what the score is multiplied by.
 REPORTED, SCALE = 2000, 2_000_000
 #: Text of a block in bytes; positions of a block of one longer text; salts of the first ranking.
-BLOCK_BYTES, BLOCK, SALTS = 6 << 20, 1 << 21, 16
+BLOCK_BYTES, BLOCK, SALTS = 4 << 20, 1 << 20, 16
 PIECE = ".,;:!?\n\x0b\x0c\r"
 _SEPARATOR = byte_class(PIECE)
 _WORD = ~(_SEPARATOR | byte_class(" \t"))
@@ -229,7 +229,9 @@ def next_relation(blocks: DataFrame, counted: DataFrame, buckets: int, persist:
         for bucket, lo, hi in slices:
             at = order[lo:hi]
             rows.append((block, own, None, bucket, lo, None, None, pack_pairs(counts[at], before[at], after[at])))
-        return pa.Table.from_batches([_level(rows)] if rows else [], schema=_LEVEL)
+        out = pa.Table.from_batches([_level(rows)] if rows else [], schema=_LEVEL)
+        trim()
+        return out
 
     left = blocks.where(F.col("relation").isNotNull()).select("block", "own", "relation")
     right = counted.where(F.col("packed").isNotNull()).select("block", "packed")
