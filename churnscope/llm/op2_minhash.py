@@ -14,7 +14,6 @@ itself.  An empty table gives an empty result.  Other columns are ignored.
 
 from __future__ import annotations
 
-import base64
 import hashlib
 from collections.abc import Iterator
 
@@ -28,6 +27,8 @@ from churnscope.llm.links import classes, distinct_sets, set_rows, verified_link
 
 #: Hashes of a fingerprint; bands of so many values for the join; Jaccard similarity of near duplicates.
 PERMUTATIONS, BANDS, BAND_ROWS, THRESHOLD = 128, 25, 5, 0.8
+#: Ranges of ids at most: their cuts go through the driver and into the plan.
+MOST_RANGES = 1 << 12
 _RNG = np.random.default_rng(2)
 _FACTOR = _RNG.integers(0, 1 << 63, (PERMUTATIONS, 1), np.uint64) << np.uint64(1) | np.uint64(1)
 _OFFSET = _RNG.integers(0, 1 << 63, (PERMUTATIONS, 1), np.uint64) << np.uint64(1)
@@ -53,7 +54,6 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     return float((a == b).mean())
 
 
-
 def edited_text(text: str, following: str) -> str:
     """``text`` with its last half replaced by as much of the beginning of ``following``."""
     half = len(text) // 2
@@ -65,10 +65,12 @@ def _followed(docs: DataFrame, rows_a_range: int) -> DataFrame:
 
     The ranges are cut at ids of the table (approximate quantiles, which are ids themselves), so
     the first row of the next range is known to exist; it is added as a row marked ``last``.
+    There are MOST_RANGES at most, whatever the table holds: a range is sorted on disk and
+    streamed, with one row held, so it needs no bound itself.
     """
     keyed = docs.select(F.coalesce("doc_id", F.lit(-(2**63))).alias("place"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
     count = keyed.count()
-    ranges = max(1, -(-count // rows_a_range))
+    ranges = max(1, min(MOST_RANGES, -(-count // rows_a_range)))
     if not count:
         return keyed.select(F.lit(0).alias("at"), "place", "doc_id", "text", F.lit(False).alias("last"))
     shares = [k / ranges for k in range(ranges)]
