@@ -9,8 +9,9 @@ digests are compared and only differing branches are read again.
 
 A record that one replica lacks, or that lies elsewhere, is reported with nulls for that
 replica.  Null urls and payloads count as empty; records with a null id lie in
-files of negative numbers, by a hash.  Repeated records lie one after the other at offsets of their own.  Empty replicas have
-no roots and no differences.  Other columns are ignored.
+files of negative numbers, by the first 20 bits of their digest.  Repeated records lie one after the other at
+offsets of their own; they are counted before offsets are summed up, so very many copies are one row until then.
+Empty replicas have no roots and no differences.  Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -37,13 +38,15 @@ def page_records(pages: DataFrame, file_ids: int = FILE_IDS) -> DataFrame:
     A file holds the pages of ``file_ids`` consecutive ids; its records follow one another.
     """
     record = page_record(F.coalesce("url", F.lit("")), F.coalesce("html", F.lit("")))
-    own = F.floor(F.col("page_id") / F.lit(file_ids)).cast("long")
-    apart = -1 - F.pmod(F.xxhash64("url", "html"), F.lit(1 << 20))  # pages without an id are spread over files of negative numbers
-    rows = pages.select(F.coalesce(own, apart).alias("file"),
-                        F.col("page_id").alias("record_id"), record.alias("record"))
-    rows = rows.select("file", "record_id", F.octet_length("record").cast("long").alias("length"), F.sha2("record", 256).alias("digest"))
+    rows = pages.select(F.col("page_id").alias("record_id"), record.alias("record"))
+    rows = rows.select("record_id", F.octet_length("record").cast("long").alias("length"), F.sha2("record", 256).alias("digest"))
+    own = F.floor(F.col("record_id") / F.lit(file_ids)).cast("long")
+    apart = -1 - F.conv(F.substring("digest", 1, 5), 16, 10).cast("long")  # records without an id are spread over files of negative numbers
+    alike = rows.groupBy(F.coalesce(own, apart).alias("file"), "record_id", "length", "digest").agg(F.count(F.lit(1)).alias("times"))
     before = Window.partitionBy("file").orderBy(F.asc_nulls_first("record_id"), "digest").rowsBetween(Window.unboundedPreceding, -1)
-    return rows.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0).cast("long")))
+    begins = alike.withColumn("begin", F.coalesce(F.sum(F.col("length") * F.col("times")).over(before), F.lit(0).cast("long")))
+    each = begins.withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("times") - 1)))
+    return each.select("file", "record_id", "length", "digest", (F.col("begin") + F.col("k") * F.col("length")).alias("offset"))
 
 
 def _hashed(rows: DataFrame, node: Column, order: str, value: Column) -> DataFrame:
@@ -127,11 +130,13 @@ def op6_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _RECORDS_SQL = """
-  SELECT page_id // 512 AS file, page_id AS record_id, strlen(record) AS length, sha256(record) AS digest,
-         sum(strlen(record)) OVER (PARTITION BY page_id // 512 ORDER BY page_id, sha256(record)) - strlen(record) AS "offset"
+  SELECT file, record_id, length, digest,
+         sum(length) OVER (PARTITION BY file ORDER BY record_id NULLS FIRST, digest ROWS UNBOUNDED PRECEDING) - length AS "offset"
+  FROM (SELECT coalesce(page_id // 512, -1 - CAST('0x' || substr(sha256(record), 1, 5) AS BIGINT)) AS file,
+               page_id AS record_id, strlen(record) AS length, sha256(record) AS digest
   FROM (SELECT page_id, 'WARC/1.1' || crlf || 'WARC-Type: resource' || crlf || 'WARC-Target-URI: ' || coalesce(url, '') || crlf
                || 'Content-Type: text/html' || crlf || 'Content-Length: ' || strlen(page) || crlf || crlf || page || crlf || crlf AS record
-        FROM (SELECT page_id, url, chr(13) || chr(10) AS crlf, {page} AS page FROM pages))
+        FROM (SELECT page_id, url, chr(13) || chr(10) AS crlf, {page} AS page FROM pages)))
 """
 OP6_SQL = f"""
 WITH a AS ({_RECORDS_SQL.format(page="coalesce(html, '')")}),

@@ -7,6 +7,7 @@ import random
 import re
 import zlib
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -262,6 +263,18 @@ def test_packed_pieces_are_the_documents(spark, tmp_path, monkeypatch):
         assert end <= 4096 and (end == 4096 or end & (end - 1) == 0)
 
 
+def test_records_without_ids_and_copies_as_in_sql(spark, tmp_path):
+    pages = spark.read.parquet(f"{SMALL}/pages.parquet")
+    odd = pages.limit(9).withColumn("page_id", F.lit(None).cast("long")).unionByName(pages.limit(6)).unionByName(pages.limit(6))
+    odd = odd.unionByName(pages.limit(3).withColumn("html", F.lit(None).cast("string")))
+    pages.unionByName(odd).coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    got = queries()["op6_fixity"](spark, str(tmp_path))
+    assert sorted(map(str, (tuple(r) for r in got.collect()))) == sorted(map(str, db.execute(op6_fixity.OP6_SQL).fetchall()))
+
+
+
 # -- encoding ----------------------------------------------------------------------------
 
 
