@@ -57,6 +57,9 @@ _LEVEL = pa.schema([("block", pa.int64()), ("own", pa.int32()), ("relation", pa.
 #: Counted rows: of each block its frequent phrases (packed), and each frequent phrase itself.
 _COUNTED = "block long, packed binary, gid long, lang string, word string, before long, after long, f long"
 
+#: Spark's setting that shuffle files go when their query ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def _ddl(schema: pa.Schema) -> str:
     names = {pa.int64(): "long", pa.int32(): "int", pa.binary(): "binary", pa.string(): "string"}
@@ -307,12 +310,18 @@ def counted_phrases(blocks: DataFrame, first: bool, least: int) -> DataFrame:
 
 
 class Relations:
-    """Tables bucketed by block in a shared folder; ``close()`` forgets their names."""
+    """Tables bucketed by block in a shared folder; ``close()`` drops those that are left.
+
+    Until then Spark deletes the shuffle files of each query of the session when it ends, as what a
+    level needs of the one before is written by then.
+    """
 
     def __init__(self, spark: SparkSession):
         self.spark, self.folder = spark, scratch(spark, "phrases")
         self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.names: list[str] = []
+        self.cleanup = spark.conf.get(_CLEANUP)
+        spark.conf.set(_CLEANUP, "true")
 
     def write(self, df: DataFrame, dealt: bool) -> DataFrame:
         """``df`` as a table; ``dealt``: rows of a block lie in many tasks and are brought together first."""
@@ -323,9 +332,19 @@ class Relations:
          .bucketBy(self.buckets, "block").sortBy("block").saveAsTable(name))
         return self.spark.table(name)
 
-    def close(self) -> None:
-        for name in self.names:
+    def drop_all_but(self, last: int) -> None:
+        """Drop all tables, with their files, but the ``last`` ones written."""
+        path_of = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        while len(self.names) > last:
+            name = self.names.pop(0)
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            path = path_of(f"{self.folder}/{name}")
+            path.getFileSystem(conf).delete(path, True)
+
+    def close(self) -> None:
+        self.spark.conf.set(_CLEANUP, self.cleanup)
+        self.drop_all_but(0)
 
 
 def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, block_bytes: int = BLOCK_BYTES,
@@ -352,6 +371,7 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, b
         buckets = max(tables.buckets, blocks.where(F.col("relation").isNotNull()).count())
         for k in range(2, longest + 1):
             blocks = tables.write(next_relation(blocks, counted, buckets, persist=k < longest), dealt=False)
+            tables.drop_all_but(1)
             counted = counted_phrases(blocks, False, least)
             counted = tables.write(counted, dealt=True) if k < longest else cut(counted, "phrases-last")
             own = counted.where(F.col("gid").isNotNull()).select("gid", "before", "after", "f")
