@@ -14,8 +14,10 @@ are null, zero, of another length than most or hold null or non-finite component
 part, nor do rows without an id.  Repeated rows count once; a query skips all rows of its
 own id.  A query without a candidate has no rows.  Other columns are ignored.
 
-Queries meet all codes in blocks: a block of queries with a block of codes is one row of
-work, and only its nearest leave it.
+Queries meet all codes in blocks: a block of queries with a block of codes is one group of
+work, and only its nearest leave it.  Blocks of queries are large, as each has a copy of every
+code, and a group takes them in slices, which bound its estimates.  Vectors travel as they are
+given, in single precision where the column has that, and a query without code or ids.
 """
 
 from __future__ import annotations
@@ -30,8 +32,8 @@ from pyspark.sql import functions as F
 
 from churnscope.llm.common import arrow_stage, by_group, cut, record_batch, table
 
-#: Neighbours, error bound in deviations, codes and queries of a block.
-NEAREST, BOUND, CODE_BLOCK, QUERY_BLOCK = 5, 3.5, 8192, 1024
+#: Neighbours, error bound in deviations, codes and queries of a block, queries compared at once.
+NEAREST, BOUND, CODE_BLOCK, QUERY_BLOCK, SLICE = 5, 3.5, 8192, 16384, 1024
 
 
 def rotation(dim: int, seed: int = 4) -> np.ndarray:
@@ -68,12 +70,18 @@ def dimension(vectors: DataFrame) -> int:
     return row.n if row else 0
 
 
+def number_type(vectors: DataFrame) -> str:
+    """The numpy type that holds the components of ``embedding`` exactly."""
+    return "<f4" if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else "<f8"
+
+
 def index(vectors: DataFrame, dim: int, rotated_by: np.ndarray, keep: int) -> DataFrame:
-    """vid, vector (doubles as bytes), bits, correction, ids (the ``keep`` least), queries of each batch's distinct usable vectors.
+    """vid, vector (``number_type`` as bytes), bits, correction, ids (the ``keep`` least), queries of each batch's distinct usable vectors.
 
     vectors: vec_id, embedding, query (whether the row is a query).  Each batch is reduced first,
     so a vector that very many rows hold is small before the shuffle.
     """
+    held = number_type(vectors)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -84,11 +92,11 @@ def index(vectors: DataFrame, dim: int, rotated_by: np.ndarray, keep: int) -> Da
             found: dict[bytes, tuple[set, set]] = {}
             for k, row, good in zip(fits.tolist(), values, np.isfinite(values).all(axis=1) & values.any(axis=1)):
                 if good and ids[k] is not None:
-                    own, asked = found.setdefault(row.tobytes(), (set(), set()))
+                    own, asked = found.setdefault(row.astype(held).tobytes(), (set(), set()))
                     own.add(ids[k])
                     if query[k]:
                         asked.add(ids[k])
-            unit = np.frombuffer(b"".join(found), np.float64).reshape(-1, dim)
+            unit = np.frombuffer(b"".join(found), held).reshape(-1, dim).astype(np.float64)
             unit = unit / np.abs(unit).max(axis=1, keepdims=True, initial=0)
             bits, correction = encode(unit / np.sqrt((unit * unit).sum(axis=1, keepdims=True)), rotated_by)
             yield record_batch(vid=pa.array([xxhash.xxh3_128_digest(v) for v in found], pa.binary()), vector=pa.array(list(found), pa.binary()),
@@ -100,7 +108,7 @@ def index(vectors: DataFrame, dim: int, rotated_by: np.ndarray, keep: int) -> Da
     return arrow_stage(rows, run, "vid binary, vector binary, bits binary, correction double, ids array<long>, queries array<long>")
 
 
-def _search(dim: int, rotated_by: np.ndarray, k: int):
+def _search(dim: int, rotated_by: np.ndarray, k: int, held: str):
     """The k + 1 nearest ids of each query of a group of query rows and code rows."""
 
     def fn(rows: dict) -> dict | None:
@@ -108,31 +116,34 @@ def _search(dim: int, rotated_by: np.ndarray, k: int):
         codes = [n for n, kind in enumerate(rows["kind"]) if not kind]
         if not asked or not codes:
             return None
-        matrix = lambda at: np.frombuffer(b"".join(rows["vector"][n] for n in at), np.float64).reshape(-1, dim)
-        queries, vectors = matrix(asked), matrix(codes)
-        turned = queries / np.abs(queries).max(axis=1, keepdims=True)
-        turned = turned / np.sqrt((turned * turned).sum(axis=1, keepdims=True)) @ rotated_by
+        matrix = lambda at: np.frombuffer(b"".join(rows["vector"][n] for n in at), held).reshape(-1, dim).astype(np.float64)
+        vectors = matrix(codes)
         bits = np.frombuffer(b"".join(rows["bits"][n] for n in codes), np.uint8).reshape(len(codes), -1)
-        estimate, error = bounds(turned, bits, np.array([rows["correction"][n] for n in codes]))
-        lower = estimate - error
+        correction = np.array([rows["correction"][n] for n in codes])
         place = {rows["vid"][n]: at for at, n in enumerate(codes)}
-        for at, n in enumerate(asked):  # the query's own vector may stand for the query alone
-            if rows["vid"][n] in place:
-                lower[at, place[rows["vid"][n]]] = -np.inf
-        least = np.partition(lower, len(codes) - k, axis=1)[:, len(codes) - k] if len(codes) > k else np.full(len(asked), -np.inf)
-        chosen = estimate + error >= least[:, None]
-        for at, n in enumerate(asked):
-            if rows["vid"][n] in place:
-                chosen[at, place[rows["vid"][n]]] = True
         out: list[tuple] = []
-        for at, n in enumerate(asked):
-            found = np.nonzero(chosen[at])[0]
-            exact = cosine(np.broadcast_to(queries[at], (len(found), dim)), vectors[found])
-            if len(found) > k + 2:  # no less near one can be among the k + 1 nearest; the own vector may have no other id
-                enough = exact >= np.partition(exact, len(exact) - k - 2)[len(exact) - k - 2]
-                found, exact = found[enough], exact[enough]
-            best = sorted((-score, id_) for score, c in zip(exact.tolist(), found) for id_ in rows["ids"][codes[c]])
-            out += [(rows["vid"][n], id_, -score) for score, id_ in best[: k + 1]]
+        for lo in range(0, len(asked), SLICE):
+            part = asked[lo : lo + SLICE]
+            queries = matrix(part)
+            turned = queries / np.abs(queries).max(axis=1, keepdims=True)
+            turned = turned / np.sqrt((turned * turned).sum(axis=1, keepdims=True)) @ rotated_by
+            estimate, error = bounds(turned, bits, correction)
+            lower = estimate - error
+            own = [(at, place[rows["vid"][n]]) for at, n in enumerate(part) if rows["vid"][n] in place]
+            for pair in own:  # the query's own vector may stand for the query alone
+                lower[pair] = -np.inf
+            least = np.partition(lower, len(codes) - k, axis=1)[:, len(codes) - k] if len(codes) > k else np.full(len(part), -np.inf)
+            chosen = estimate + error >= least[:, None]
+            for pair in own:
+                chosen[pair] = True
+            for at, n in enumerate(part):
+                found = np.nonzero(chosen[at])[0]
+                exact = cosine(np.broadcast_to(queries[at], (len(found), dim)), vectors[found])
+                if len(found) > k + 2:  # no less near one can be among the k + 1 nearest; the own vector may have no other id
+                    enough = exact >= np.partition(exact, len(exact) - k - 2)[len(exact) - k - 2]
+                    found, exact = found[enough], exact[enough]
+                best = sorted((-score, id_) for score, c in zip(exact.tolist(), found) for id_ in rows["ids"][codes[c]])
+                out += [(rows["vid"][n], id_, -score) for score, id_ in best[: k + 1]]
         vid, id_, score = zip(*out)
         return {"vid": pa.array(vid, pa.binary()), "vec_id": pa.array(id_, pa.int64()), "score": pa.array(score, pa.float64())}
 
@@ -155,12 +166,13 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = NEAREST) -> DataFrame
     code_blocks, query_blocks = max(1, -(-sizes.codes // CODE_BLOCK)), max(1, -(-sizes.queries // QUERY_BLOCK))
     block = lambda seed, n: F.pmod(F.xxhash64(F.lit(seed), "vid"), F.lit(n))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
-    columns = ["code_block", "query_block", "kind", "vid", "vector", "bits", "correction", "ids"]
+    columns = ["code_block", "query_block", "kind", "vid", "vector"]
+    asked = codes.where("query").withColumn("kind", F.lit(1)).withColumn("query_block", block(2, query_blocks)).withColumn("code_block", every(code_blocks))
     work = (
-        codes.withColumn("kind", F.lit(0)).withColumn("code_block", block(1, code_blocks)).withColumn("query_block", every(query_blocks)).select(columns)
-        .union(codes.where("query").withColumn("kind", F.lit(1)).withColumn("query_block", block(2, query_blocks)).withColumn("code_block", every(code_blocks)).select(columns))
+        codes.withColumn("kind", F.lit(0)).withColumn("code_block", block(1, code_blocks)).withColumn("query_block", every(query_blocks))
+        .select(*columns, "bits", "correction", "ids").unionByName(asked.select(columns), allowMissingColumns=True)
     )
-    found = by_group(work, ["code_block", "query_block"], ["kind", "vid"], _search(dim, rotated_by, k), "vid binary, vec_id long, score double")
+    found = by_group(work, ["code_block", "query_block"], ["kind", "vid"], _search(dim, rotated_by, k, number_type(vectors)), "vid binary, vec_id long, score double")
     place = F.row_number().over(Window.partitionBy("vid").orderBy(F.desc("score"), "vec_id"))
     found = found.withColumn("place", place).where(F.col("place") <= k + 1).groupBy("vid").agg(F.sort_array(F.collect_list(F.struct("place", "vec_id", "score"))).alias("found"))
     queries = rows.select("vid", F.explode("queries").alias("query_id")).distinct()

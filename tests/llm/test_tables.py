@@ -132,10 +132,11 @@ def _nearest(ids, vectors, query, k):
     return [ids[j] for j in order[:k]]
 
 
-@pytest.mark.parametrize("blocks", [(8192, 1024), (50, 3)])
+@pytest.mark.parametrize("blocks", [(8192, 16384, 1024), (50, 3, 1024), (200, 16384, 4)])
 def test_nearest_against_brute_force(spark, tmp_path, monkeypatch, blocks):
     monkeypatch.setattr(op4_onebit, "CODE_BLOCK", blocks[0])
     monkeypatch.setattr(op4_onebit, "QUERY_BLOCK", blocks[1])
+    monkeypatch.setattr(op4_onebit, "SLICE", blocks[2])
     rng = np.random.default_rng(4)
     centres = rng.normal(size=(12, 32))
     vectors = (centres[rng.integers(0, 12, 900)] + 0.4 * rng.normal(size=(900, 32))).astype(np.float32)
