@@ -94,6 +94,50 @@ def test_runs_reach_the_recall():
     assert met >= 198
 
 
+def test_deeper_levels_go_on_from_the_first_two():
+    rng, maker, met = np.random.default_rng(1), op5_chosen_path.path_maker(0.8, op5_chosen_path.runs_for(0.999, 4)), 0
+    unsigned = lambda x: np.array(x, np.int64).view(np.uint64)
+
+    def fourth(tokens: np.ndarray) -> set[int]:
+        paths = maker(tokens)
+        first, second = unsigned([p["path"] for p in paths]), unsigned([n for p in paths for n in p["next"]])
+        assert set(maker.below(tokens, first[:0], first).tolist()) == set(second.tolist())
+        third = maker.below(tokens, second, second)
+        return set(maker.below(tokens, np.concatenate([second, third]), third).tolist())
+
+    for _ in range(100):
+        common, a, b = rng.integers(0, 1 << 63, 160, np.uint64), rng.integers(0, 1 << 63, 20, np.uint64), rng.integers(0, 1 << 63, 20, np.uint64)
+        x, y = (fourth(np.unique(np.concatenate([common, own]))) for own in (a, b))
+        met += bool(x & y)
+    assert met >= 98
+    word = maker.below(np.array([7], np.uint64), np.zeros(0, np.uint64), unsigned([p["path"] for p in maker(np.array([7], np.uint64))]))
+    assert not len(word)  # a path doesn't use a token twice
+
+
+def test_large_buckets_of_unlike_sets_are_split_until_small(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(links, "BLOCK", 24)
+    monkeypatch.setattr(op5_chosen_path.bucket_entries, "__defaults__", (8,))
+    rng = random.Random(8)
+    passage = " ".join(f"p{k}" for k in range(90))
+    texts = [passage + " " + " ".join(f"q{rng.randrange(10**6)}" for _ in range(rng.randrange(90, 110))) for _ in range(250)]
+    texts += near_copies(rng, 40, 200, 3)
+    folder = documents(spark, tmp_path, texts)
+    most, split_large = {}, op5_chosen_path.split_large
+
+    def seen(docs, sets, entries, threshold, recall):
+        out = split_large(docs, sets, entries, threshold, recall)
+        for name, e in (("before", entries), ("after", out)):
+            unlike = op5_chosen_path.unlike_buckets(e, sets, threshold)
+            most[name] = e.join(unlike, "bucket", "left_semi").agg({"members": "max"}).first()[0]
+        most["alike"] = out.agg({"members": "max"}).first()[0]
+        return out
+
+    monkeypatch.setattr(op5_chosen_path, "split_large", seen)
+    got = queries()["op5_chosen_path"](spark, folder).collect()
+    assert {r.doc_id: (r.class_id, r.n_links) for r in got} == classes(dict(enumerate(texts)))
+    assert most["before"] > 100 and (most["after"] or 0) < most["before"] / 2 and most["alike"] >= 24
+
+
 def test_sketches_never_rule_out_links():
     rng = random.Random(3)
     texts = near_copies(rng, 60, 300, 8)
