@@ -38,7 +38,7 @@ from churnscope.llm.links import classes, distinct_sets, set_rows, tokens_of, ve
 #: Jaccard similarity that links, chance to find a pair at the threshold, members of a bucket that isn't split.
 THRESHOLD, RECALL, SMALL_BUCKET = 0.8, 0.999, 128
 #: The last level; a bucket is alike if its mean similarity is this share of the threshold, by so many bytes of its sketches.
-DEPTH, ALIKE, ALIKE_BYTES = 6, 0.9, 16
+DEPTH, ALIKE, ALIKE_BYTES = 12, 0.9, 16
 _PATHS = pa.list_(pa.struct([("path", pa.int64()), ("next", pa.list_(pa.int64()))]))
 
 
@@ -156,13 +156,14 @@ def split_large(docs: DataFrame, sets: DataFrame, entries: DataFrame, threshold:
     """``entries`` (rid, bucket, members) with large buckets of unlike sets replaced by deeper ones.
 
     The sets of such buckets repeat the runs that a pair needs to meet at the last level with a chance
-    of ``recall``; the other sets keep the runs of two levels.
+    of ``recall``; the other sets keep the runs of two levels.  All these runs begin at once, so that
+    buckets of sets with a passage in common get fewer with each level.
     """
     runs = runs_for(recall)
     makers = [path_maker(threshold, runs), path_maker(threshold, runs_for(recall, DEPTH) - runs, seed=6)]
     tokens = split = None
     kept: list[DataFrame] = []
-    for level in range(2, DEPTH):
+    for level in range(2, DEPTH + 1):  # the added runs are a level behind
         buckets = cut(unlike_buckets(entries, sets, threshold), "unlike-buckets")
         if buckets.isEmpty():
             break
