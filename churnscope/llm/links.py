@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from churnscope.llm.common import arrow_stage, by_group, cut, record_batch, shingle_hashes, texts_of, word_hashes
 
-#: Sets that one task compares with as many others; bytes of a set's sketch.
-BLOCK, SKETCH = 1024, 64
+#: Weight of the sets that one task compares with as much again, tokens of a weight of 1; bytes of a set's sketch.
+BLOCK, TOKENS, SKETCH = 1024, 2048, 64
 #: A sketch rules a pair out if it has this many bytes to compare, of which fewer than this share agree.
 SKETCH_LEAST, SKETCH_MARGIN = 40, 0.3
 
@@ -41,6 +41,11 @@ def sketch(tokens: np.ndarray) -> bytes:
     return out.tobytes()
 
 
+def weight(tokens: np.ndarray) -> int:
+    """How many sets of TOKENS tokens a set counts for: 1 unless it is larger."""
+    return -(-len(tokens) // TOKENS)
+
+
 def _incidence(members: list[np.ndarray]) -> Iterator[np.ndarray]:
     """0/1 matrices whose columns are the tokens that at least two members hold, some at a time."""
     owner = np.repeat(np.arange(len(members)), [len(m) for m in members])
@@ -139,23 +144,23 @@ def _linked(threshold: float) -> Callable[[dict], dict | None]:
 
 
 def set_rows(docs: DataFrame, extra: Callable[[np.ndarray], object], extra_type: pa.DataType, extra_ddl: str) -> DataFrame:
-    """doc_id, text_hash, rid, sketch and extra (of the tokens) of each row; the last three null if it has no word."""
+    """doc_id, text_hash, rid, sketch, weight and extra (of the tokens) of each row; the last four null if it has no word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_set(text) for text in texts_of(batch)]
             each = lambda fn, kind: pa.array([fn(s) if len(s) else None for s in sets], kind)
             yield record_batch(doc_id=batch.column("doc_id"), text_hash=batch.column("text_hash"), rid=each(set_id, pa.binary()),
-                               sketch=each(sketch, pa.binary()), extra=each(extra, extra_type))
+                               sketch=each(sketch, pa.binary()), weight=each(weight, pa.int64()), extra=each(extra, extra_type))
 
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    return arrow_stage(rows, run, f"doc_id long, text_hash long, rid binary, sketch binary, extra {extra_ddl}")
+    return arrow_stage(rows, run, f"doc_id long, text_hash long, rid binary, sketch binary, weight long, extra {extra_ddl}")
 
 
 def distinct_sets(rows: DataFrame) -> DataFrame:
-    """rid, first_id (its least doc_id), copies, sketch, extra: one row for each set."""
+    """rid, first_id (its least doc_id), copies, sketch, weight, extra: one row for each set."""
     return rows.where("rid IS NOT NULL").groupBy("rid").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"),
-                                   F.first("sketch").alias("sketch"), F.first("extra").alias("extra"))
+                                   F.first("sketch").alias("sketch"), F.first("weight").alias("weight"), F.first("extra").alias("extra"))
 
 
 def _tokens(docs: DataFrame) -> DataFrame:
@@ -179,14 +184,18 @@ def verified_links(docs: DataFrame, sets: DataFrame, entries: DataFrame, thresho
     """rid, links, root: what each comparison found.
 
     ``entries`` (rid, bucket, members) says which sets share a bucket of how many members; a
-    bucket of more than BLOCK is compared block by block.  links counts the documents of the
+    bucket whose members weigh more than BLOCK is compared block by block, so that a task holds
+    about BLOCK x TOKENS tokens a side at most, or one larger set.  links counts the documents of the
     linked sets, root is the least set of the rid's component there.  First the sketches and the
     lists of buckets decide which sets a task needs at all; only for those are the tokens made
     again from the documents' texts and sent to the task.
     """
     lists = entries.groupBy("rid").agg(F.sort_array(F.collect_set("bucket")).alias("buckets"))
     held = cut(lists.join(sets.select("rid", "sketch", "copies"), "rid"), "bucket-lists")
-    blocks = F.ceil(F.col("members") / F.lit(BLOCK)).cast("int")
+    heavy = entries.join(sets.where("weight > 1").select("rid", "weight"), "rid")
+    heavy = cut(heavy.groupBy("bucket").agg(F.sum(F.col("weight") - 1).alias("more")), "heavy-buckets")
+    entries = entries.join(heavy, "bucket", "left")
+    blocks = F.ceil((F.col("members") + F.coalesce("more", F.lit(0))) / F.lit(BLOCK)).cast("int")
     own = F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int")
     dealt = (
         entries.withColumn("blocks", blocks).withColumn("own", own)

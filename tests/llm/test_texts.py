@@ -70,6 +70,26 @@ def test_chosen_path_finds_every_link(spark, tmp_path, monkeypatch, small, block
     assert {r.doc_id: (r.class_id, r.n_links) for r in got} == classes(dict(enumerate(texts)))
 
 
+def test_large_sets_are_compared_in_smaller_blocks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(links, "BLOCK", 32)
+    monkeypatch.setattr(links, "TOKENS", 64)
+    rng = random.Random(9)
+    texts = near_copies(rng, 24, 1500, 5) + near_copies(rng, 24, 40, 1) + [" ".join(f"r{rng.randrange(10**6)}" for _ in range(9000)) for _ in range(3)]
+    held, by_group = [], links.by_group
+
+    def seen(df, keys, *rest):
+        if "tokens" in df.columns:
+            sums = df.groupBy(*keys, "side").agg({"tokens": "count"}), df.selectExpr(*keys, "side", "length(tokens) DIV 8 AS n").groupBy(*keys, "side").sum("n")
+            held.append([part.toPandas().iloc[:, -1].max() for part in sums])
+        return by_group(df, keys, *rest)
+
+    monkeypatch.setattr(links, "by_group", seen)
+    got = queries()["op5_chosen_path"](spark, documents(spark, tmp_path, texts)).collect()
+    assert {r.doc_id: (r.class_id, r.n_links) for r in got} == classes(dict(enumerate(texts)))
+    [[sets, tokens]] = held
+    assert 1 < sets <= 32 and tokens < 24 * 1400 / 4  # one block by the number of sets, at least a dozen by their tokens
+
+
 def test_bands_find_every_link(spark, tmp_path):
     texts = _mixed_corpus(6)
     documents(spark, tmp_path, texts)
