@@ -172,10 +172,16 @@ def _tokens(docs: DataFrame) -> DataFrame:
     return arrow_stage(docs.select("text"), run, "rid binary, tokens binary")
 
 
-def tokens_of(docs: DataFrame, sets: DataFrame, rids: DataFrame) -> DataFrame:
-    """rid, tokens of the sets named in ``rids`` (and of others under the same doc_id), made again from the texts of their least documents."""
-    first = rids.join(sets.select("rid", "first_id"), "rid")
-    wanted = first.select(F.col("first_id").alias("wanted")).distinct()
+def first_ids(sets: DataFrame, rids: DataFrame) -> DataFrame:
+    """wanted: the least documents of the sets named in ``rids``."""
+    return rids.join(sets.select("rid", "first_id"), "rid").select(F.col("first_id").alias("wanted")).distinct()
+
+
+def tokens_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """rid, tokens of the sets of the documents in ``wanted`` (and of others under the same doc_id), made again from their texts.
+
+    The texts are shuffled, unless ``wanted`` is a written table that Spark finds small enough to broadcast.
+    """
     texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
     return _tokens(texts).dropDuplicates(["rid"])
 
@@ -207,7 +213,7 @@ def verified_links(docs: DataFrame, sets: DataFrame, entries: DataFrame, thresho
     tasks = dealt.join(held, "rid").select("task", "bucket", "side", "rid", "copies", "buckets", "sketch")
     kept = "task long, bucket long, side int, rid binary, copies long, buckets array<long>"
     needed = cut(by_group(tasks, ["task", "bucket"], ["rid"], _needed(threshold), kept), "needed-sets")
-    tokens = tokens_of(docs, sets, needed.select("rid").distinct())
+    tokens = tokens_of(docs, first_ids(sets, needed.select("rid").distinct()))
     return by_group(needed.join(tokens, "rid"), ["task", "bucket"], ["rid"], _linked(threshold), "rid binary, links long, root binary")
 
 

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from churnscope.llm import links
 from churnscope.llm.common import arrow_stage, cut, mixed, record_batch, table
-from churnscope.llm.links import classes, distinct_sets, set_rows, tokens_of, verified_links
+from churnscope.llm.links import classes, distinct_sets, first_ids, set_rows, tokens_of, verified_links
 
 #: Jaccard similarity that links, chance to find a pair at the threshold, members of a bucket that isn't split.
 THRESHOLD, RECALL, SMALL_BUCKET = 0.8, 0.999, 128
@@ -174,7 +174,8 @@ def split_large(docs: DataFrame, sets: DataFrame, entries: DataFrame, threshold:
         split = opened if split is None else split.union(opened)
         if tokens is None:
             named = opened.select("rid").distinct()
-            tokens = cut(tokens_of(docs, sets, named).join(named, "rid", "left_semi"), "split-tokens")
+            wanted = cut(first_ids(sets, named), "split-ids")
+            tokens = cut(tokens_of(docs, wanted).join(named, "rid", "left_semi"), "split-tokens")
             again = arrow_stage(tokens, _two_levels(makers[1]), "rid binary, extra array<struct<path: long, next: array<long>>>")
             entries = _children(tokens, split, level, makers).union(bucket_entries(cut(again, "more-runs")))
         else:
