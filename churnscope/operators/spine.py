@@ -58,6 +58,12 @@ def daily_spine(customers: DataFrame, usage: DataFrame, stats: UsageStats) -> Da
             .select("customer_id", "date", F.coalesce("active", F.lit(0)).alias("active")))
 
 
+def monthly_activity(spine: DataFrame) -> DataFrame:
+    """Per customer and calendar month of a dense daily series: its days and the active ones; months without usage stay."""
+    return (spine.groupBy("customer_id", F.trunc("date", "month").alias("month"))
+            .agg(F.count(F.lit(1)).alias("spine_days"), F.sum("active").cast("long").alias("active_days")))
+
+
 def calendar_spine(customers: DataFrame, usage: DataFrame, stats: UsageStats) -> DataFrame:
     """Per customer: spine length, active and inactive days inside it."""
     b = _with_spine_bounds(customers, stats)

@@ -482,6 +482,11 @@ def _calendar_spine(t: Tables) -> DataFrame:
     return spine.calendar_spine(t["customers"], t["usage_daily"], _stats(t))
 
 
+@query("monthly_activity")
+def _monthly_activity(t: Tables) -> DataFrame:
+    return spine.monthly_activity(spine.daily_spine(t["customers"], t["usage_daily"], _stats(t)))
+
+
 @query("expected_activity")
 def _expected_activity(t: Tables) -> DataFrame:
     return spine.expected_activity(t["customers"], t["usage_daily"], _stats(t))

@@ -123,6 +123,20 @@ def test_t13_zero_repeat_gives_no_rows(spark):
     assert [r.bill_sequence for r in rows] == [0, 1]  # signup + 13, + 26 <= 2024-01-01
 
 
+def test_daily_spine_and_its_months(spark):
+    t = _tables(spark, [(1, TS(2024, 1, 30, 23, 59), "Pro", "EU"), (2, TS(2024, 3, 1), "Free", "EU"), (3, TS(2024, 3, 4), "Pro", "EU")],
+                [(1, D(2024, 1, 29), 1, 9, 0),  # before signup
+                 (1, D(2024, 1, 30), 1, 9, 0), (1, D(2024, 1, 30), 2, 9, 0),  # one day, two rows
+                 (1, D(2024, 3, 2), 1, 9, 0), (9, D(2024, 3, 1), 1, 9, 0)])
+    daily = spine.daily_spine(t["customers"], t["usage_daily"], feat.UsageStats(t["usage_daily"]))
+    got = {(r.customer_id, r.date): r.active for r in daily.collect()}
+    days = lambda first: [first + dt.timedelta(k) for k in range((D(2024, 3, 2) - first).days + 1)]
+    want = {(1, d): int(d in (D(2024, 1, 30), D(2024, 3, 2))) for d in days(D(2024, 1, 30))} | {(2, d): 0 for d in days(D(2024, 3, 1))}
+    assert got == want and daily.count() == len(want)  # signups after the last day have no days
+    months = {(r.customer_id, r.month): (r.spine_days, r.active_days) for r in spine.monthly_activity(daily).collect()}
+    assert months == {(1, D(2024, 1, 1)): (2, 1), (1, D(2024, 2, 1)): (29, 0), (1, D(2024, 3, 1)): (2, 1), (2, D(2024, 3, 1)): (2, 0)}
+
+
 def _scored_rows(spark, rows):
     return spark.createDataFrame(rows, "customer_id long, plan string, region string, "
                                        "churn_risk_score double, churn_label int")
