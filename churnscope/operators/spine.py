@@ -5,9 +5,9 @@ day grids, bill schedules, repeatable thinning, bucketed draws) as
 deterministic DataFrame operators over the conformed tables.
 
 Scale notes
-* A spine is never shuffled or cached: ``explode(sequence(...))`` runs in
-  the scan stage and is aggregated map-side in the same stage, so only one
-  row per customer leaves the task.
+* A spine is never shuffled or cached: its days are made and aggregated in
+  the stage of the rows they come from (after the join with the active days,
+  if it needs them), so no day row leaves the task.
 * Per-day joins use the (customer, day)-deduplicated usage, which bounds
   any customer to one row per calendar day (a hot customer cannot blow up
   a task beyond its number of days).
@@ -50,12 +50,18 @@ def daily_spine(customers: DataFrame, usage: DataFrame, stats: UsageStats) -> Da
 
     ``active`` marks days with usage.  Rows = sum of spine lengths; use it
     where per-day rows are needed, aggregate in the same plan otherwise.
+    A customer meets its active days as one array (an entry per calendar day
+    at most) before its days are made, so no day row is shuffled or sorted
+    and the rows stay partitioned by customer.
     """
     b = _with_spine_bounds(customers, stats).where(F.col("spine_days") > 0)
-    spine = b.select("customer_id", F.explode(F.sequence("spine_start", "spine_end")).alias("date"))
-    days = usage_days(usage).withColumn("active", F.lit(1))
-    return (spine.join(days, ["customer_id", "date"], "left")
-            .select("customer_id", "date", F.coalesce("active", F.lit(0)).alias("active")))
+    used = usage_days(usage).groupBy("customer_id").agg(F.collect_list("date").alias("_used"))
+    dates = F.sequence("spine_start", "spine_end")
+    seen = F.coalesce("_used", F.array().cast("array<date>"))
+    by_activity = F.array(F.struct(F.array_except(dates, seen).alias("dates"), F.lit(0).alias("active")),
+                          F.struct(F.array_intersect(dates, seen).alias("dates"), F.lit(1).alias("active")))
+    return (b.join(used, "customer_id", "left").select("customer_id", F.inline(by_activity))
+            .select("customer_id", F.explode("dates").alias("date"), "active"))
 
 
 def monthly_activity(spine: DataFrame) -> DataFrame:
