@@ -85,13 +85,19 @@ def calendar_spine(customers: DataFrame, usage: DataFrame, stats: UsageStats) ->
 
 
 def expected_activity(customers: DataFrame, usage: DataFrame, stats: UsageStats) -> DataFrame:
-    """Expected active days = sum over spine days of plan base * exp(-day / 220)."""
+    """Expected active days = sum over spine days of plan base * exp(-day / 220).
+
+    The sum depends only on the base and the length of the spine, so the days are made once for
+    each of these pairs (a few bases x calendar days) and the sums are broadcast.
+    """
     b = _with_spine_bounds(customers, stats).where(F.col("spine_days") > 0)
-    base = _plan_map(C.PLAN_ACTIVITY_BASE)
-    days = b.select("customer_id", base.alias("base"),
-                    F.explode(F.sequence(F.lit(0), F.col("spine_days") - 1)).alias("d"))
-    expected = days.groupBy("customer_id").agg(
+    spans = b.select("customer_id", _plan_map(C.PLAN_ACTIVITY_BASE).alias("base"), "spine_days")
+    days = spans.select("base", "spine_days").distinct().select(
+        "base", "spine_days", F.explode(F.sequence(F.lit(0), F.col("spine_days") - 1)).alias("d"))
+    sums = days.groupBy("base", "spine_days").agg(
         F.sum(F.col("base") * F.exp(-F.col("d") / C.ACTIVITY_DECAY_DAYS)).alias("expected"))
+    expected = (spans.join(F.broadcast(sums), ["base", "spine_days"])
+                .groupBy("customer_id").agg(F.sum("expected").alias("expected")))
     observed = calendar_spine(customers, usage, stats)
     out = observed.join(expected, "customer_id", "left")
     return out.select(

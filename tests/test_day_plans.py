@@ -47,3 +47,20 @@ def test_daily_spine_with_repeated_and_null_keys(spark):
     want = [(c, d, int((c, d) in days)) for c, s, _ in CUSTOMERS if s is not None
             for d in (s.date() + dt.timedelta(k) for k in range((D(2024, 3, 2) - s.date()).days + 1))]
     assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+def test_expected_activity_makes_the_days_of_a_span_once(spark):
+    customers, usage = _tables(spark, CUSTOMERS, USAGE)
+    df = spine.expected_activity(customers, usage, feat.UsageStats(usage))
+    made = [n for n in _optimized(df) if n.nodeName() == "Generate"]
+    assert made and all(any(x.nodeName() == "Aggregate" for x in _nodes(g)) for g in made)
+    got = sorted(((r.customer_id, r.spine_days, r.expected_active_days, r.observed_active_days) for r in df.collect()), key=repr)
+    length = {k: max(0, (D(2024, 3, 2) - s.date()).days + 1) if s else 0 for k, (_, s, _) in enumerate(CUSTOMERS)}
+    sums = {}  # of all rows with an id; an unknown plan adds nothing
+    for k, (c, _, plan) in enumerate(CUSTOMERS):
+        if c is not None and length[k] and plan in C.PLAN_ACTIVITY_BASE:
+            sums[c] = sums.get(c, 0) + sum(C.PLAN_ACTIVITY_BASE[plan] * math.exp(-d / C.ACTIVITY_DECAY_DAYS) for d in range(length[k]))
+    want = {k: round(v, 6) for k, v in sums.items()}
+    assert len(want) == 3 and {c: e for c, _, e, _ in got if e is not None} == pytest.approx(want, abs=1e-6)
+    assert [(c, n) for c, n, _, _ in got if c == 6] == [(6, 31)]
+    assert {c for c, _, e, _ in got if e is None} == {None, 3, 4, 5}
