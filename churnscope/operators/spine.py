@@ -152,8 +152,11 @@ def weighted_bucket(schedule: DataFrame, seed: int = 7) -> DataFrame:
 def hash_sample(usage: DataFrame, seed: int = 11) -> DataFrame:
     """Repeatable thinning: drop 12-18 % of rows, decided by a hash of (customer, day)."""
     key = key_hash("customer_id", 3) * 65536 + F.datediff(F.col("date"), F.lit("1970-01-01").cast("date"))
-    keep = key_uniform(key, seed) > (F.lit(0.12) + F.lit(0.06) * key_uniform(key, seed + 1))
-    return usage.where(keep)
+    drawn = usage.withColumn("_key", key).withColumns({"_u": key_uniform("_key", seed), "_v": key_uniform("_key", seed + 1)})
+    # A filter on the draws themselves is pushed below the columns it reads, with the whole hash
+    # copied into each use (hundreds of times, more than Java compiles); it stays above an explode.
+    keep = F.explode(F.array(F.col("_u") > (F.lit(0.12) + F.lit(0.06) * F.col("_v"))))
+    return drawn.select(*usage.columns, keep.alias("_keep")).where("_keep").drop("_keep")
 
 
 def bill_sequence(billing: DataFrame) -> DataFrame:

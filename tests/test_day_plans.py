@@ -64,3 +64,24 @@ def test_expected_activity_makes_the_days_of_a_span_once(spark):
     assert len(want) == 3 and {c: e for c, _, e, _ in got if e is not None} == pytest.approx(want, abs=1e-6)
     assert [(c, n) for c, n, _, _ in got if c == 6] == [(6, 31)]
     assert {c for c, _, e, _ in got if e is None} == {None, 3, 4, 5}
+
+
+def test_hash_sample_hashes_a_row_once(spark):
+    usage = spark.range(5000).selectExpr("if(id % 50 = 0, null, id * 7919) AS customer_id", "date_add(date'2024-01-01', cast(id % 400 as int)) AS date", "1 AS sessions")
+    df = spine.hash_sample(usage)
+    assert df.columns == usage.columns
+    text = df._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("65536") == 1  # the key's hash isn't copied into each use
+
+    def hashed(k, seed):
+        m, size = C.HASH_MULTIPLIER, C.HASH_RANGE
+        out = seed * m % size
+        for part in (k & (size - 1), (k >> 32) & (size - 1), 0):
+            out = (out ^ part) * m % size
+            out ^= out >> 15
+        return out
+
+    rows = [(r.customer_id, r.date) for r in usage.collect() if r.customer_id is not None]
+    key = lambda c, d: hashed(c, 3) * 65536 + (d - D(1970, 1, 1)).days
+    want = [(c, d) for c, d in rows if hashed(key(c, d), 11) / C.HASH_RANGE > 0.12 + 0.06 * (hashed(key(c, d), 12) / C.HASH_RANGE)]
+    assert sorted((r.customer_id, r.date) for r in df.collect()) == sorted(want) and 0 < len(want) < len(rows)
