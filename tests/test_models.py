@@ -77,3 +77,26 @@ def test_logistic_optimum_and_scores(trained):
     residual = weight * (p[train] - y)
     gradient = np.append(w + x[train].T @ residual, b + residual.sum())  # the intercept is penalised too
     assert np.abs(gradient).max() < 1e-8 * max(1.0, weight.sum())
+
+
+def test_forest_rows_are_dealt_into_bounded_tasks(spark, trained, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from churnscope.operators import models as ml
+    lr, rf = trained
+    sizes = lambda df: [r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    one = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("k"), F.lit(None).cast("long").alias("v")).coalesce(1)
+    assert sizes(ml.dealt_rows(one, ["k"], 1000)) == [1000]  # small enough: as it is
+    dealt = ml.dealt_rows(one, ["k"], 100)
+    assert len(sizes(dealt)) == 10 and max(sizes(dealt)) <= 110
+    assert sorted(r.k for r in dealt.collect()) == list(range(1000))
+    assert all(p == sorted(p) for p in dealt.rdd.map(lambda r: r.k).glom().collect())
+    # the forest is trained on partitions of that size
+    fitted_on = []
+    fit = ml.Pipeline.fit
+    monkeypatch.setattr(ml.Pipeline, "fit", lambda self, df: fitted_on.append(sizes(df)) or fit(self, df))
+    monkeypatch.setattr(ml, "TASK_ROWS", 20)
+    again = ml.train_forest(None, num_trees=3, min_leaf=5, prepared=(rf.frame.coalesce(1), rf.prep))
+    rows = rf.frame.where("split = 'train'").count()
+    assert rows > 40 and sum(fitted_on[0]) == rows and max(fitted_on[0]) <= 24
+    assert ml.scores(again).count() == ml.scores(rf).count()
